@@ -1,0 +1,6 @@
+"""Named queries over the driver's tables."""
+
+from lifeloom.workload import jobs, primitives, sources  # noqa: F401
+from lifeloom.workload.base import ORACLES, QUERIES, runner
+
+__all__ = ["ORACLES", "QUERIES", "runner"]
