@@ -108,5 +108,9 @@ def display_money(c: str | Column) -> Column:
 
 
 def split_path(key: Column, salt: Column, share: int = 50) -> Column:
-    """True for about ``share`` percent of keys, fixed for a given key and salt."""
-    return F.pmod(F.xxhash64(key, salt), F.lit(100)) < share
+    """True for about ``share`` percent of keys, fixed for a given key and salt.
+
+    MD5 rather than an engine-specific hash, so that any system can repeat the split.
+    """
+    head = F.conv(F.substring(F.md5(F.concat_ws("|", key.cast("string"), salt.cast("string"))), 1, 8), 16, 10)
+    return F.pmod(head.cast("bigint"), F.lit(100)) < share

@@ -280,8 +280,8 @@ def _guard_processor():
     class ReentryGuard(StatefulProcessor):
         """One live instance per contact: entries while one is inside are dropped."""
 
-        def __init__(self, stay_ms: int):
-            self.stay_ms = stay_ms
+        def __init__(self, stay_us: int):
+            self.stay_us = stay_us
 
         def init(self, handle) -> None:
             self.until = handle.getValueState("until", "until BIGINT")
@@ -291,9 +291,9 @@ def _guard_processor():
             state = self.until.get() if self.until.exists() else None
             until = state[0] if state else -1
             for row in ordered:
-                at = int(row.EntryDate.timestamp() * 1000)
+                at = round(row.EntryDate.timestamp() * 1_000_000)
                 if at >= until:
-                    until = at + self.stay_ms
+                    until = at + self.stay_us
                     yield Row(SubscriberKey=key[0], EntryDate=row.EntryDate)
             self.until.update((until,))
 
@@ -306,9 +306,10 @@ def _guard_processor():
 def entries_once(entries: DataFrame, stay_days: int) -> DataFrame:
     """Entries (SubscriberKey, EntryDate) of contacts that are not inside already.
 
-    A contact stays inside for ``stay_days``; state is one number per contact.
+    A contact stays inside for ``stay_days``; state is one number per contact.  A task sees
+    one contact's entries of one micro-batch, which the source's rate limit bounds.
     """
-    processor = _guard_processor()(stay_days * 86_400_000)
+    processor = _guard_processor()(stay_days * 86_400_000_000)
     return entries.groupBy("SubscriberKey").transformWithState(
         statefulProcessor=processor,
         outputStructType="SubscriberKey STRING, EntryDate TIMESTAMP",
@@ -330,7 +331,7 @@ def _change_processor():
             state = self.last.get() if self.last.exists() else None
             before, seen = (state[0], state[1]) if state else (False, -1)
             for row in sorted(rows, key=lambda r: (r.ChangedAt, r.ChangeId)):
-                at = int(row.ChangedAt.timestamp() * 1_000_000)
+                at = round(row.ChangedAt.timestamp() * 1_000_000)
                 if at < seen:
                     continue  # older than what is known: left to the batch form
                 if row.Escalated and not before:

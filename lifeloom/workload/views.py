@@ -266,4 +266,59 @@ VIEWS: dict[str, str] = {
                10 AS DiscountPercent, s_acctbal < 2000 AS IsUsed,
                CASE WHEN s_acctbal > 8000 THEN DATE '2023-12-01' ELSE DATE '2024-03-01' END AS ExpirationDay
         FROM {supplier}""",
+    # -- journeys ---------------------------------------------------------------------
+    "signup_entries": """
+        SELECT CAST(user_id AS STRING) AS SubscriberKey, ts AS EntryDate FROM {events} WHERE event_type = 'signup'""",
+    "cart_entries": """
+        SELECT CAST(user_id AS STRING) AS CartId, CAST(user_id AS STRING) AS SubscriberKey, ts AS EntryDate
+        FROM {events} WHERE event_type = 'signup'""",
+    "user_history": """
+        SELECT CAST(user_id AS STRING) AS CartId, ts AS StatusDate,
+               CASE WHEN event_type = 'purchase' THEN 'Converted' ELSE 'Abandoned' END AS CartStatus
+        FROM {events}""",
+    "order_entries": """
+        SELECT CAST(o_custkey AS STRING) AS SubscriberKey, CAST(o_orderkey AS STRING) AS OrderId, o_orderdate AS EntryDate
+        FROM {orders}""",
+    "shipped": """
+        SELECT CAST(o_orderkey AS STRING) AS OrderId,
+               o_orderdate + CASE WHEN o_orderpriority = '1-URGENT' THEN INTERVAL '2' DAY WHEN o_orderpriority = '5-LOW' THEN INTERVAL '12' DAY
+                                  ELSE INTERVAL '6' DAY END AS EventDate
+        FROM {orders} WHERE o_totalprice > 50000
+        UNION ALL SELECT CAST(l_orderkey AS STRING), l_shipdate FROM {lineitem}""",
+    "delivered": """
+        SELECT CAST(o_orderkey AS STRING) AS OrderId, o_orderdate + INTERVAL '11' DAY AS EventDate FROM {orders}
+        WHERE o_orderstatus <> 'P'
+        UNION ALL SELECT CAST(l_orderkey AS STRING), l_shipdate FROM {lineitem} WHERE l_linestatus = 'F'""",
+    "returned": """
+        SELECT CAST(o_orderkey AS STRING) AS OrderId, o_orderdate + INTERVAL '15' DAY AS EventDate FROM {orders}
+        WHERE o_orderstatus = 'F' AND o_totalprice < 200000""",
+    "old_entries": """
+        SELECT SubscriberKey, EnteredDate AS EntryDate FROM {winback_log}""",
+    "old_orders": """
+        SELECT CAST(o_custkey AS STRING) AS SubscriberKey, o_orderdate AS OrderDate FROM {orders}""",
+    "case_entries": """
+        SELECT CAST(user_id AS STRING) AS CaseId, CAST(user_id AS STRING) AS SubscriberKey, ts AS EntryDate
+        FROM {events} WHERE event_type = 'error'""",
+    "case_states": """
+        SELECT Id AS CaseId, SystemModstamp AS StatusDate, Status FROM {case_history}""",
+    # -- identity: three sources with one layout ------------------------------------------
+    "id_records": """
+        SELECT 'M' || CAST(c_custkey AS STRING) AS RecordId, 'MC_Subscribers' AS Source, CAST(c_custkey AS STRING) AS SourceKey,
+               lower(c_name) || '@example.com' AS EmailAddress, '+1' || lpad(CAST(c_custkey AS STRING), 10, '0') AS MobileNumber,
+               c_mktsegment AS FirstName, translate(CAST(c_custkey AS STRING), '0123456789', 'aeioulnrst') AS LastName,
+               CAST(c_nationkey AS STRING) AS PostalCode, CAST(NULL AS STRING) AS MailingAddress,
+               DATE '2000-01-01' + CAST(floor(c_acctbal) AS INT) AS UpdatedAt, '5000011' AS BusinessUnitMID
+        FROM {customer}
+        UNION ALL
+        SELECT 'S' || CAST(c_custkey AS STRING), 'SF_Contacts', 'U' || CAST(c_custkey AS STRING), upper(c_name) || '@EXAMPLE.com',
+               CAST(NULL AS STRING), c_mktsegment, 'Mc' || translate(CAST(c_custkey AS STRING), '0123456789', 'aeioulnrst'),
+               CAST(c_nationkey AS STRING), 'Street ' || CAST(c_custkey AS STRING), DATE '2010-01-01' - CAST(floor(c_acctbal) AS INT), '5000011'
+        FROM {customer} WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING')
+        UNION ALL
+        SELECT 'P' || CAST(c_custkey AS STRING), 'POS_Customers', CAST(c_custkey AS STRING), CAST(NULL AS STRING),
+               CASE WHEN c_nationkey < 6 THEN '(' || substring(lpad(CAST(c_custkey AS STRING), 10, '0'), 1, 3) || ') '
+                         || substring(lpad(CAST(c_custkey AS STRING), 10, '0'), 4, 7) END,
+               lower(c_mktsegment), translate(CAST(c_custkey AS STRING), '0123456789', 'aeioulnrst') || 's',
+               CAST(c_nationkey AS STRING), 'Shop ' || CAST(c_nationkey AS STRING), DATE '2005-01-01', '5000011'
+        FROM {customer} WHERE c_nationkey < 12""",
 }
