@@ -41,6 +41,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.log.level", "ERROR")
         .getOrCreate()
     )
@@ -53,6 +54,7 @@ def main() -> None:
             run(spark, folder).write.format("noop").mode("overwrite").save()
             took = time.perf_counter() - start
         seconds[key] = round(took, 3)
+        print(f"{key} {took:.3f}", file=sys.stderr, flush=True)
     print(
         json.dumps(
             {

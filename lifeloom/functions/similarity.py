@@ -46,24 +46,28 @@ def jaro_winkler_text(a: str | None, b: str | None) -> float | None:
 
 @F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    memo: dict[tuple[str, str], float | None] = {}
+    return pd.Series([jaro_winkler_text(x, y) for x, y in zip(a, b)], dtype="float64")
+
+
+@F.pandas_udf(DoubleType())
+def weaker_match(a1: pd.Series, b1: pd.Series, a2: pd.Series, b2: pd.Series) -> pd.Series:
+    """The smaller of two similarities, in one pass; 0 as soon as one of them has nothing in common."""
     out = []
-    for pair in zip(a, b):
-        if pair not in memo:
-            memo[pair] = jaro_winkler_text(*pair)
-        out.append(memo[pair])
+    for w, x, y, z in zip(a1, b1, a2, b2):
+        first = jaro_winkler_text(w, x)
+        out.append(min(first, jaro_winkler_text(y, z)) if first else 0.0)
     return pd.Series(out, dtype="float64")
 
 
 def name_signatures(c: Column, threshold: float) -> Column:
-    """Keys of which any two texts at or above ``threshold`` share at least one.
-
-    If the first letters agree, the pair shares ``^letter``.  If not, there is no
-    prefix bonus, so Jaro itself must reach the threshold, which forces
-    ``m/|a| + m/|b| >= 3*threshold - 1`` and hence ``m >= (3*threshold - 2) * |x|`` for
-    both texts.  Two letter bags with that overlap share one of the
-    ``|x| - ceil((3*threshold - 2)*|x|) + 1`` smallest letters of each (prefix filter).
-    The letter order only decides how selective the keys are; rare letters come first.
+    """Keys, as ``array<struct<sig, initial>>``, of which two texts at or above ``threshold`` share one.
+
+    * Same first letter: they share the ``initial`` key of that letter.
+    * Different first letters: there is no prefix bonus, so Jaro itself must reach the
+      threshold, which forces ``m/|a| + m/|b| >= 3*threshold - 1`` and hence
+      ``m >= (3*threshold - 2) * |x|`` for both texts.  Two letter bags with that overlap
+      share one of the ``|x| - ceil((3*threshold - 2)*|x|) + 1`` first letters of each in
+      any fixed order (prefix filter).  Rare letters come first, which keeps keys selective.
     """
     share = 3.0 * threshold - 2.0
     if share <= 0:
@@ -85,11 +89,20 @@ def name_signatures(c: Column, threshold: float) -> Column:
     )
     n = F.size(letters)
     need = F.ceil(F.lit(share) * n - F.lit(1e-9)).cast("int")
-    tail = F.transform(F.slice(ranked, 1, n - need + 1), lambda s: F.concat(F.lit("~"), s["t"]))
-    head = F.array(F.concat(F.lit("^"), F.substring(c, 1, 1)))
-    return F.when(c.isNull() | (F.length(c) == 0), F.array().cast("array<string>")).otherwise(F.concat(head, tail))
+    tail = F.transform(
+        F.slice(ranked, 1, n - need + 1), lambda s: F.struct(F.xxhash64(s["t"]).alias("sig"), F.lit(False).alias("initial"))
+    )
+    head = F.array(F.struct(F.xxhash64(F.substring(c, 1, 1)).alias("sig"), F.lit(True).alias("initial")))
+    return F.when(c.isNull() | (F.length(c) == 0), F.slice(head, 1, 0)).otherwise(F.concat(head, tail))
+
 
+def length_floor(threshold: float, initial: bool) -> float:
+    """Least ratio of the shorter to the longer text for a pair at or above ``threshold``.
 
-def overlap_floor(threshold: float, length: int) -> int:
-    """Letters two texts must share when their first letters differ (see above)."""
-    return math.ceil((3.0 * threshold - 2.0) * length - 1e-9)
+    With equal first letters up to four letters of bonus lower the Jaro bound.
+    """
+    jaro = threshold
+    if initial:
+        bonus = PREFIX_LIMIT * PREFIX_SCALE
+        jaro = (threshold - bonus) / (1.0 - bonus)
+    return max(3.0 * jaro - 2.0, 0.0)

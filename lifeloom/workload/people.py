@@ -443,8 +443,7 @@ def _(t):
 
 
 def resolved(t):
-    links = identity.all_links(t.id_records)
-    return links, identity.components(t.id_records, links)
+    return identity.resolve(t.id_records)
 
 
 @query("idr_components", f"{COMPONENT_SQL} {UNIFIED}")
