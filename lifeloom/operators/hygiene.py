@@ -67,7 +67,8 @@ def refresh_engagement(
         .agg(F.max("EventDate").alias("_last_sms"))
     )
     both = (
-        subscribers.withColumn("_phone", norm_phone("MobileNumber"))
+        # Subscribers without a number get a key of their own instead of meeting in one partition.
+        subscribers.withColumn("_phone", F.coalesce(norm_phone("MobileNumber"), joined("#", F.col("SubscriberKey"))))
         .join(latest_engagement(opens, clicks), "SubscriberKey", "left")
         .join(sms, "_phone", "left")
     )

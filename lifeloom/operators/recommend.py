@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lifeloom.functions.joins import sized
 from lifeloom.functions.ranking import first_k
 
 # How many products a category list holds and how many are shown.
@@ -39,7 +40,7 @@ def welcome_products(
 ) -> DataFrame:
     """Four best in-stock products of each recipient's primary category."""
     chosen = primary_category(subscribers, preferences, default)
-    return chosen.join(grid_list(products, GRID), "Category").select(
+    return chosen.join(sized(grid_list(products, GRID)), "Category").select(
         "SubscriberKey", "Category", F.explode("_grid").alias("_p")
     ).select("SubscriberKey", "Category", "_p.Slot", "_p.SKU")
 
@@ -47,8 +48,8 @@ def welcome_products(
 def grid_list(products: DataFrame, k: int) -> DataFrame:
     """One row per category with its ranked list of at most ``k`` products.
 
-    Few categories meet many recipients, so the list side is tiny by count and is
-    broadcast from its measured size; the recipients do not move.
+    Few categories meet many recipients: with a list side proven small the recipients need
+    not be moved to the few partitions their categories would hash to.
     """
     item = F.struct("Slot", "SKU")
     return top_in_stock(products, k).groupBy("Category").agg(F.array_sort(F.collect_list(item)).alias("_grid"))
@@ -72,7 +73,7 @@ def cross_sell(
     wanted = orders.select("OrderId").join(first, "OrderId", "left").select(
         "OrderId", F.coalesce(F.nullif("_category", F.lit("")), F.lit(default)).alias("Category")
     )
-    lists = listed.groupBy("Category").agg(F.array_sort(F.collect_list(F.struct("_slot", "SKU"))).alias("_list"))
+    lists = sized(listed.groupBy("Category").agg(F.array_sort(F.collect_list(F.struct("_slot", "SKU"))).alias("_list")))
     bought = (
         order_lines.select("OrderId", "SKU")
         .join(listed.select("SKU"), "SKU", "left_semi")

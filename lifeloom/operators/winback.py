@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lifeloom.functions.columns import bands, joined
+from lifeloom.functions.joins import sized
 from lifeloom.functions.ranking import first_k, positions
 from lifeloom.functions.times import Moment, as_ts, days_between, shift, stamp
 from lifeloom.operators.hygiene import latest_engagement
@@ -152,8 +153,8 @@ def under_cap(audience: DataFrame, caps: DataFrame) -> DataFrame:
     Caps reach millions, so positions are computed by distributed ranking.
     """
     ranked = positions(audience, ["IpPool"], [F.col("LastEngagementDate").desc(), F.col("SubscriberKey")])
-    # One row per pool; no hint, so that the optimizer broadcasts it by its measured size.
-    return ranked.join(caps.select("IpPool", "Cap"), "IpPool").filter(F.col("Cap").isNull() | (F.col("Position") <= F.col("Cap")))
+    # One row per pool against very few hot pools: broadcast once its size is proven.
+    return ranked.join(sized(caps.select("IpPool", "Cap")), "IpPool").filter(F.col("Cap").isNull() | (F.col("Position") <= F.col("Cap")))
 
 
 def best_scores_first(candidates: DataFrame, scores: DataFrame, cap: int) -> DataFrame:

@@ -98,10 +98,8 @@ def _(t):
     entry = F.struct(
         F.struct("CartId").alias("keys"), F.struct("SubscriberKey", "CartStatus", "CartTotal", "ItemCount").alias("values")
     )
-    calls = t.carts.groupBy("SubscriberKey", F.to_date("CartCreatedDate").alias("_day")).agg(
-        F.to_json(F.collect_list(entry)).alias("value")
-    )
-    flat = files.explode_rowset(calls.select("value"))
+    calls = t.carts.select(F.to_json(F.array(entry)).alias("value"))
+    flat = files.explode_rowset(calls)
     return flat.select("CartId", "SubscriberKey", "CartStatus", "CartTotal", "ItemCount")
 
 
