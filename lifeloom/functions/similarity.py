@@ -59,6 +59,41 @@ def weaker_match(a1: pd.Series, b1: pd.Series, a2: pd.Series, b2: pd.Series) ->
     return pd.Series(out, dtype="float64")
 
 
+def _letters(c: Column) -> Column:
+    return F.filter(F.split(c, ""), lambda x: x != "")
+
+
+def _numbered(letters: Column) -> Column:
+    """Repeated letters numbered, so that the bag becomes a set: aab -> a1 a2 b1."""
+    return F.transform(
+        letters,
+        lambda x, i: F.concat(x, F.size(F.filter(F.slice(letters, 1, i + 1), lambda y: y == x)).cast("string")),
+    )
+
+
+def letter_bag(c: Column) -> Column:
+    """The letters of a text with multiplicity, as comparable numbers."""
+    return F.transform(_numbered(_letters(c)), lambda x: F.xxhash64(x))
+
+
+def may_reach(a: Column, b: Column, bag_a: Column, bag_b: Column, threshold: float) -> Column:
+    """False only for pairs that cannot reach ``threshold``.
+
+    At most the shared letters can match, without any transposition: an upper bound of the
+    similarity that stays in the JVM and spares most pairs the exact measure.
+    """
+    # jaro + bonus * (1 - jaro) >= threshold, solved for the shared letters.
+    def least(n: int) -> float:
+        bonus = n * PREFIX_SCALE
+        return 3.0 * (threshold - bonus) / (1.0 - bonus) - 1.0 - 1e-9
+
+    needed = F.lit(least(0))
+    for n in range(1, PREFIX_LIMIT + 1):
+        needed = F.when(F.substring(a, 1, n) == F.substring(b, 1, n), least(n)).otherwise(needed)
+    shared = F.size(F.array_intersect(bag_a, bag_b))
+    return shared * (1.0 / F.length(a) + 1.0 / F.length(b)) >= needed
+
+
 def name_signatures(c: Column, threshold: float) -> Column:
     """Keys, as ``array<struct<sig, initial>>``, of which two texts at or above ``threshold`` share one.
 
@@ -72,12 +107,8 @@ def name_signatures(c: Column, threshold: float) -> Column:
     share = 3.0 * threshold - 2.0
     if share <= 0:
         raise ValueError("threshold must exceed 2/3 for the key bound to hold")
-    letters = F.filter(F.split(c, ""), lambda x: x != "")
-    # Number repeated letters, so that the bag becomes a set: aab -> a1 a2 b1.
-    bag = F.transform(
-        letters,
-        lambda x, i: F.concat(x, F.size(F.filter(F.slice(letters, 1, i + 1), lambda y: y == x)).cast("string")),
-    )
+    letters = _letters(c)
+    bag = _numbered(letters)
     frequent = "etaoinshrdlcumwfgypbvkjxqz"  # fixed value: English letter order, frequent first
     ranked = F.array_sort(
         F.transform(
