@@ -39,14 +39,15 @@ def lifetime_value(
         .when(F.col("DaysSinceLastOrder") >= LOW_VALUE_QUIET_DAYS, "LowValueAtRisk")
         .otherwise("Standard")
     )
-    average = F.col("LifetimeSpend").cast("double") / F.nullif(F.col("LifetimeOrderCount"), F.lit(0))
+    # Decimal division: exact, so a half cent rounds up whatever its binary form.
+    average = F.col("LifetimeSpend") / F.nullif(F.col("LifetimeOrderCount"), F.lit(0)).cast("decimal(18,0)")
     return (
         known.withColumn("DaysSinceLastOrder", recency)
         .select(
             F.col("BuyerId").alias("UnifiedIndividualId"),
             "LifetimeSpend",
             "LifetimeOrderCount",
-            F.round(average, 2).alias("AvgOrderValue"),
+            average.cast("decimal(18,2)").alias("AvgOrderValue"),
             days_between(F.col("_first"), F.col("LastOrderDate")).cast("bigint").alias("CustomerTenureDays"),
             "LastOrderDate",
             "DaysSinceLastOrder",

@@ -101,7 +101,7 @@ def _(t):
 LTV_SQL = f"""
     SELECT i.UnifiedIndividualId, CAST(sum(o.OrderTotal) AS DOUBLE) AS LifetimeSpend,
            count(DISTINCT o.OrderId) AS LifetimeOrderCount,
-           round(CAST(sum(o.OrderTotal) AS DOUBLE) / nullif(count(DISTINCT o.OrderId), 0), 2) AS AvgOrderValue,
+           CAST((2 * CAST(sum(o.OrderTotal) * 100 AS HUGEINT) + count(DISTINCT o.OrderId)) // (2 * count(DISTINCT o.OrderId)) AS DOUBLE) / 100 AS AvgOrderValue,
            date_diff('day', CAST(min(o.OrderDate) AS DATE), CAST(max(o.OrderDate) AS DATE)) AS CustomerTenureDays,
            max(o.OrderDate) AS LastOrderDate,
            date_diff('day', CAST(max(o.OrderDate) AS DATE), DATE '2001-08-02') AS DaysSinceLastOrder,
