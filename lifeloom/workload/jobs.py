@@ -752,8 +752,8 @@ def _(t):
     f"""SELECT 'automation-ops' AS Channel, '[Error] Product-Catalog-Nightly-ETL / Validate-And-Promote-Catalog: Invalid row rejected: SKU=' || coalesce(SKU, 'NULL')
             || ', Price=' || coalesce(CAST(Price AS STRING), 'NULL') || ', InventoryCount=' || coalesce(CAST(InventoryCount AS STRING), 'NULL') AS Message
         FROM {{staging_products}} WHERE NOT coalesce({VALID}, FALSE) AND Price IS NULL
-        UNION ALL SELECT 'deliverability', printf('BU %s on %s: bounce %.2f%%, complaint %.3f%% (guardrail: bounce <=2%%, complaint <=0.1%%)',
-              BusinessUnitMID, CAST(SendDate AS STRING), BounceRatePct, ComplaintRatePct) FROM ({DELIV_SQL}) d WHERE GuardrailStatus = 'BREACH'""",
+        UNION ALL SELECT 'deliverability', printf('BU %s on %s: bounce %s%%, complaint %s%% (guardrail: bounce <=2%%, complaint <=0.1%%)', BusinessUnitMID, CAST(SendDate AS STRING),
+              CAST(round(CAST(BounceRatePct AS DECIMAL(18,4)), 2) AS STRING), CAST(round(CAST(ComplaintRatePct AS DECIMAL(18,4)), 3) AS STRING)) FROM ({DELIV_SQL}) d WHERE GuardrailStatus = 'BREACH'""",
 )
 def _(t):
     log = catalog.rejected(t.staging_products, ORDERS_NOW).withColumn(
