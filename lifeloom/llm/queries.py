@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate, pii, quality, simhash
+from . import decontaminate, lattice, licences, pii, quality, simhash, suffixes, urls
 from .common import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates of every document."""
+    configure(spark)
+    return licences.report(table(spark, sf_dir, "documents"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words in every document."""
     configure(spark)
@@ -33,7 +39,26 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), width=3)
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page."""
+    configure(spark)
+    return urls.verdicts(table(spark, sf_dir, "pages"))
+
+
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without its repeated strings."""
+    configure(spark)
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts, digest and round trip of every document."""
+    configure(spark)
+    return lattice.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_benchmark_decontamination, op4_pii, op6_quality_classifier, op8_simhash_near_dedup,
+    op1_license_scan, op2_benchmark_decontamination, op4_pii, op6_quality_classifier, op7_url_filter,
+    op8_simhash_near_dedup, op9_suffix_array_dedup, op10_sentencepiece,
 )}
 ORACLES = {"op2_benchmark_decontamination": decontaminate.ORACLE}
