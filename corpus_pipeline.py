@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lifeloom.llm import decontaminate, quality, simhash
+from lifeloom.llm import decontaminate, lattice, quality, secrets, simhash
 from lifeloom.llm.common import settled, table
 from lifeloom.session import configure
 
@@ -24,10 +24,22 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are masked; every document stays."""
+    return secrets.redacted(docs)
+
+
+def tokenize_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digest of every text."""
+    return lattice.report(docs)
+
+
 STAGES = [
     ("quality_classifier", quality_stage),
     ("simhash_near_dedup", near_dedup_stage),
     ("benchmark_decontamination", decontamination_stage),
+    ("secret_scan", secret_stage),
+    ("sentencepiece", tokenize_stage),
 ]
 
 #: No SQL: a trained classifier is part of it.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate, lattice, licences, pii, quality, simhash, suffixes, urls
+from . import decontaminate, imatch, lattice, licences, pii, quality, secrets, simhash, suffixes, urls
 from .common import table
 
 
@@ -21,12 +21,24 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near")
 
 
+def op3_i_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text."""
+    configure(spark)
+    return imatch.report(table(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document, plain and disguised."""
     configure(spark)
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every secret candidate of every document with its score."""
+    configure(spark)
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
     configure(spark)
@@ -58,7 +70,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_benchmark_decontamination, op4_pii, op6_quality_classifier, op7_url_filter,
+    op1_license_scan, op2_benchmark_decontamination, op3_i_match, op4_pii, op5_secret_scan, op6_quality_classifier, op7_url_filter,
     op8_simhash_near_dedup, op9_suffix_array_dedup, op10_sentencepiece,
 )}
 ORACLES = {"op2_benchmark_decontamination": decontaminate.ORACLE}

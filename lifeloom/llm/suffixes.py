@@ -288,7 +288,8 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     per_text = wanted.groupBy(F.col("doc_id").alias("w_id"), F.col("copy").alias("w_copy")).agg(
         F.collect_list(F.struct("low", "h", "c", "back", "ahead", "n", "hot")).alias("places")
     )
-    texts = _sieved(_encoded(docs), wanted.select("copy")).dropDuplicates(["doc_id", "copy"])
+    # A repeated row is fetched as often as it occurs; all its windows are repeated, so that changes nothing.
+    texts = _sieved(_encoded(docs), wanted.select("copy"))
     joined = texts.join(per_text, same(texts.doc_id, per_text.w_id) & (texts["copy"] == per_text.w_copy)).select("text", "places")
     kinds = [pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.int64(), pa.bool_()]
     names = ["h", "c", "back", "ahead", "n", "hot"]
