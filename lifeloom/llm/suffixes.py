@@ -37,7 +37,8 @@ BLOCK = 1 << 20
 SORT_BLOCK = 1 << 18
 #: Neighbouring windows that are looked at together before sorting.
 STRETCH = 16
-HOT_CONTEXTS = 1000
+#: Most different contexts of an anchor in one block; with at most 2 * LENGTH bytes each, a block stays under two megabytes.
+HOT_CONTEXTS = 4000
 #: Bits of the sieve that keeps texts without relevance out of a shuffle; its size is fixed.
 SIEVE_BITS = 1 << 22
 
