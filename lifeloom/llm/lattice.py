@@ -160,7 +160,8 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     pieces = piece_table(docs.sparkSession, model)
     codes = vocabulary(docs, pieces).select("word", "ids")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("copy"), F.coalesce("text", F.lit("")).alias("text")).distinct()
-    each = keyed.select("doc_id", "copy", F.posexplode_outer(words_of(F.col("text"))).alias("at", "word"))
+    keyed = keyed.select("doc_id", "copy", words_of(F.col("text")).alias("words"))
+    each = keyed.select("doc_id", "copy", F.posexplode_outer("words").alias("at", "word"))
     joined = each.join(codes, "word", "left").groupBy("doc_id", "copy")
     return joined.agg(F.flatten(F.sort_array(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "ids"))))["ids"]).alias("ids"))
 
@@ -193,10 +194,9 @@ def report(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> Dat
     codes = settled(codes, "lattice-codes")
     total = codes.agg(F.sum("n")).first()[0] or 0
     known = codes.select(F.col("word").alias("k_word"), "tokens", "code", "bytes", "same").filter(codes.n * frequent >= total)
-    each = source.select(
-        "doc_id", F.hash("text").alias("copy"),
-        F.posexplode(F.concat(F.array(F.lit("")), words_of(F.col("text")))).alias("at", "word"),
-    )
+    # Cut before exploding: else every word's row would carry and hash the whole text.
+    cut = source.select("doc_id", F.hash("text").alias("copy"), F.concat(F.array(F.lit("")), words_of(F.col("text"))).alias("words"))
+    each = cut.select("doc_id", "copy", F.posexplode("words").alias("at", "word"))
     # The empty word at place 0 stands for the row itself: it is how often equal rows occur.
     met = each.join(F.broadcast(known), F.col("word") == F.col("k_word"), "left")
     place = mix("at")
