@@ -8,6 +8,8 @@ for a key that holds a third of them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -31,7 +33,9 @@ def _carry(
         F.lit(1).alias("_probe"),
         F.struct(*kept).alias("_row"),
     )
-    right = facts.filter(F.col(fact_ts).isNotNull()).select(
+    # A null key equals nothing: such facts match no probe, and such probes find no fact.
+    known = [F.col(c).isNotNull() for c in (fact_ts, *key)]
+    right = facts.filter(reduce(lambda a, b: a & b, known)).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)],
         F.col(fact_ts).alias("_ts"),
         F.lit(0).alias("_probe"),
@@ -111,8 +115,10 @@ def previous_value(
         .agg(closing.alias("_close"))
         .select(*key, "_slice", F.last("_close").over(across).alias("_far"))
     )
+    parts = [*key, "_slice"]
+    far = far.withColumnsRenamed({c: f"_f{c}" for c in parts})
     return (
-        near.join(far, [*key, "_slice"], "left")
+        near.join(far, [F.col(c).eqNullSafe(F.col(f"_f{c}")) for c in parts], "left")
         .withColumn(name, F.coalesce("_near", "_far")["v"])
-        .drop("_slice", "_near", "_far")
+        .drop("_slice", "_near", "_far", *[f"_f{c}" for c in parts])
     )

@@ -36,9 +36,11 @@ def positions(df: DataFrame, group: list[str], order: list[Column], name: str =
         .select(*group, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
     inside = W.partitionBy(*group, "_slice").orderBy(*order)
+    # A null group is a group like any other.
+    same = [F.col(c).eqNullSafe(F.col(f"_s{c}")) for c in [*group, "_slice"]]
     return (
         sliced.withColumn("_inside", F.row_number().over(inside))
-        .join(starts, [*group, "_slice"])
+        .join(starts.withColumnsRenamed({c: f"_s{c}" for c in [*group, "_slice"]}), same)
         .withColumn(name, F.col("_start") + F.col("_inside"))
-        .drop("_slice", "_inside", "_start")
+        .drop("_slice", "_inside", "_start", *[f"_s{c}" for c in [*group, "_slice"]])
     )

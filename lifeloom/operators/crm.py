@@ -26,6 +26,9 @@ def bridge_matches(contacts: DataFrame, subscribers: DataFrame, bridge: DataFram
     return (
         ours.join(linked, "SubscriberKey", "left_anti")
         .join(people, "_email")
+        # Several subscribers of one contact: the smallest key is linked.
+        .groupBy("UnifiedIndividualId")
+        .agg(F.min("SubscriberKey").alias("SubscriberKey"))
         .select(
             "UnifiedIndividualId",
             F.lit(bu).alias("BusinessUnitMID"),

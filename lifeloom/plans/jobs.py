@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from lifeloom.functions.times import Moment
 from lifeloom.operators import carts, catalog, hygiene, loyalty, orders, winback
 from lifeloom.sources.registry import REGISTRY
-from lifeloom.sources.tables import TableStore
+from lifeloom.session import settle
+from lifeloom.sources.tables import TableStore, upserted
 
 
 def nightly_hygiene(store: TableStore, as_of: Moment) -> None:
@@ -24,7 +25,11 @@ def nightly_hygiene(store: TableStore, as_of: Moment) -> None:
     for name in ("preferences", "addresses", "loyalty", "carts", "cart_lines", "orders", "order_lines"):
         if store.exists(name):
             tables[name] = store.read(name)
-    store.publish(hygiene.retention_sweep(tables, REGISTRY, as_of))
+    swept = hygiene.retention_sweep(tables, REGISTRY, as_of)
+    # What is archived waits for its export: earlier rows stay until that has cleared them.
+    if "orders_archive" in swept and store.exists("orders_archive"):
+        swept["orders_archive"] = upserted(store.read("orders_archive"), swept["orders_archive"], ["OrderId"])
+    store.publish(swept)
 
 
 def cart_sweep(store: TableStore, as_of: Moment) -> None:
@@ -59,7 +64,8 @@ def catalog_night(store: TableStore, as_of: Moment) -> None:
     """Reject, promote, guard, and only then publish."""
     staged = store.read("staging_products")
     store.append("error_log", catalog.rejected(staged, as_of).withColumn("Resolved", F.lit(False)), ["ErrorLogId"])
-    new = catalog.promoted(store.read("products"), staged, as_of)
+    # Settled once: what is checked is what is published.
+    new = settle(catalog.promoted(store.read("products"), staged, as_of))
     history = store.read("row_count_history")
     check = catalog.row_count_check(new, history)
     try:
@@ -67,7 +73,7 @@ def catalog_night(store: TableStore, as_of: Moment) -> None:
     except catalog.AnomalyError:
         store.append("error_log", catalog.guard_log(check, as_of), ["ErrorLogId"])
         raise
-    store.publish({"products": new, "row_count_history": recorded})
+    store.publish({"products": new, "row_count_history": upserted(history, recorded, ["MetricName"])})
 
 
 def order_fallback_hour(store: TableStore, as_of: Moment) -> None:

@@ -39,6 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if current is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="lifeloom-"))
         current = context.getCheckpointDir()
     return current

@@ -65,8 +65,15 @@ class TableStore:
         return self.read(name)
 
     def append(self, name: str, rows: DataFrame, key: list[str]) -> DataFrame:
-        """Add rows whose key is not present yet, so that a re-run adds nothing."""
-        rows = rows.dropDuplicates(key)
+        """Add rows whose key is not present yet, so that a re-run adds nothing.
+
+        Of several new rows of one key the smallest is added, columns compared in their order.
+        """
+        rest = [c for c in rows.columns if c not in key]
+        if rest:
+            rows = rows.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_row")).select(*key, "_row.*").select(*rows.columns)
+        else:
+            rows = rows.distinct()
         if not self.exists(name):
             return self.replace(name, rows)
         current = self.read(name)
@@ -174,8 +181,11 @@ def export_csv(df: DataFrame, folder: str, name: str, as_of: Moment) -> str:
 
 
 def export_and_clear(store: TableStore, name: str, folder: str, as_of: Moment) -> str:
-    """Export a table, and empty it only after the export has succeeded."""
+    """Export a table, and remove what was exported only after the export has succeeded.
+
+    ``current`` is fixed to the files it was read from; rows that came later stay for the next export.
+    """
     current = store.read(name)
     path = export_csv(current, folder, name, as_of)
-    store.replace(name, current.limit(0))
+    store.replace(name, store.read(name).exceptAll(current))
     return path

@@ -76,6 +76,26 @@ def run_ingest(raw: DataFrame, folder: str, checkpoint: str, **trigger) -> list[
 
 
 # -- route -----------------------------------------------------------------------------
+# Order events, the status each sets, and the fields they carry.
+ORDER_STATUS = {
+    "APIEvent-OrderShipped": "Shipped",
+    "APIEvent-OrderDelivered": "Delivered",
+    "APIEvent-OrderReturned": "Returned",
+}
+ORDER_FIELDS = ["ShippingCarrier", "TrackingNumber", "ShippedDate", "EstimatedDeliveryDate", "ActualDeliveryDate", "ReturnedDate"]
+#: Column of routed tables that says how new a row is, so that an older event of a later batch does not win.
+EVENT_TIME = "LastEventAt"
+
+
+def merged_orders(changes: DataFrame) -> DataFrame:
+    """One row per order: status of its newest event, and of each field the newest value that is not null."""
+
+    def newest(name):
+        return F.max_by(name, F.when(F.col(name).isNotNull(), F.struct(EVENT_TIME, name))).alias(name)
+
+    return changes.groupBy("OrderId").agg(newest("OrderStatus"), *[newest(n) for n in ORDER_FIELDS], F.max(EVENT_TIME).alias(EVENT_TIME))
+
+
 def routed(events: DataFrame) -> dict[str, DataFrame]:
     """Rows per target table of a batch of accepted events."""
 
@@ -83,33 +103,29 @@ def routed(events: DataFrame) -> dict[str, DataFrame]:
         return events.filter(F.col("EventDefinitionKey") == name)
 
     def data(df: DataFrame, *names: str) -> DataFrame:
-        return df.select(*[F.col(f"Data.{n}").alias(n) for n in names], F.col("ReceivedAt").alias("_at"))
+        return df.select(*[F.col(f"Data.{n}").alias(n) for n in names], F.col("ReceivedAt").alias(EVENT_TIME))
 
-    status = {
-        "APIEvent-OrderShipped": "Shipped",
-        "APIEvent-OrderDelivered": "Delivered",
-        "APIEvent-OrderReturned": "Returned",
-    }
-    changes = events.filter(F.col("EventDefinitionKey").isin(*status)).select(
+    changes = events.filter(F.col("EventDefinitionKey").isin(*ORDER_STATUS)).select(
         F.col("Data.OrderId").alias("OrderId"),
-        F.create_map(*[F.lit(x) for pair in status.items() for x in pair])[F.col("EventDefinitionKey")].alias("OrderStatus"),
-        F.col("ReceivedAt").alias("_at"),
+        F.create_map(*[F.lit(x) for pair in ORDER_STATUS.items() for x in pair])[F.col("EventDefinitionKey")].alias("OrderStatus"),
+        *[F.col(f"Data.{n}").alias(n) for n in ORDER_FIELDS],
+        F.col("ReceivedAt").alias(EVENT_TIME),
     )
     return {
         "welcome_entry": latest_rows(
             data(of("APIEvent-Welcome-Signup"), "SubscriberKey", "EmailAddress", "FirstName", "SignupSource", "SignupDate", "PromoCodeIssued"),
             ["SubscriberKey"],
-            "_at",
-        ).drop("_at"),
+            EVENT_TIME,
+        ),
         "post_purchase_entry": latest_rows(
-            data(of("APIEvent-OrderPlaced"), "SubscriberKey", "OrderId", "OrderDate"), ["SubscriberKey", "OrderId"], "_at"
-        ).drop("_at"),
+            data(of("APIEvent-OrderPlaced"), "SubscriberKey", "OrderId", "OrderDate"), ["SubscriberKey", "OrderId"], EVENT_TIME
+        ),
         "case_entry": latest_rows(
             data(of("APIEvent-CaseEscalated"), "CaseId", "SubscriberKey", "CaseSubject", "CasePriority", "EscalatedDate"),
             ["CaseId"],
-            "_at",
-        ).drop("_at"),
-        "orders": latest_rows(changes, ["OrderId"], "_at").drop("_at"),
+            EVENT_TIME,
+        ),
+        "orders": merged_orders(changes),
     }
 
 
@@ -124,22 +140,33 @@ ROUTE_KEYS = {
 def route_into(store: TableStore) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: upsert a micro-batch into the tables it concerns.
 
-    Upserts are idempotent per key, so a replayed batch leaves the same tables.
+    Rows only give way to newer events, whatever batch those come in, so a replayed or late batch
+    leaves the same tables.
     """
+    wanted = {
+        "welcome_entry": ["APIEvent-Welcome-Signup"],
+        "post_purchase_entry": ["APIEvent-OrderPlaced"],
+        "case_entry": ["APIEvent-CaseEscalated"],
+        "orders": list(ORDER_STATUS),
+    }
 
     def handle(batch: DataFrame, _batch_id: int) -> None:
         batch = batch.persist()
         try:
-            present = {r[0] for r in batch.select("EventDefinitionKey").distinct().limit(100).collect()}
+            flags = [F.bool_or(F.col("EventDefinitionKey").isin(*keys)).alias(name) for name, keys in wanted.items()]
+            present = batch.agg(*flags).first()
             for name, rows in routed(batch).items():
-                wanted = {
-                    "welcome_entry": {"APIEvent-Welcome-Signup"},
-                    "post_purchase_entry": {"APIEvent-OrderPlaced"},
-                    "case_entry": {"APIEvent-CaseEscalated"},
-                    "orders": {"APIEvent-OrderShipped", "APIEvent-OrderDelivered", "APIEvent-OrderReturned"},
-                }[name]
-                if present & wanted:
-                    store.upsert(name, rows, ROUTE_KEYS[name])
+                if not present[name]:
+                    continue
+                key = ROUTE_KEYS[name]
+                if store.exists(name):
+                    before = store.read(name)
+                    touched = before.join(rows.select(*key), key, "left_semi")
+                    if name == "orders":
+                        rows = merged_orders(rows.unionByName(touched.select(*rows.columns)))
+                    else:
+                        rows = latest_rows(rows.unionByName(touched.select(*rows.columns)), key, EVENT_TIME)
+                store.upsert(name, rows, key)
         finally:
             batch.unpersist()
 

@@ -468,10 +468,10 @@ VALID = "SKU IS NOT NULL AND Price >= 0 AND InventoryCount >= 0"
 
 @query(
     "job_catalog_reject",
-    f"""SELECT 'CATALOG-VALIDATION-' || coalesce(SKU, '') || '-20010802000000' AS ErrorLogId,
-               'Invalid row rejected: SKU=' || coalesce(SKU, 'NULL') || ', Price=' || coalesce(CAST(Price AS STRING), 'NULL')
-               || ', InventoryCount=' || coalesce(CAST(InventoryCount AS STRING), 'NULL') AS ErrorMessage, 'Warning' AS Severity
-        FROM {{staging_products}} WHERE NOT coalesce({VALID}, FALSE)""",
+    f"""SELECT 'CATALOG-VALIDATION-' || coalesce(SKU, '') || '-20010802000000-' || substring(md5(ErrorMessage), 1, 8) AS ErrorLogId, ErrorMessage, 'Warning' AS Severity
+        FROM (SELECT SKU, 'Invalid row rejected: SKU=' || coalesce(SKU, 'NULL') || ', Price=' || coalesce(CAST(Price AS STRING), 'NULL')
+               || ', InventoryCount=' || coalesce(CAST(InventoryCount AS STRING), 'NULL') AS ErrorMessage
+        FROM {{staging_products}} WHERE NOT coalesce({VALID}, FALSE)) r""",
 )
 def _(t):
     return catalog.rejected(t.staging_products, ORDERS_NOW).select("ErrorLogId", "ErrorMessage", "Severity")
@@ -501,7 +501,10 @@ def _(t):
 def _(t):
     # Twice today's stock recorded yesterday: the guard must report an anomaly.
     before = t.products.filter("InStock").agg((F.count(F.lit(1)) * 2).cast("string").alias("MetricValue"))
-    history = before.withColumn("MetricName", F.lit(catalog.METRIC))
+    # A higher value recorded earlier must not count: the last one does.
+    history = before.withColumn("MetricName", F.lit(catalog.METRIC)).withColumn("RecordedDate", F.lit("2001-08-01").cast("timestamp_ntz"))
+    older = history.withColumns({"MetricValue": F.lit("999999999"), "RecordedDate": F.lit("2001-07-01").cast("timestamp_ntz")})
+    history = history.unionByName(older)
     return catalog.row_count_check(catalog.promoted(t.products, t.staging_products, ORDERS_NOW), history)
 
 

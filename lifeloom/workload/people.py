@@ -287,7 +287,7 @@ def _(t):
 
 
 SIGNUP_FORMS = """SELECT lpad(CAST(event_id AS STRING), 12, '0') AS SubmissionId, CASE WHEN event_type = 'error' THEN 'broken address'
-    WHEN event_type = 'view' THEN 'Customer#' || lpad(CAST(user_id AS STRING), 9, '0') || '@Example.com' ELSE 'New' || props || '@example.com' END AS EmailAddress,
+    WHEN event_type = 'view' THEN 'Customer#' || lpad(CAST(user_id AS STRING), 9, '0') || '@Example.com' ELSE 'New' || split_part(split_part(props, ': ', 2), chr(125), 1) || '@example.com' END AS EmailAddress,
     event_type AS FirstName FROM {events}"""
 
 
