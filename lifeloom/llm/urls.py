@@ -110,12 +110,14 @@ def verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
     branch = shaped.groupBy("host", "template", "pooled").agg(F.count("fit").alias("n"), bad.alias("bad"))
     pool = branch.groupBy("host", "pooled").agg(F.sum("n").alias("p_n"), F.sum("bad").alias("p_bad"))
     shape = pool.groupBy("pooled").agg(F.sum("p_n").alias("s_n"), F.sum("p_bad").alias("s_bad"))
-    whole = shape.agg(F.coalesce(F.sum("s_bad") / F.sum("s_n"), F.lit(0.0)).alias("all_bad"))
+    whole = shape.agg(F.coalesce(F.try_divide(F.sum("s_bad"), F.sum("s_n")), F.lit(0.0)).alias("all_bad"))
     other_n, other_bad = F.col("p_n") - F.col("n"), F.col("p_bad") - F.col("bad")
-    share = F.col("p_bad") / F.col("p_n")
-    spread = F.sqrt(share * (1 - share) * (1 / F.col("n") + 1 / other_n))
-    gap = F.abs(F.col("bad") / F.col("n") - other_bad / other_n)
-    apart = F.when((F.col("n") > 0) & (other_n > 0), gap > Z * spread).otherwise(False)
+    share = F.try_divide(F.col("p_bad"), F.col("p_n"))
+    one = F.lit(1.0)
+    spread = F.sqrt(share * (one - share) * (F.try_divide(one, F.col("n")) + F.try_divide(one, other_n)))
+    gap = F.abs(F.try_divide(F.col("bad"), F.col("n")) - F.try_divide(other_bad, other_n))
+    # A branch, or the rest of its pool, without labels is not apart.
+    apart = F.coalesce(gap > Z * spread, F.lit(False))
     prior = (F.col("s_bad") + SMOOTHING * F.col("all_bad")) / (F.col("s_n") + SMOOTHING)
     used_n, used_bad = F.when(apart, F.col("n")).otherwise(F.col("p_n")), F.when(apart, F.col("bad")).otherwise(F.col("p_bad"))
     judged = (
