@@ -121,13 +121,13 @@ def report(docs: DataFrame) -> DataFrame:
     terms = lexicon(docs)
     prints = settled(fingerprints(docs, terms), "imatch-prints")
     order = settled(successors(prints), "imatch-next")
-    one = prints.drop("doc_id").dropDuplicates(["key", "copy"])
+    one = prints.dropDuplicates(["key", "copy"])
     following = one.select(F.col("key").alias("next_key"), F.col("copy").alias("next_copy"), F.col("prints").alias("f_prints"))
     plan = order.join(one, ["key", "copy"]).join(following, ["next_key", "next_copy"])
     plan = settled(plan, "imatch-plan")
 
-    # Both joins deal the texts out by the same key: one exchange serves both.
-    texts = _source(docs)
+    # Both joins deal the same columns of the texts out by the same key: one exchange serves both.
+    texts = _source(docs).select("key", "copy", "text")
     take = F.floor(F.col("n_chars") / 3).cast("int")
     asked = plan.select(F.col("key").alias("t_key"), F.col("copy").alias("t_copy"), F.col("next_key").alias("key"), F.col("next_copy").alias("copy"), take.alias("take"))
     heads = (
@@ -135,7 +135,7 @@ def report(docs: DataFrame) -> DataFrame:
         .select(F.col("t_key").alias("key"), F.col("t_copy").alias("copy"), F.substring("text", F.lit(1), F.col("take")).alias("head"))
         .dropDuplicates(["key", "copy"])
     )
-    known = plan.select("key", "copy", "n_chars", "prints", "f_prints")
+    known = plan.select("doc_id", "key", "copy", "n_chars", "prints", "f_prints")
     edited = texts.join(heads, ["key", "copy"]).join(known, ["key", "copy"]).select(
         "doc_id", "n_chars", "prints", "f_prints", F.concat(F.substring("text", F.lit(1), F.col("n_chars") - take), "head").alias("edited")
     )
