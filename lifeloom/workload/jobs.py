@@ -8,7 +8,7 @@ from lifeloom.functions.columns import effective_price, or_default
 from lifeloom.operators import carts, catalog, crm, hygiene, insights, loyalty, monitors, orders, reports, winback
 from lifeloom.sources.registry import Retention
 from lifeloom.workload.base import query
-from lifeloom.workload.primitives import DMARC_SQL, LTV_SQL, RANK_SQL, ROLL_SQL, RULE_SQL, ltv
+from lifeloom.workload.primitives import DMARC_SQL, FAVOURITES_SQL, LTV_SQL, ROLL_SQL, RULE_SQL, SPEND_SQL, ltv
 from lifeloom.workload.sources import dmarc_records
 from lifeloom.workload.views import BU, CARTS_NOW, EVENTS_NOW, FALLBACK_NOW, ORDERS_NOW
 
@@ -674,9 +674,8 @@ def _(t):
     return ltv(t)
 
 
-AFFINITY_SQL = f"""SELECT BuyerId AS UnifiedIndividualId, max(CASE WHEN CategoryRank = 1 THEN Category END) AS TopCategory,
-      max(CASE WHEN CategoryRank = 2 THEN Category END) AS SecondCategory, CAST(max(CASE WHEN CategoryRank = 1 THEN CategorySpend END) AS DOUBLE) AS TopCategorySpend
-    FROM ({RANK_SQL}) r WHERE CategoryRank <= 2 GROUP BY BuyerId"""
+AFFINITY_SQL = f"""SELECT BuyerId AS UnifiedIndividualId, liked[1] AS TopCategory, liked[2] AS SecondCategory, CAST(most AS DOUBLE) AS TopCategorySpend
+    FROM ({FAVOURITES_SQL}) r JOIN (SELECT BuyerId, max(CategorySpend) AS most FROM ({SPEND_SQL}) m GROUP BY BuyerId) t USING (BuyerId)"""
 
 
 @query("ins_category_affinity", AFFINITY_SQL)
