@@ -364,7 +364,8 @@ def repeats(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """(doc_id, copy, spans): byte ranges of every text that repeated windows cover; they may overlap."""
     key = ["h", "c", "back", "ahead"]
     found = settled(anchors(docs), "suffix-anchors")
-    often = found.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h")
+    # Written, so that the join below deals out both sides itself and can split an anchor that fills many texts.
+    often = settled(found.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h"), "suffix-often")
     places = settled(found.join(often, "h", "left_semi"), "suffix-places")
     contexts = places.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "copy", "low")).alias("at"))
     contexts = settled(contexts.select(*key, "n", "at.doc_id", "at.copy", "at.low"), "suffix-contexts")
