@@ -10,7 +10,7 @@ vocabulary expects.  Every distinct word is encoded once:
 3. a fold over the word's positions keeps the best way to each: fewest pieces, then the smallest sum of ranks.
    A character that no piece covers costs its UTF-8 bytes as byte pieces.
 
-Decoding joins ids back to pieces and puts them together in order.
+Decoding looks ids up among the pieces and puts them together in order.
 
 Documents meet their words in two ways.  Words that make up at least 1/``FREQUENT`` of all occurrences, so never more than
 ``FREQUENT`` of them, are sent to all tasks.  The rest is summed per document and word first and then joined by word.
@@ -27,16 +27,19 @@ from .common import same, settled
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 WORD_CHARS = 32
 FREQUENT = 2_000_000
-#: Where a word ends: before a blank, behind a sign, between a letter and a sign.
-BORDERS = r"(?= )|(?<=[^\p{L}\p{M} ])|(?<=[\p{L}\p{M}])(?=[^\p{L}\p{M} ])"
+#: A word.
+WORD = r" ?[\p{L}\p{M}]{1,%d}+| ?[^\p{L}\p{M} ]| " % WORD_CHARS
 #: Cost of a piece beside its rank, and of a character as bytes: so many that neither is outweighed by ranks.
-PER_PIECE, PER_UNKNOWN = 1 << 24, 1 << 40
+PER_PIECE, PER_UNKNOWN = 1 << 24, 1 << 30
+#: A way to a place is one long: its cost, then where its last piece starts, then that piece's id + 1 (0: a character as bytes).
+#: An edge is one long as well: where it ends, then start and id in the same places.
+ID_BITS, START_BITS = 18, 6
 #: Positions and codes are summed as remainders by this, so that sums stay exact.
 MIX = 1 << 20
 
 
 def piece_table(spark: SparkSession, model: str = MODEL) -> DataFrame:
-    """(piece, id, cost, length): pieces in plain text (a blank for the blank sign) and the byte pieces as ``<0x..>``.
+    """(piece, id, length, byte): pieces in plain text (a blank for the blank sign) and the byte pieces as ``<0x..>``.
 
     Its size is the vocabulary's, which is why it may be broadcast.
     """
@@ -45,67 +48,57 @@ def piece_table(spark: SparkSession, model: str = MODEL) -> DataFrame:
     for i in range(reader.get_piece_size()):
         if not (reader.is_control(i) or reader.is_unknown(i) or reader.is_unused(i)):
             piece = reader.id_to_piece(i) if reader.is_byte(i) else reader.id_to_piece(i).replace("▁", " ")
-            rows.append((piece, i, PER_PIECE + i, len(piece), reader.is_byte(i)))
-    return spark.createDataFrame(rows, "piece string, id int, cost long, length int, byte boolean")
+            rows.append((piece, i, len(piece), reader.is_byte(i)))
+    if reader.get_piece_size() >= 1 << ID_BITS:
+        raise ValueError(f"a vocabulary of {reader.get_piece_size()} pieces does not fit {ID_BITS} bits")
+    return spark.createDataFrame(rows, "piece string, id int, length int, byte boolean")
 
 
 def words_of(text) -> F.Column:
     """The words of a text in order; their concatenation is the text behind one blank.  None for null or empty."""
-    parts = F.filter(F.split(F.concat(F.lit(" "), text), BORDERS), lambda w: w != "")
-    long = F.exists(parts, lambda w: F.length(w) > WORD_CHARS + 1)
-    whole = F.when(long, F.flatten(F.transform(parts, _chunks))).otherwise(parts)
-    return F.when(F.length(text) > 0, whole).otherwise(F.array().cast("array<string>"))
-
-
-def _chunks(word):
-    """A word cut behind every WORD_CHARS letters; a blank before it does not count."""
-    blank = F.when(word.startswith(" "), 1).otherwise(0)
-    count = F.greatest(F.ceil((F.length(word) - blank) / WORD_CHARS), F.lit(1)).cast("int")
-    cut = F.sequence(F.lit(0), count - 1)
-    start = lambda i: F.when(i == 0, F.lit(1)).otherwise(1 + blank + i * WORD_CHARS)
-    width = lambda i: F.when(i == 0, WORD_CHARS + blank).otherwise(F.lit(WORD_CHARS))
-    return F.transform(cut, lambda i: F.substring(word, start(i), width(i)))
-
-
-def _substrings(word, longest: int):
-    n = F.length(word)
-    return F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), n - 1),
-            lambda s: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(longest), n - s)),
-                lambda l: F.struct(s.alias("start"), (s + l).alias("end"), F.substring(word, s + 1, l).alias("piece")),
-            ),
-        )
-    )
+    found = F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(WORD), F.lit(0))
+    return F.when(F.length(text) > 0, found).otherwise(F.array().cast("array<string>"))
+
+
+def _packed(high, start, code):
+    above = F.shiftleft(high.cast("long"), START_BITS).bitwiseOR(start.cast("long"))
+    return F.shiftleft(above, ID_BITS).bitwiseOR(code.cast("long"))
+
+
+def _high(packed):
+    return F.shiftright(packed, START_BITS + ID_BITS)
 
 
-def _best_path(n, edges):
-    """Edges (start, end, id) of the cheapest way through a lattice of ``n`` characters; id -1 is a character as bytes."""
+def _start(packed):
+    return F.shiftright(packed, ID_BITS).bitwiseAND(F.lit((1 << START_BITS) - 1)).cast("int")
 
-    def way(cost, start, id_):
-        return F.struct(cost.cast("long").alias("cost"), start.cast("int").alias("start"), id_.cast("int").alias("id"))
+
+def _code(packed):
+    return packed.bitwiseAND(F.lit((1 << ID_BITS) - 1))
+
+
+def _best_ways(n, edges):
+    """The cheapest way to each of the places 0 to ``n`` of a word: a fold over its places."""
 
     def step(best, j):
-        here = F.filter(edges, lambda e: e.end == j)
-        known = F.transform(here, lambda e: way(best[e.start].cost + e.cost, e.start, e.id))
-        unknown = way(best[j - 1].cost + F.lit(PER_UNKNOWN), j - 1, F.lit(-1))
-        return F.concat(best, F.array(F.least(F.coalesce(F.array_min(known), unknown), unknown)))
+        known = F.transform(
+            edges, lambda e: F.when(_high(e) == j, _packed(_high(best[_start(e)]) + _code(e) + (PER_PIECE - 1), _start(e), _code(e)))
+        )
+        unknown = _packed(_high(best[j - 1]) + PER_UNKNOWN, j - 1, F.lit(0))
+        return F.concat(best, F.array(F.least(F.array_min(known), unknown)))
 
-    best = F.aggregate(F.sequence(F.lit(1), n), F.array(way(F.lit(0), F.lit(0), F.lit(0))), step)
-    return best
+    return F.aggregate(F.sequence(F.lit(1), n), F.array(F.lit(0).cast("long")), step)
 
 
 def _trace(n, best):
-    nothing = F.array().cast("array<struct<start:int,id:int>>")
-    start = F.struct(n.cast("int").alias("at"), nothing.alias("path"))
+    """The ways that lead to place ``n``, first to last."""
+    none = F.array().cast("array<bigint>")
+    start = F.struct(n.cast("int").alias("at"), none.alias("path"))
 
     def step(acc, _):
         here = best[acc.at]
-        done = acc.at == 0
-        return F.struct(
-            F.when(done, F.lit(0)).otherwise(here.start).cast("int").alias("at"),
-            F.when(done, acc.path).otherwise(F.concat(F.array(F.struct(here.start.alias("start"), here.id.alias("id"))), acc.path)).alias("path"),
+        return F.when(acc.at == 0, acc).otherwise(
+            F.struct(_start(here).alias("at"), F.concat(F.array(here), acc.path).alias("path"))
         )
 
     return F.aggregate(F.sequence(F.lit(1), n), start, step, lambda acc: acc.path)
@@ -116,34 +109,39 @@ def encode_words(words: DataFrame, pieces: DataFrame) -> DataFrame:
     plain = pieces.filter("not byte").filter(F.col("length") <= WORD_CHARS + 1)
     sizes = pieces.agg(F.max(F.when(~F.col("byte") & (F.col("length") <= WORD_CHARS + 1), F.col("length"))), F.min(F.when(F.col("byte"), F.col("id")))).first()
     longest, first_byte = sizes[0] or 1, sizes[1]
+    # Rows stay in the order of this number, which makes the sort that groups them again cheap; it is used in this stage only.
+    numbered = words.withColumn("place", F.monotonically_increasing_id())
+    starts = numbered.select("place", "word", "n", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+    reach = F.sequence(F.col("start") + 1, F.least(F.col("start") + longest, F.length("word")))
+    cut = starts.select("place", "word", "n", "start", F.explode(reach).alias("end"))
+    cut = cut.withColumn("piece", F.substring("word", F.col("start") + 1, F.col("end") - F.col("start")))
     # One row without a match stays for each word, so that no word is lost.
-    cut = words.select("word", "n", F.explode(_substrings(F.col("word"), longest)).alias("s")).select("word", "n", "s.*")
-    matched = cut.join(F.broadcast(plain.select("piece", "id", "cost")), "piece", "left").filter("id is not null or (start = 0 and end = 1)")
-    grouped = matched.groupBy("word").agg(
-        F.first("n").alias("n"),
-        F.collect_list(F.when(F.col("id").isNotNull(), F.struct("start", "end", "id", "cost"))).alias("edges"),
+    matched = cut.join(F.broadcast(plain.select("piece", "id")), "piece", "left").filter("id is not null or (start = 0 and end = 1)")
+    edge = F.when(F.col("id").isNotNull(), _packed(F.col("end"), F.col("start"), F.col("id") + 1))
+    grouped = matched.select("place", "word", "n", edge.alias("edge")).groupBy("place", "word").agg(
+        F.first("n").alias("n"), F.collect_list("edge").alias("edges")
     )
     n = F.length("word")
-    traced = grouped.withColumn("best", _best_path(n, F.col("edges"))).withColumn("path", _trace(n, F.col("best")))
+    traced = grouped.withColumn("best", _best_ways(n, F.col("edges"))).withColumn("path", _trace(n, F.col("best")))
 
     def as_bytes(start):
         digits = F.hex(F.encode(F.substring(F.col("word"), start + 1, F.lit(1)), "UTF-8"))
         at = F.sequence(F.lit(0), (F.length(digits) / 2).cast("int") - 1)
         return F.transform(at, lambda i: (F.conv(F.substring(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int") + F.lit(first_byte)).cast("int"))
 
-    ids = F.flatten(F.transform("path", lambda p: F.when(p.id >= 0, F.array(p.id)).otherwise(as_bytes(p.start))))
+    plain_ids = F.transform("path", lambda p: (_code(p) - 1).cast("int"))
+    mixed_ids = F.flatten(F.transform("path", lambda p: F.when(_code(p) > 0, F.array((_code(p) - 1).cast("int"))).otherwise(as_bytes(_start(p)))))
+    ids = F.when(F.exists("path", lambda p: _code(p) == 0), mixed_ids).otherwise(plain_ids)
     return traced.select("word", "n", ids.alias("ids"))
 
 
 def decode_words(codes: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(word, n, ids, decoded): the ids joined back to their pieces, in order."""
+    """(word, n, ids, decoded): each id looked up in the list of all pieces' bytes, which is as long as the vocabulary."""
     raw = F.when(F.col("byte"), F.substring("piece", 4, 2)).otherwise(F.hex(F.encode("piece", "UTF-8")))
-    spelled = pieces.select("id", raw.alias("hex"))
-    each = codes.select("word", "n", "ids", F.posexplode_outer("ids").alias("at", "id"))
-    joined = each.join(F.broadcast(spelled), "id", "left").groupBy("word").agg(
-        F.first("n").alias("n"), F.first("ids").alias("ids"), F.sort_array(F.collect_list(F.struct("at", "hex"))).alias("parts")
-    )
-    return joined.select("word", "n", "ids", F.decode(F.unhex(F.array_join("parts.hex", "")), "UTF-8").alias("decoded"))
+    known = {r.id: r.raw for r in pieces.select("id", raw.alias("raw")).collect()}
+    spelled = F.split(F.lit(",".join(known.get(i, "") for i in range(max(known, default=-1) + 1))), ",")
+    decoded = F.array_join(F.transform("ids", lambda i: spelled[i]), "")
+    return codes.select("word", "n", "ids", F.decode(F.unhex(decoded), "UTF-8").alias("decoded"))
 
 
 def vocabulary(docs: DataFrame, pieces: DataFrame) -> DataFrame:
