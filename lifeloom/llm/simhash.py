@@ -27,6 +27,10 @@ RADIUS = 2
 MIN_SHARED_BYTES = 8 - RADIUS
 LONG = 16
 SEED = 42
+#: Positional bytes of near copies: posting lists, positions of a list, and the fewest positions that a pair must share.
+#: A pair of similarity 0.8 is expected to share 96 of the 120 with a standard deviation of 4.4.
+LISTS, LIST_BYTES, MIN_POSITIONS = 24, 5, 76
+ROUNDS = 3
 #: Shingles whose bits are unpacked at once.
 BLOCK = 1 << 17
 
@@ -126,12 +130,139 @@ def groups(docs: DataFrame, width: int = 3) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, width: int = 5) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the one with the smallest doc_id.
+def _odd_factors() -> np.ndarray:
+    return np.random.default_rng(SEED).integers(0, 1 << 63, LISTS * LIST_BYTES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def positional_bytes(hashes: np.ndarray) -> np.ndarray:
+    """One byte for each of LISTS x LIST_BYTES positions: of the smallest of the hashes under the position's factor."""
+    lowest = np.full(LISTS * LIST_BYTES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    factors = _odd_factors()
+    with np.errstate(over="ignore"):
+        for at in range(0, len(hashes), BLOCK // 16):
+            part = hashes[at : at + BLOCK // 16]
+            for k, factor in enumerate(factors):
+                lowest[k] = min(lowest[k], (part * factor).min())
+        # Multiplied once more, so that the byte depends on all bits of the minimum.
+        return (((lowest ^ (lowest >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8)
+
+
+def near_prints(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, node, fp, bytes): ``node`` is a 64-bit hash of a text's words, ``bytes`` its positional bytes, eight to a long."""
+    names = ["doc_id", "node", "fp", "bytes"]
+
+    def run(batches):
+        for batch in batches:
+            nodes, prints, signs = [], [], []
+            for t in batch.column("text"):
+                each = shingles(t.as_py(), width)
+                hashes = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in each), dtype=np.uint64, count=len(each))
+                nodes.append(_node(t.as_py()))
+                prints.append(fingerprint_of(hashes))
+                signs.append(positional_bytes(hashes).view(np.int64))
+            columns = [batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(prints, pa.int64()), pa.array(signs, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, node long, fp long, bytes array<long>")
+
+
+def _node(text: str | None) -> int:
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
+
+
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, node, shingles): the distinct hashes of a text's shingles."""
+
+    def run(batches):
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column("text")]
+            sets = [[h - (1 << 63) for h in {xxhash.xxh64_intdigest(s, SEED) for s in shingles(t, width)}] for t in texts]
+            columns = [batch.column("doc_id"), pa.array(map(_node, texts), pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "shingles"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, node long, shingles array<long>")
+
+
+def _shared_bytes(a, b):
+    """How many of the bytes of two lists of longs are equal at the same place."""
+    def equal(x, y):
+        z = x.bitwiseXOR(y)
+        for step, kept in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
+            z = z.bitwiseOR(F.shiftrightunsigned(z, step)).bitwiseAND(F.lit(kept))
+        return 8 - F.bit_count(z)
+
+    return F.aggregate(F.zip_with(a, b, equal), F.lit(0), lambda total, x: total + x)
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, similarity: float, label: str) -> DataFrame:
+    """Those of the pairs (u, v) of nodes whose shingle sets have the similarity: tallied first, then compared whole."""
+    of = lambda side: nodes.select(F.col("node").alias(side), F.col("bytes").alias(f"{side}_bytes"))
+    tallied = pairs.distinct().join(of("u"), "u").join(of("v"), "v").filter(_shared_bytes(F.col("u_bytes"), F.col("v_bytes")) >= MIN_POSITIONS)
+    tallied = settled(tallied.select("u", "v"), f"{label}-tallied")
+    asked = tallied.select(F.col("u").alias("node")).unionByName(tallied.select(F.col("v").alias("node"))).distinct()
+    rows = nodes.join(asked, "node").select("node", F.col("low").alias("doc_id"))
+    sets = settled(shingle_sets(docs, width).join(rows, ["doc_id", "node"], "left_semi").dropDuplicates(["node"]), f"{label}-sets")
+    of = lambda side: sets.select(F.col("node").alias(side), F.col("shingles").alias(f"{side}_set"))
+    both = tallied.join(of("u"), "u").join(of("v"), "v")
+    common = F.size(F.array_intersect("u_set", "v_set"))
+    return settled(both.filter(common >= (F.size("u_set") + F.size("v_set") - common) * similarity).select("u", "v"), f"{label}-links")
+
+
+def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) of every row: groups of exact copies, of fingerprints within RADIUS bits, and of texts whose
+    sets of ``width``-word shingles have at least ``similarity`` (intersection over union).
+
+    At a similarity of 0.8 SimHash bytes share no guaranteed minimum of positions.  So for this the same index is kept over
+    LISTS x LIST_BYTES bytes of minimal shingle hashes, which agree at a position as often as the sets are similar.
+    Pairs meet in one of LISTS posting lists of LIST_BYTES positions each (a pair at 0.8 misses all of them with probability below
+    0.0001), are tallied over all positions (under MIN_POSITIONS they go) and verified on whole shingle sets.
+    Lists of more than LONG texts are not paired: their texts meet the list's centre, in ROUNDS rounds with another centre; only
+    between texts that are then still in different groups all pairs of the list are looked at.
+
+    Nulls, ties and repeated rows as in ``groups``.
+    """
+    prints = settled(near_prints(docs, width), "near-prints")
+    nodes = settled(prints.groupBy("node").agg(F.min("doc_id").alias("low"), F.any_value("fp").alias("fp"), F.any_value("bytes").alias("bytes")), "near-nodes")
+    heads = nodes.groupBy("fp").agg(F.min("node").alias("head"))
+    near = links(nodes.select("fp").distinct())
+    edges = nodes.join(heads, "fp").select(F.col("node").alias("u"), F.col("head").alias("v")).filter("u <> v")
+    of = lambda side: heads.select(F.col("fp").alias(side), F.col("head").alias(f"{side}_head"))
+    edges = edges.unionByName(near.join(of("u"), "u").join(of("v"), "v").select(F.col("u_head").alias("u"), F.col("v_head").alias("v")))
+
+    named = nodes.filter("low is not null")
+    digits = F.flatten(F.transform("bytes", lambda x: F.transform(F.sequence(F.lit(0), F.lit(56), F.lit(8)), lambda i: F.call_function("shiftrightunsigned", x, i).bitwiseAND(F.lit(255)))))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(LISTS - 1)), lambda k: F.xxhash64(k, F.slice(digits, k * LIST_BYTES + 1, F.lit(LIST_BYTES))))
+    postings = settled(named.select("node", F.explode(keys).alias("list")), "near-postings")
+    sizes = postings.groupBy("list").agg(F.count("*").alias("size")).filter("size > 1")
+    met = settled(postings.join(sizes, "list"), "near-lists")
+    short, long = met.filter(F.col("size") <= LONG), settled(met.filter(F.col("size") > LONG).select("list", "node"), "near-long")
+    pairs = short.select("list", F.col("node").alias("u")).join(short.select("list", F.col("node").alias("v")), "list").filter("u > v").select("u", "v")
+    found = edges
+    if not long.isEmpty():
+        for turn in range(ROUNDS):
+            centres = long.groupBy("list").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("v"))
+            pairs = pairs.unionByName(long.join(centres, "list").select(F.col("node").alias("u"), "v").filter("u <> v"))
+        found = settled(edges.unionByName(_verified(pairs, nodes, docs, width, similarity, "near-first")), "near-found")
+        roots = components(found, "near-edges")
+        placed = long.join(roots, F.col("node") == F.col("u"), "left").select("list", "node", F.coalesce("root", "node").alias("root"))
+        open_ = placed.groupBy("list").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("list")
+        placed = settled(placed.join(open_, "list"), "near-open")
+        other = placed.select("list", F.col("node").alias("v"), F.col("root").alias("v_root"))
+        pairs = placed.join(other, "list").filter("node > v and root <> v_root").select(F.col("node").alias("u"), "v")
+    found = found.unionByName(_verified(pairs, nodes, docs, width, similarity, "near-last"))
+    roots = settled(components(found, "near-edges"), "near-roots")
+    member = nodes.join(roots, F.col("node") == F.col("u"), "left").select("node", "low", F.coalesce("root", "node").alias("root"))
+    lows = settled(member.join(member.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("node", "component_id"), "near-lows")
+    return prints.select("doc_id", "node").join(lows, "node").select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of ``near_groups`` the one with the smallest doc_id.
 
     All columns of ``docs`` are kept.  Rows with a null doc_id cannot be told apart and stay.  If the
     smallest doc_id of a group occurs on several rows, all of them stay.
     """
-    member = groups(docs, width)
+    member = near_groups(docs, width, similarity)
     gone = member.filter(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, same(docs["doc_id"], gone["_gone"]), "left_anti")

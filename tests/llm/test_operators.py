@@ -261,6 +261,36 @@ def test_suffix_dedup(docs, none, hot, monkeypatch):
     assert suffixes.report(none).count() == 0
 
 
+def test_near_groups(spark, docs, none):
+    """Every pair of shingle similarity of at least 0.8 ends in one group, others do not; long lists as well as short ones."""
+    r = random.Random(8)
+    rows = []
+    for g in range(6):
+        base = prose(100 + g, 150).split()
+        for k in range(40 if g == 0 else 4):
+            words = list(base)
+            for at in r.sample(range(150), r.choice([0, 1, 2, 3, 4, 30])):
+                words[at] = f"edit{r.random()}"
+            rows.append((g * 100 + k, " ".join(words)))
+    sets = {i: set(simhash.shingles(t, 5)) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def top(i):
+        return i if root[i] == i else top(root[i])
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    got = {r.doc_id: r.component_id for r in simhash.near_groups(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()}
+    assert got == {i: top(i) for i in sets}
+    assert simhash.near_groups(none).count() == 0 and simhash.keep_one(none).count() == 0
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i in (1, 4, 7, 8, 9, None, 11, 11, 12, 13, 14))
+
+
 def test_lattice(docs, none):
     coded = lattice.encode(docs)
     back = {(r.doc_id, r.text or "") for r in lattice.decode(coded).collect()}
