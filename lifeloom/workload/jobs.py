@@ -725,9 +725,9 @@ def _(t):
 @query(
     "mon_guardrail_action",
     f"""SELECT IpPool, SendDate, CASE WHEN BreachesInWindow >= 2 THEN 'ROLLBACK' WHEN Breached THEN 'HOLD_FLAT' ELSE 'PROCEED' END AS Action,
-          CASE WHEN BreachesInWindow >= 2 THEN BreachesInWindow || ' guardrail breaches within the last 3 days'
-               WHEN Breached THEN printf('Guardrail breached today (bounce %.2f%%, complaint %.3f%%)', br, cr)
-               ELSE 'Within guardrails, continue ramp schedule' END AS Reason,
+          CASE WHEN BreachesInWindow >= 2 THEN BreachesInWindow || ' of the last 3 days over a limit'
+               WHEN Breached THEN printf('latest day over a limit: bounces %.2f%%, complaints %.3f%%', br, cr)
+               ELSE 'all limits kept' END AS Reason,
           CASE WHEN BreachesInWindow >= 2 THEN PriorVolume END AS RollbackToVolume
         FROM (SELECT *, row_number() OVER (PARTITION BY IpPool ORDER BY SendDate DESC) AS n FROM ({ROLL_SQL}) r) x WHERE n = 1""",
 )
@@ -754,7 +754,7 @@ def _(t):
     f"""SELECT 'automation-ops' AS Channel, '[Error] Product-Catalog-Nightly-ETL / Validate-And-Promote-Catalog: Invalid row rejected: SKU=' || coalesce(SKU, 'NULL')
             || ', Price=' || coalesce(CAST(Price AS STRING), 'NULL') || ', InventoryCount=' || coalesce(CAST(InventoryCount AS STRING), 'NULL') AS Message
         FROM {{staging_products}} WHERE NOT coalesce({VALID}, FALSE) AND Price IS NULL
-        UNION ALL SELECT 'deliverability', printf('BU %s on %s: bounce %s%%, complaint %s%% (guardrail: bounce <=2%%, complaint <=0.1%%)', BusinessUnitMID, CAST(SendDate AS STRING),
+        UNION ALL SELECT 'deliverability', printf('unit %s, %s: %s%% bounces, %s%% complaints; limits 2%% and 0.1%%', BusinessUnitMID, CAST(SendDate AS STRING),
               CAST(round(CAST(BounceRatePct AS DECIMAL(18,4)), 2) AS STRING), CAST(round(CAST(ComplaintRatePct AS DECIMAL(18,4)), 3) AS STRING)) FROM ({DELIV_SQL}) d WHERE GuardrailStatus = 'BREACH'""",
 )
 def _(t):

@@ -200,9 +200,9 @@ PROFILE_FORMS = """SELECT CAST(c_custkey AS STRING) AS SubscriberKey, CASE WHEN
     'New' AS LastName, DATE '2001-01-01' + CAST(floor(c_acctbal) - 4000 AS INT) AS DateOfBirth,
     CASE WHEN c_nationkey < 5 THEN 'call me' WHEN c_nationkey < 10 THEN '(555) 123-4567' WHEN c_nationkey < 15 THEN '' ELSE '+15551234567' END AS MobileNumber
     FROM {customer}"""
-PROFILE_REASON = """CASE WHEN trim(FirstName) = '' THEN 'First name is required.' WHEN DateOfBirth > DATE '2001-08-02' THEN 'Date of birth cannot be in the future.'
-    WHEN 2001 - year(DateOfBirth) > 120 THEN 'Please enter a valid date of birth.'
-    WHEN MobileNumber <> '' AND NOT regexp_matches(regexp_replace(MobileNumber, '[\\s()-]', '', 'g'), '^\\+?[0-9]{{10,15}}$') THEN 'Please enter a valid mobile number.' END"""
+PROFILE_REASON = """CASE WHEN trim(FirstName) = '' THEN 'first name missing' WHEN DateOfBirth > DATE '2001-08-02' THEN 'birth date after the form'
+    WHEN 2001 - year(DateOfBirth) > 120 THEN 'birth date over 120 years back'
+    WHEN MobileNumber <> '' AND NOT regexp_matches(regexp_replace(MobileNumber, '[\\s()-]', '', 'g'), '^\\+?[0-9]{{10,15}}$') THEN 'mobile number not readable' END"""
 
 
 @query("dq_profile_submission", f"SELECT SubscriberKey, {PROFILE_REASON} AS Reason FROM ({PROFILE_FORMS}) f")

@@ -213,7 +213,7 @@ def test_guardrail_actions(make):
         ],
     )
     out = {r.IpPool: r for r in monitors.next_action(days).collect()}
-    assert out["hold"].Action == "HOLD_FLAT" and out["hold"].Reason == "Guardrail breached today (bounce 2.40%, complaint 0.120%)"
+    assert out["hold"].Action == "HOLD_FLAT" and out["hold"].Reason == "latest day over a limit: bounces 2.40%, complaints 0.120%"
     assert (out["roll"].Action, out["roll"].RollbackToVolume) == ("ROLLBACK", 2000)
     assert out["calm"].Action == "PROCEED"
 
