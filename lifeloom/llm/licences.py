@@ -2,9 +2,10 @@
 
 The licence templates below are short texts; their words, with positions, are the index.  One pass over the
 corpus keeps, of every text, the places of licence words (a common word only beside a distinctive one).
-Document frequencies over all documents rate the words.  Each file looks up its ``LOOKED_UP`` rarest licence words;
-every posting of such a word in a template proposes where the template would start, and proposals
-that agree are one alignment.  An alignment with ``AGREE`` of them is scored by the rated share of the template's words in
+Document frequencies over all documents rate the words.  Each file looks up all its distinctive licence words, of which
+the index has under a hundred; every posting of such a word in a template proposes where the template would start, and
+proposals that agree are one alignment.  Every key phrase holds ``AGREE`` distinctive words, so no template whose key
+phrase stands in a file goes without a candidate, whatever else the file holds.  An alignment with ``AGREE`` of them is scored by the rated share of the template's words in
 their places, and is kept if the template's key phrase stands where it must.
 """
 
@@ -12,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from .common import settled, word_array
 
@@ -36,7 +36,6 @@ TEMPLATES = (
 )
 #: Template words that are common in any text.
 COMMON = frozenset("the and in with or are to of is a for any this under by all 0 1 2 3 4".split())
-LOOKED_UP = 6
 AGREE = 2
 ACCEPT = 0.5
 
@@ -100,9 +99,7 @@ def aligned(found: DataFrame) -> DataFrame:
     texts = spark.createDataFrame(rows, "t int, label string, words array<string>, mandatory array<int>")
 
     each = found.filter(F.size("hits") > 0).select("row", F.explode("hits").alias("h")).select("row", "h.*").filter(~F.col("w").isin(sorted(COMMON)))
-    rated = each.join(F.broadcast(idf), "w")
-    ranked = rated.withColumn("rank", F.dense_rank().over(W.partitionBy("row").orderBy(F.desc("idf"), "w"))).filter(F.col("rank") <= LOOKED_UP)
-    proposals = ranked.join(F.broadcast(index), "w").groupBy("row", "t", (F.col("p") - F.col("q")).alias("start")).agg(F.count("*").alias("agree"))
+    proposals = each.join(F.broadcast(index), "w").groupBy("row", "t", (F.col("p") - F.col("q")).alias("start")).agg(F.count("*").alias("agree"))
     # A template with one distinctive word cannot get two votes: then all its distinctive words must agree.
     most = index.groupBy("t").agg(F.least(F.lit(AGREE), F.count("*")).alias("need"))
     candidates = proposals.join(F.broadcast(most), "t").filter("agree >= need").join(F.broadcast(texts), "t")
