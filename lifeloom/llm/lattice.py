@@ -1,23 +1,29 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-A word is a run of at most ``WORD_CHARS`` letters with at most one blank before it, or any other single character
-with at most one blank before it, or a blank.  The text is read with one blank put before it, as the
-vocabulary expects.  Every distinct word is encoded once:
+The text is read with one blank put before it, as the vocabulary expects.  It is cut into words only where no piece can
+reach across: between characters of two classes (``CLASSES``) that no piece holds side by side.  The cuts are computed from
+the pieces, so the best way through the uncut text is that through its words.  Every distinct word is encoded once:
 
 1. its substrings, at most as long as the longest piece, are exploded and equi-joined to the piece table;
 2. the matches are the edges of the word's lattice and are grouped by word (the words are already dealt out by word,
-   so this costs no shuffle);
-3. a fold over the word's positions keeps the best way to each: fewest pieces, then the smallest sum of ranks.
-   A character that no piece covers costs its UTF-8 bytes as byte pieces.
+   so this costs no shuffle).  A word of more than ``SHORT`` characters goes in blocks that overlap by a piece, so that no
+   row carries it whole; its edges meet again under a hash of the word;
+3. a fold over the word's positions keeps the best way to each: fewest characters without a piece, then fewest pieces,
+   then the smallest sum of ranks.  A character that no piece covers becomes its UTF-8 bytes as byte pieces.  The fold is
+   an Arrow pass, linear in positions and edges, and runs over a long word without a border.
 
-Decoding looks ids up among the pieces and puts them together in order.
+``encode`` joins every occurrence of a word with the word's ids and puts them in order per row; ``decode`` looks ids up among
+the pieces and puts them together in order.  ``report`` goes through both.
 
-Documents meet their words in two ways.  Words that make up at least 1/``FREQUENT`` of all occurrences, so never more than
-``FREQUENT`` of them, are sent to all tasks.  The rest is summed per document and word first and then joined by word.
+Words that make up at least 1/``FREQUENT`` of all occurrences, so never more than ``FREQUENT`` of them, are sent to all
+tasks.  The occurrences of the rest are joined by word.
 """
 
 from __future__ import annotations
 
+import unicodedata
+
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,17 +31,15 @@ from pyspark.sql import functions as F
 from .common import same, settled
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-WORD_CHARS = 32
 FREQUENT = 2_000_000
-#: A word.
-WORD = r" ?[\p{L}\p{M}]{1,%d}+| ?[^\p{L}\p{M} ]| " % WORD_CHARS
-#: Cost of a piece beside its rank, and of a character as bytes: so many that neither is outweighed by ranks.
-PER_PIECE, PER_UNKNOWN = 1 << 24, 1 << 30
-#: A way to a place is one long: its cost, then where its last piece starts, then that piece's id + 1 (0: a character as bytes).
-#: An edge is one long as well: where it ends, then start and id in the same places.
-ID_BITS, START_BITS = 18, 6
-#: Positions and codes are summed as remainders by this, so that sums stay exact.
-MIX = 1 << 20
+#: Classes of characters: as they stand in a regular expression's brackets.
+CLASSES = {"blank": " ", "letter": r"\p{L}\p{M}", "digit": "0-9", "other": r"^\p{L}\p{M}0-9 "}
+#: Longest word whose edges carry the word itself.
+SHORT = 64
+#: Cost of a piece beside its rank, and of a character as bytes: so many that neither is outweighed in any text.
+PER_PIECE, PER_UNKNOWN = 1 << 50, 1 << 90
+#: An edge is one long: where it ends, then its length, then the piece's id.
+ID_BITS, LENGTH_BITS = 18, 6
 
 
 def piece_table(spark: SparkSession, model: str = MODEL) -> DataFrame:
@@ -54,169 +58,165 @@ def piece_table(spark: SparkSession, model: str = MODEL) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, id int, length int, byte boolean")
 
 
-def words_of(text) -> F.Column:
-    """The words of a text in order; their concatenation is the text behind one blank.  None for null or empty."""
-    found = F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(WORD), F.lit(0))
-    return F.when(F.length(text) > 0, found).otherwise(F.array().cast("array<string>"))
-
-
-def _packed(high, start, code):
-    above = F.shiftleft(high.cast("long"), START_BITS).bitwiseOR(start.cast("long"))
-    return F.shiftleft(above, ID_BITS).bitwiseOR(code.cast("long"))
-
-
-def _high(packed):
-    return F.shiftright(packed, START_BITS + ID_BITS)
-
-
-def _start(packed):
-    return F.shiftright(packed, ID_BITS).bitwiseAND(F.lit((1 << START_BITS) - 1)).cast("int")
-
+def _class_of(c: str) -> str:
+    return "blank" if c == " " else "letter" if unicodedata.category(c)[0] in "LM" else "digit" if c in "0123456789" else "other"
 
-def _code(packed):
-    return packed.bitwiseAND(F.lit((1 << ID_BITS) - 1))
 
+def cuts(pieces: DataFrame) -> str:
+    """A regular expression of the places between characters of two classes that stand side by side in no piece."""
+    crossed = set()
+    for row in pieces.filter("not byte").select("piece").collect():
+        kinds = [_class_of(c) for c in row.piece]
+        crossed.update(zip(kinds, kinds[1:]))
+    open_ = [(a, b) for a in CLASSES for b in CLASSES if (a, b) not in crossed]
+    # Without any cut: an expression that fits nowhere.
+    return "|".join(f"(?<=[{CLASSES[a]}])(?=[{CLASSES[b]}])" for a, b in open_) or r"(?!)"
 
-def _best_ways(n, edges):
-    """The cheapest way to each of the places 0 to ``n`` of a word: a fold over its places."""
 
-    def step(best, j):
-        known = F.transform(
-            edges, lambda e: F.when(_high(e) == j, _packed(_high(best[_start(e)]) + _code(e) + (PER_PIECE - 1), _start(e), _code(e)))
-        )
-        unknown = _packed(_high(best[j - 1]) + PER_UNKNOWN, j - 1, F.lit(0))
-        return F.concat(best, F.array(F.least(F.array_min(known), unknown)))
-
-    return F.aggregate(F.sequence(F.lit(1), n), F.array(F.lit(0).cast("long")), step)
-
-
-def _trace(n, best):
-    """The ways that lead to place ``n``, first to last."""
-    none = F.array().cast("array<bigint>")
-    start = F.struct(n.cast("int").alias("at"), none.alias("path"))
+def words_of(text, cut: str) -> F.Column:
+    """The words of a text in order; their concatenation is the text behind one blank.  None for null or empty."""
+    found = F.split(F.concat(F.lit(" "), text), cut, -1)
+    return F.when(F.length(text) > 0, found).otherwise(F.array().cast("array<string>"))
 
-    def step(acc, _):
-        here = best[acc.at]
-        return F.when(acc.at == 0, acc).otherwise(
-            F.struct(_start(here).alias("at"), F.concat(F.array(here), acc.path).alias("path"))
-        )
 
-    return F.aggregate(F.sequence(F.lit(1), n), start, step, lambda acc: acc.path)
+def best_way(word: str, edges: list[int], first_byte: int) -> list[int]:
+    """The ids of the cheapest way through a word.  Equal costs: the longest last piece."""
+    n, at = len(word), 0
+    cost, back = [0] * (n + 1), [0] * (n + 1)
+    ids, lengths = (1 << ID_BITS) - 1, (1 << LENGTH_BITS) - 1
+    edges.sort()
+    for end in range(1, n + 1):
+        best, way = cost[end - 1] + PER_UNKNOWN, None
+        while at < len(edges) and edges[at] >> (ID_BITS + LENGTH_BITS) == end:
+            edge = edges[at]
+            this = cost[end - (edge >> ID_BITS & lengths)] + PER_PIECE + (edge & ids)
+            # Edges of one end come shortest first.
+            if this <= best:
+                best, way = this, edge
+            at += 1
+        cost[end], back[end] = best, way
+    found, end = [], n
+    while end:
+        edge = back[end]
+        if edge is None:
+            found.extend(first_byte + b for b in reversed(word[end - 1].encode()))
+            end -= 1
+        else:
+            found.append(edge & ids)
+            end -= edge >> ID_BITS & lengths
+    return found[::-1]
+
+
+def _edges(keyed: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """(keys, edge) of (keys, text, first, fresh): the pieces that start among the ``fresh`` first characters of ``text``, which
+    itself starts at ``first``.  One row without an edge stays for each text that would have none."""
+    keys = [c for c in keyed.columns if c not in ("text", "first", "fresh")]
+    starts = keyed.select("*", F.explode(F.sequence(F.lit(0), F.col("fresh") - 1)).alias("start"))
+    reach = F.sequence(F.col("start") + 1, F.least(F.col("start") + longest, F.length("text")))
+    cut = starts.select("*", F.explode(reach).alias("end"))
+    cut = cut.withColumn("piece", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")))
+    plain = pieces.filter("not byte").select("piece", "id")
+    matched = cut.join(F.broadcast(plain), "piece", "left").filter("id is not null or (start = 0 and end = 1)")
+    high = F.shiftleft((F.col("first") + F.col("end")).cast("long"), LENGTH_BITS).bitwiseOR((F.col("end") - F.col("start")).cast("long"))
+    edge = F.shiftleft(high, ID_BITS).bitwiseOR(F.col("id").cast("long"))
+    return matched.select(*keys, F.when(F.col("id").isNotNull(), edge).alias("edge"))
 
 
 def encode_words(words: DataFrame, pieces: DataFrame) -> DataFrame:
     """(word, n, ids) for distinct ``word`` with a count ``n``.  ``words`` should be dealt out by word."""
-    plain = pieces.filter("not byte").filter(F.col("length") <= WORD_CHARS + 1)
-    sizes = pieces.agg(F.max(F.when(~F.col("byte") & (F.col("length") <= WORD_CHARS + 1), F.col("length"))), F.min(F.when(F.col("byte"), F.col("id")))).first()
+    sizes = pieces.agg(F.max(F.when(~F.col("byte"), F.col("length"))), F.min(F.when(F.col("byte"), F.col("id")))).first()
     longest, first_byte = sizes[0] or 1, sizes[1]
+    if longest >= 1 << LENGTH_BITS:
+        raise ValueError(f"a piece of {longest} characters does not fit {LENGTH_BITS} bits")
     # Rows stay in the order of this number, which makes the sort that groups them again cheap; it is used in this stage only.
-    numbered = words.withColumn("place", F.monotonically_increasing_id())
-    starts = numbered.select("place", "word", "n", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-    reach = F.sequence(F.col("start") + 1, F.least(F.col("start") + longest, F.length("word")))
-    cut = starts.select("place", "word", "n", "start", F.explode(reach).alias("end"))
-    cut = cut.withColumn("piece", F.substring("word", F.col("start") + 1, F.col("end") - F.col("start")))
-    # One row without a match stays for each word, so that no word is lost.
-    matched = cut.join(F.broadcast(plain.select("piece", "id")), "piece", "left").filter("id is not null or (start = 0 and end = 1)")
-    edge = F.when(F.col("id").isNotNull(), _packed(F.col("end"), F.col("start"), F.col("id") + 1))
-    grouped = matched.select("place", "word", "n", edge.alias("edge")).groupBy("place", "word").agg(
-        F.first("n").alias("n"), F.collect_list("edge").alias("edges")
+    short = words.filter(F.length("word") <= SHORT).select(
+        F.monotonically_increasing_id().alias("place"), "word", "n", F.col("word").alias("text"), F.lit(0).alias("first"), F.length("word").alias("fresh")
     )
-    n = F.length("word")
-    traced = grouped.withColumn("best", _best_ways(n, F.col("edges"))).withColumn("path", _trace(n, F.col("best")))
+    grouped = _edges(short, pieces, longest).groupBy("place", "word").agg(F.first("n").alias("n"), F.collect_list("edge").alias("edges"))
+    long = words.filter(F.length("word") > SHORT).select(F.sha2("word", 256).alias("key"), "word", "n")
+    blocks = long.select("key", "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1, F.lit(SHORT))).alias("first"))
+    blocks = blocks.select(
+        "key", F.substring(F.col("word"), F.col("first") + 1, F.lit(SHORT + longest - 1)).alias("text"), "first",
+        F.least(F.lit(SHORT), F.length("word") - F.col("first")).alias("fresh"),
+    )
+    met = _edges(blocks, pieces, longest).groupBy("key").agg(F.collect_list("edge").alias("edges"))
+    both = grouped.select("word", "n", "edges").unionByName(long.join(met, "key").select("word", "n", "edges"))
 
-    def as_bytes(start):
-        digits = F.hex(F.encode(F.substring(F.col("word"), start + 1, F.lit(1)), "UTF-8"))
-        at = F.sequence(F.lit(0), (F.length(digits) / 2).cast("int") - 1)
-        return F.transform(at, lambda i: (F.conv(F.substring(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int") + F.lit(first_byte)).cast("int"))
+    def fold(batches):
+        for batch in batches:
+            found = [best_way(w, e, first_byte) for w, e in zip(batch.column("word").to_pylist(), batch.column("edges").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(found, pa.list_(pa.int32()))], ["word", "n", "ids"])
 
-    plain_ids = F.transform("path", lambda p: (_code(p) - 1).cast("int"))
-    mixed_ids = F.flatten(F.transform("path", lambda p: F.when(_code(p) > 0, F.array((_code(p) - 1).cast("int"))).otherwise(as_bytes(_start(p)))))
-    ids = F.when(F.exists("path", lambda p: _code(p) == 0), mixed_ids).otherwise(plain_ids)
-    return traced.select("word", "n", ids.alias("ids"))
+    return both.mapInArrow(fold, "word string, n long, ids array<int>")
 
 
-def decode_words(codes: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(word, n, ids, decoded): each id looked up in the list of all pieces' bytes, which is as long as the vocabulary."""
-    raw = F.when(F.col("byte"), F.substring("piece", 4, 2)).otherwise(F.hex(F.encode("piece", "UTF-8")))
-    known = {r.id: r.raw for r in pieces.select("id", raw.alias("raw")).collect()}
-    spelled = F.split(F.lit(",".join(known.get(i, "") for i in range(max(known, default=-1) + 1))), ",")
-    decoded = F.array_join(F.transform("ids", lambda i: spelled[i]), "")
-    return codes.select("word", "n", "ids", F.decode(F.unhex(decoded), "UTF-8").alias("decoded"))
+def vocabulary(rows: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(word, n, ids) of every distinct word of ``rows`` (words); n counts its occurrences."""
+    words = rows.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return encode_words(words, pieces)
 
 
-def vocabulary(docs: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(word, n, ids, decoded) of every distinct word of ``docs``; n counts its occurrences."""
-    words = docs.select(F.explode(words_of(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    return decode_words(encode_words(words, pieces), pieces)
+def numbered(docs: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(row, doc_id, print, words) of every row of ``docs``, written once, so that ``row`` is fixed.  ``print`` is the text's SHA-256."""
+    text = F.coalesce("text", F.lit(""))
+    cut = docs.select(F.col("doc_id").cast("long"), F.sha2(text, 256).alias("print"), words_of(F.col("text"), cuts(pieces)).alias("words"))
+    return settled(cut.select(F.monotonically_increasing_id().alias("row"), "*"), "lattice-words")
 
 
-def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """(doc_id, copy, ids): the ids of every text, for tables whose texts may be shuffled whole.
+def _coded(rows: DataFrame, pieces: DataFrame, frequent: int) -> DataFrame:
+    """(row, ids) of every row of ``numbered``: the ids of its words in order."""
+    codes = settled(vocabulary(rows, pieces), "lattice-codes")
+    total = codes.agg(F.sum("n")).first()[0] or 0
+    known = codes.filter(F.col("n") * frequent >= total).select(F.col("word").alias("k_word"), "ids")
+    # The empty word at place 0 stands for the row itself, so that a row without words stays.
+    each = rows.select("row", F.posexplode(F.concat(F.array(F.lit("")), "words")).alias("at", "word"))
+    met = each.join(F.broadcast(known), F.col("word") == F.col("k_word"), "left")
+    there = met.filter("k_word is not null or word = ''").select("row", "at", "ids")
+    rare = met.filter("k_word is null and word <> ''").select("row", "at", "word").join(codes.select("word", "ids"), "word")
+    parts = there.unionByName(rare.select("row", "at", "ids")).filter("at > 0 and ids is not null or at = 0").groupBy("row")
+    none = F.array().cast("array<int>")
+    return parts.agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("ids", none).alias("ids")))).alias("parts")).select(
+        "row", F.flatten("parts.ids").alias("ids")
+    )
+
+
+def encode(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> DataFrame:
+    """(row, doc_id, print, n_words, ids) of every row of ``docs``; null and empty texts have no ids.
 
-    Rows with equal id and text give one row; null and empty texts have no ids.
+    Rows are told apart by a number fixed in a written table, so repeated rows and null ids stay apart.
     """
     pieces = piece_table(docs.sparkSession, model)
-    codes = vocabulary(docs, pieces).select("word", "ids")
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("copy"), F.coalesce("text", F.lit("")).alias("text")).distinct()
-    keyed = keyed.select("doc_id", "copy", words_of(F.col("text")).alias("words"))
-    each = keyed.select("doc_id", "copy", F.posexplode_outer("words").alias("at", "word"))
-    joined = each.join(codes, "word", "left").groupBy("doc_id", "copy")
-    return joined.agg(F.flatten(F.sort_array(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "ids"))))["ids"]).alias("ids"))
+    rows = numbered(docs, pieces)
+    named = rows.select("row", "doc_id", "print", F.size("words").cast("long").alias("n_words"))
+    return named.join(_coded(rows, pieces, frequent), "row")
+
+
+def decoded(ids, pieces: DataFrame) -> F.Column:
+    """The text of an array of ids: each id looked up in the list of all pieces' bytes, which is as long as the vocabulary."""
+    raw = F.when(F.col("byte"), F.substring("piece", 4, 2)).otherwise(F.hex(F.encode("piece", "UTF-8")))
+    known = {r.id: r.raw for r in pieces.select("id", raw.alias("raw")).collect()}
+    spelled = F.split(F.lit(",".join(known.get(i, "") for i in range(max(known, default=-1) + 1))), ",")
+    text = F.decode(F.unhex(F.array_join(F.transform(ids, lambda i: spelled[i]), "")), "UTF-8")
+    return F.substring(text, 2, 2**31 - 2)
 
 
 def decode(coded: DataFrame, model: str = MODEL) -> DataFrame:
-    """(doc_id, copy, text) from (doc_id, copy, ids)."""
+    """The rows of ``coded`` with ``text`` in place of ``ids``."""
     pieces = piece_table(coded.sparkSession, model)
-    raw = F.when(F.col("byte"), F.substring("piece", 4, 2)).otherwise(F.hex(F.encode("piece", "UTF-8")))
-    each = coded.select("doc_id", "copy", F.posexplode_outer("ids").alias("at", "id"))
-    parts = each.join(F.broadcast(pieces.select("id", raw.alias("hex"))), "id", "left").groupBy("doc_id", "copy")
-    whole = parts.agg(F.sort_array(F.collect_list(F.struct("at", "hex"))).alias("parts"))
-    text = F.decode(F.unhex(F.array_join("parts.hex", "")), "UTF-8")
-    return whole.select("doc_id", "copy", F.substring(text, 2, 2**31 - 2).alias("text"))
+    return coded.withColumn("text", decoded(F.col("ids"), pieces)).drop("ids")
 
 
 def report(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, n_words, n_tokens, n_bytes, digest, round_trip) of every row of ``docs``.
 
-    ``digest`` is a sum over words of a mix of the word's place and its ids; ``n_bytes`` and ``round_trip`` tell
-    what decoding gives back: as many bytes as the text has, and every word as it was.  Null and empty texts have no
+    ``digest`` is the SHA-256 of the row's ids in order, as decimal numbers with commas.  The ids are decoded again: ``n_bytes``
+    is the length of what comes out, ``round_trip`` tells if it is the text (by SHA-256).  Null and empty texts have no
     words.  Repeated rows stay repeated; null ids keep their rows; further columns are ignored.
     """
-    pieces = piece_table(docs.sparkSession, model)
-    source = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    mix = lambda c: F.pmod(F.xxhash64(c), F.lit(MIX))
-    codes = vocabulary(source, pieces).select(
-        "word", "n", F.size("ids").cast("long").alias("tokens"), mix("ids").alias("code"),
-        F.octet_length("decoded").cast("long").alias("bytes"), same(F.col("decoded"), F.col("word")).cast("int").alias("same"),
-    )
-    codes = settled(codes, "lattice-codes")
-    total = codes.agg(F.sum("n")).first()[0] or 0
-    known = codes.select(F.col("word").alias("k_word"), "tokens", "code", "bytes", "same").filter(codes.n * frequent >= total)
-    # Cut before exploding: else every word's row would carry and hash the whole text.
-    cut = source.select("doc_id", F.hash("text").alias("copy"), F.concat(F.array(F.lit("")), words_of(F.col("text"))).alias("words"))
-    each = cut.select("doc_id", "copy", F.posexplode("words").alias("at", "word"))
-    # The empty word at place 0 stands for the row itself: it is how often equal rows occur.
-    met = each.join(F.broadcast(known), F.col("word") == F.col("k_word"), "left")
-    place = mix("at")
-    summed = met.groupBy("doc_id", "copy", F.when(F.col("k_word").isNull() & (F.col("word") != ""), F.col("word")).alias("rare")).agg(
-        F.count_if(F.col("word") == "").alias("rows"),
-        F.count_if(F.col("word") != "").alias("words"),
-        F.sum(place).alias("places"),
-        F.sum("tokens").alias("tokens"), F.sum(place * F.col("code")).alias("digest"), F.sum("bytes").alias("bytes"), F.min("same").alias("same"),
-    )
-    summed = settled(summed, "lattice-sums")
-    plain = summed.filter("rare is null").select("doc_id", "copy", "rows", "words", "tokens", "digest", "bytes", "same")
-    rare = summed.filter("rare is not null").select("doc_id", "copy", "rare", "rows", "words", "places")
-    looked = rare.join(codes, F.col("rare") == F.col("word")).select(
-        "doc_id", "copy", "rows", "words", (F.col("words") * F.col("tokens")).alias("tokens"),
-        (F.col("places") * F.col("code")).alias("digest"), (F.col("words") * F.col("bytes")).alias("bytes"), "same",
-    )
-    texts = plain.unionByName(looked).groupBy("doc_id", "copy").agg(
-        *(F.sum(c).alias(c) for c in ("rows", "words", "tokens", "digest", "bytes")), F.min("same").alias("same")
-    )
-    once = lambda c: F.expr(f"coalesce({c}, 0) div rows")
-    return texts.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).select(
-        "doc_id", once("words").alias("n_words"), once("tokens").alias("n_tokens"),
-        F.greatest(once("bytes") - 1, F.lit(0)).alias("n_bytes"),
-        F.lower(F.hex(once("digest"))).alias("digest"), (F.coalesce("same", F.lit(1)) == 1).alias("round_trip"),
+    coded = encode(docs, model, frequent)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    told = coded.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("digest", F.sha2(ids, 256))
+    return decode(told, model).select(
+        "doc_id", "n_words", "n_tokens", F.octet_length("text").cast("long").alias("n_bytes"), "digest",
+        same(F.sha2("text", 256), F.col("print")).alias("round_trip"),
     )

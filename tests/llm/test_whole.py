@@ -1,6 +1,10 @@
 """Results that are whole: cases in which a shortcut would lose something."""
 
-from lifeloom.llm import licences
+import random
+
+import sentencepiece
+
+from lifeloom.llm import lattice, licences
 
 
 def test_licences_of_a_file_with_many(spark):
@@ -12,3 +16,41 @@ def test_licences_of_a_file_with_many(spark):
     docs = spark.createDataFrame([(1, notice), (2, "released under the mit license"), (3, "license"), (None, None)], "doc_id LONG, text STRING")
     got = {r.doc_id: r.labels for r in licences.report(docs).collect()}
     assert got == {1: "apache-2.0,bsd,mit,mpl-2.0", 2: "mit", 3: "", None: ""}
+
+
+def brute_ids(text):
+    """The best way through the whole text, without any cut: fewest characters as bytes, then pieces, then ranks."""
+    reader = sentencepiece.SentencePieceProcessor(model_file=lattice.MODEL)
+    pieces, first_byte = {}, None
+    for i in range(reader.get_piece_size()):
+        if reader.is_byte(i):
+            first_byte = i if first_byte is None else first_byte
+        elif not (reader.is_control(i) or reader.is_unknown(i) or reader.is_unused(i)):
+            pieces[reader.id_to_piece(i).replace("\u2581", " ")] = i
+    longest, text = max(map(len, pieces)), f" {text}"
+    best = [((0, 0, 0), [])]
+    for end in range(1, len(text) + 1):
+        (u, p, r), way = best[end - 1]
+        found = ((u + 1, p, r), way + [first_byte + b for b in text[end - 1].encode()])
+        for start in range(max(0, end - longest), end):
+            i = pieces.get(text[start:end])
+            if i is not None:
+                (u, p, r), way = best[start]
+                if (u, p + 1, r + i) < found[0]:
+                    found = ((u, p + 1, r + i), way + [i])
+        best.append(found)
+    return best[-1][1]
+
+
+def awkward_texts():
+    r = random.Random(11)
+    code = "def f(x):\n    return {'a': x};\r\n        foo();  // ---- ****\n\t|  1 |  2024 |...\n"
+    signs = "".join(r.choice(" -=*_#();.,{}'\"\r\n\u2581\u00b2ab1") for _ in range(400))
+    return [code, "-" * 333 + "*" * 77, " " * 150 + "x", "\u0e01\u0e32\u0e23\u0e17\u0e14" * 40, "\u4f60\u597d\u65e5\u672c" * 50, "abcd" * 100 + "the" * 90, signs, "caf\u00e9 na\u00efve  \U0001f600\U0001f600 e\u0301", "a", " "]
+
+
+def test_lattice_against_the_uncut_text(spark):
+    """No word border keeps a piece out: punctuation, indentation and letter runs over any block length."""
+    rows = list(enumerate(awkward_texts()))
+    got = {r.doc_id: list(r.ids) for r in lattice.encode(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()}
+    assert {i: lens for i, t in rows if got[i] != (lens := brute_ids(t))} == {}
