@@ -1,5 +1,6 @@
 """Results that are whole: cases in which a shortcut would lose something."""
 
+import hashlib
 import random
 
 import sentencepiece
@@ -54,3 +55,23 @@ def test_lattice_against_the_uncut_text(spark):
     rows = list(enumerate(awkward_texts()))
     got = {r.doc_id: list(r.ids) for r in lattice.encode(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()}
     assert {i: lens for i, t in rows if got[i] != (lens := brute_ids(t))} == {}
+
+
+def digest_of(text):
+    return hashlib.sha256(",".join(map(str, brute_ids(text) if text else [])).encode()).hexdigest()
+
+
+def test_lattice_report_of_whole_texts(spark, monkeypatch):
+    """The digest is that of the ids in order, and the round trip compares the decoded whole text."""
+    texts = ["one two three", "three two one", "one two three", "", *awkward_texts()]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id LONG, text STRING")
+    got = lattice.report(docs).collect()
+    want = sorted((len(brute_ids(t)) if t else 0, len(t.encode()), digest_of(t), True) for t in texts)
+    assert sorted((r.n_tokens, r.n_bytes, r.digest, r.round_trip) for r in got) == want
+    vocabulary = lattice.vocabulary
+
+    def broken(rows, pieces):
+        return vocabulary(rows, pieces).selectExpr("word", "n", "if(word = ' two', slice(ids, 1, 0), ids) ids")
+
+    monkeypatch.setattr(lattice, "vocabulary", broken)
+    assert sorted(r.round_trip for r in lattice.report(docs.limit(4)).collect()) == [False] * 3 + [True]
