@@ -75,3 +75,11 @@ def test_lattice_report_of_whole_texts(spark, monkeypatch):
 
     monkeypatch.setattr(lattice, "vocabulary", broken)
     assert sorted(r.round_trip for r in lattice.report(docs.limit(4)).collect()) == [False] * 3 + [True]
+
+
+def test_lattice_rows_whose_short_hashes_collide(spark):
+    """Different texts without an id stay apart, also if a 32-bit hash does not tell them apart."""
+    many = spark.range(300_000).selectExpr("concat('a', repeat('b ', int(id % 7)), id) text")
+    pair = next(iter(many.groupBy("text").count().selectExpr("text", "hash(text) h").groupBy("h").agg({"text": "collect_list"}).toDF("h", "t").filter("size(t) > 1").limit(1).collect())).t
+    got = lattice.report(spark.createDataFrame([(None, t) for t in pair], "doc_id LONG, text STRING")).collect()
+    assert sorted((r.n_bytes, r.digest) for r in got) == sorted((len(t), digest_of(t)) for t in pair)
