@@ -150,8 +150,8 @@ def positional_bytes(hashes: np.ndarray) -> np.ndarray:
 
 
 def near_prints(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, node, fp, bytes): ``node`` is a 64-bit hash of a text's words, ``bytes`` its positional bytes, eight to a long."""
-    names = ["doc_id", "node", "fp", "bytes"]
+    """(doc_id, copy, node, fp, bytes): ``copy`` is a 64-bit hash of the text, ``node`` one of its words, ``bytes`` its positional bytes, eight to a long."""
+    names = ["doc_id", "copy", "node", "fp", "bytes"]
 
     def run(batches):
         for batch in batches:
@@ -162,10 +162,11 @@ def near_prints(docs: DataFrame, width: int) -> DataFrame:
                 nodes.append(_node(t.as_py()))
                 prints.append(fingerprint_of(hashes))
                 signs.append(positional_bytes(hashes).view(np.int64))
-            columns = [batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(prints, pa.int64()), pa.array(signs, pa.list_(pa.int64()))]
+            columns = [batch.column("doc_id"), batch.column("copy"), pa.array(nodes, pa.int64()), pa.array(prints, pa.int64()), pa.array(signs, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, node long, fp long, bytes array<long>")
+    source = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("copy"), "text")
+    return source.mapInArrow(run, "doc_id long, copy long, node long, fp long, bytes array<long>")
 
 
 def _node(text: str | None) -> int:
@@ -224,6 +225,11 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
 
     Nulls, ties and repeated rows as in ``groups``.
     """
+    return _near_members(docs, width, similarity).select("doc_id", "component_id")
+
+
+def _near_members(docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """(doc_id, copy, node, component_id, kept) of every row: ``kept`` is the node of the group's smallest (doc_id, node)."""
     prints = settled(near_prints(docs, width), "near-prints")
     nodes = settled(prints.groupBy("node").agg(F.min("doc_id").alias("low"), F.any_value("fp").alias("fp"), F.any_value("bytes").alias("bytes")), "near-nodes")
     heads = nodes.groupBy("fp").agg(F.min("node").alias("head"))
@@ -255,16 +261,18 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     found = found.unionByName(_verified(pairs, nodes, docs, width, similarity, "near-last"))
     roots = settled(components(found, "near-edges"), "near-roots")
     member = nodes.join(roots, F.col("node") == F.col("u"), "left").select("node", "low", F.coalesce("root", "node").alias("root"))
-    lows = settled(member.join(member.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("node", "component_id"), "near-lows")
-    return prints.select("doc_id", "node").join(lows, "node").select("doc_id", "component_id")
+    first = member.groupBy("root").agg(F.min(F.when(F.col("low").isNotNull(), F.struct("low", "node"))).alias("first"))
+    lows = member.join(first, "root").select("node", F.col("first.low").alias("component_id"), F.col("first.node").alias("kept"))
+    return prints.select("doc_id", "copy", "node").join(settled(lows, "near-lows"), "node")
 
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group of ``near_groups`` the one with the smallest doc_id.
+    """The rows of ``docs`` that stay: of each group of ``near_groups`` the text with the smallest (doc_id, node).
 
-    All columns of ``docs`` are kept.  Rows with a null doc_id cannot be told apart and stay.  If the
-    smallest doc_id of a group occurs on several rows, all of them stay.
+    All columns of ``docs`` are kept.  Rows of one doc_id are told apart by their texts: a row goes only if its own text is
+    in a group of which another row stays.  Rows with a null doc_id stay, and so do repeated rows of the text that stays.
     """
-    member = near_groups(docs, width, similarity)
-    gone = member.filter(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, same(docs["doc_id"], gone["_gone"]), "left_anti")
+    member = _near_members(docs, width, similarity)
+    stays = (F.col("doc_id") == F.col("component_id")) & (F.col("node") == F.col("kept"))
+    gone = member.filter(F.col("doc_id").isNotNull() & ~stays).select(F.col("doc_id").alias("_gone"), F.col("copy").alias("_copy")).distinct()
+    return docs.join(gone, same(docs["doc_id"], gone["_gone"]) & same(F.xxhash64(docs["text"]), gone["_copy"]), "left_anti")

@@ -5,7 +5,7 @@ import random
 
 import sentencepiece
 
-from lifeloom.llm import lattice, licences
+from lifeloom.llm import lattice, licences, simhash
 
 
 def test_licences_of_a_file_with_many(spark):
@@ -83,3 +83,13 @@ def test_lattice_rows_whose_short_hashes_collide(spark):
     pair = next(iter(many.groupBy("text").count().selectExpr("text", "hash(text) h").groupBy("h").agg({"text": "collect_list"}).toDF("h", "t").filter("size(t) > 1").limit(1).collect())).t
     got = lattice.report(spark.createDataFrame([(None, t) for t in pair], "doc_id LONG, text STRING")).collect()
     assert sorted((r.n_bytes, r.digest) for r in got) == sorted((len(t), digest_of(t)) for t in pair)
+
+
+def test_keep_one_tells_rows_of_one_id_apart(spark):
+    """A row goes only if its own text has a copy that stays."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    near = c.replace("c59", "edit")
+    rows = [(3, a), (7, a), (7, b), (9, c), (9, near), (None, "some other text"), (12, None)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    kept = [tuple(r) for r in simhash.keep_one(docs).collect()]
+    assert sorted(map(str, kept)) in [sorted(map(str, [(3, a), (7, b), (9, x), (None, "some other text"), (12, None)])) for x in (c, near)]
