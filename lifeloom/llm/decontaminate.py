@@ -1,14 +1,15 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-1. Every window of ``WINDOW`` words of a benchmark item names its rarest word, by counts over the whole
-   corpus; these words are the test terms.  Every window therefore holds a test term.
+1. Every window of ``WINDOW`` words of a benchmark item names its ``WINDOW - NEAR + 1`` rarest different words, by
+   counts over the whole corpus; these words are the test terms.  Any ``NEAR`` different words of a window therefore
+   include a test term, also if its rarest word was replaced.
 2. The corpus is read once more and the postings of the test terms are stored: term, document, position,
    and the ``WINDOW - 1`` words on either side (as one string), which is as far as a window around the
    position can reach.
 3. Postings meet the benchmark positions of their term.  The difference of the two positions is the
    alignment; lists are intersected on it by comparing the neighbours outwards from the term.  A run
-   of equal words as long as a window is an exact phrase; a neighbourhood that holds at least
-   ``NEAR`` of the window's words in any order is a proximity match.
+   of equal words as long as a window is an exact phrase; ``WINDOW`` words of the document that hold at
+   least ``NEAR`` different words of a window, in any order, are a proximity match.
 4. Exact runs are joined per document into the words they hit.
 
 What is sent to the tasks is the vocabulary of the benchmark, in blocks of at most ``BLOCK_TERMS`` words,
@@ -85,20 +86,19 @@ def term_counts(docs: DataFrame, words: DataFrame, block_terms: int = BLOCK_TERM
     return _union(frames, empty).groupBy("word").agg(F.sum("n").alias("count"))
 
 
-def anchors(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
-    """(item, item_id, ipos, word, n) of the positions whose word is the rarest of some window around them."""
+def anchors(items: DataFrame, counts: DataFrame, window: int, seeds: int) -> DataFrame:
+    """(item, item_id, ipos, word, n) of the positions whose word is one of the ``seeds`` rarest different words of some
+    window around them.  Words that the corpus does not hold count as the rarest, but have no postings and are left out."""
     rated = items.join(counts, "word", "left").withColumn(
         "rank", F.struct(F.coalesce("count", F.lit(0)).alias("count"), "word", "ipos")
     )
     ahead = W.partitionBy("item").orderBy("ipos").rowsBetween(0, window - 1)
-    lowest = rated.withColumn("low", F.min("rank").over(ahead)).filter(
-        (F.col("ipos") + window <= F.col("n")) | (F.col("ipos") == 0)
-    )
-    return (
-        lowest.filter("low.count > 0")
-        .select("item", "item_id", "n", F.col("low.ipos").alias("ipos"), F.col("low.word").alias("word"))
-        .distinct()
-    )
+    ranked = rated.withColumn("ranks", F.array_sort(F.collect_list("rank").over(ahead)))
+    # Sorted, so that equal words are neighbours: the first place of each word stays.
+    first = F.filter("ranks", lambda r, i: (i == 0) | (F.get("ranks", i - 1)["word"] != r["word"]))
+    lowest = ranked.filter((F.col("ipos") + window <= F.col("n")) | (F.col("ipos") == 0))
+    named = lowest.select("item", "item_id", "n", F.explode(F.slice(first, 1, seeds)).alias("low")).filter("low.count > 0")
+    return named.select("item", "item_id", "n", F.col("low.ipos").alias("ipos"), F.col("low.word").alias("word")).distinct()
 
 
 def postings(docs: DataFrame, terms: DataFrame, window: int, block_terms: int = BLOCK_TERMS) -> DataFrame:
@@ -154,12 +154,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: i
     """(doc_id, copy, item, item_id, start, end, exact): spans of document words.
 
     ``exact``: the words [start, end) of the document are words of the item in sequence, at least a window
-    of them (or the whole of a shorter item).  Otherwise a proximity match: around a test term, at least
-    ``near`` of the words of a window occur in any order.
+    of them (or the whole of a shorter item).  Otherwise a proximity match: around a test term, ``window`` words of the
+    document hold at least ``near`` different words of a window of the item, in any order.
     """
     items = settled(item_words(benchmark), "decon-items")
     counts = settled(term_counts(docs, items, block_terms), "decon-counts")
-    picked = settled(anchors(items, counts, window), "decon-anchors")
+    picked = settled(anchors(items, counts, window, window - near + 1), "decon-anchors")
     index = settled(postings(docs, picked, window, block_terms), "decon-index")
     side = window - 1
     whole = items.groupBy("item").agg(F.sort_array(F.collect_list(F.struct("ipos", "word"))).alias("ws"))
@@ -183,8 +183,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: i
     )
     need = F.least(F.lit(window), F.col("n"))
     exact = F.col("back") + 1 + F.col("ahead") >= need
-    shared = F.size(F.array_intersect(F.concat("i_before", "i_after"), F.concat("d_before", "d_after"))) + 1
-    close = (F.col("n") >= window) & (shared >= near) & (F.col("back") + F.col("ahead") > 0)
+    shared = F.size(F.array_intersect(F.concat("i_before", F.array("word"), "i_after"), F.concat("d_before", F.array("word"), "d_after")))
+    # The cheap test over all that a window can reach comes first.
+    spread = lambda before, after: F.concat(F.reverse(before), F.array("word"), after)
+    starts = lambda words: F.sequence(F.lit(0), F.greatest(F.size(words) - window, F.lit(0)))
+    d_words, i_words = spread("d_before", "d_after"), spread("i_before", "i_after")
+    cut = lambda words: F.transform(starts(words), lambda k: F.slice(words, k + 1, F.lit(window)))
+    within = F.exists(cut(i_words), lambda i: F.exists(cut(d_words), lambda d: F.size(F.array_intersect(i, d)) >= near))
+    close = (F.col("n") >= window) & (shared >= near) & within
     found = met.filter(exact | close)
     return found.select(
         "doc_id", "copy", "item", "item_id",
@@ -247,8 +253,8 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` that hold no window of the benchmark, all columns kept."""
-    found = matches(docs, benchmark, window).filter("exact")
+    """The rows of ``docs`` that hold no window of the benchmark, neither exactly nor nearly, all columns kept."""
+    found = matches(docs, benchmark, window)
     hit = found.select(F.col("doc_id").alias("_hit"), F.col("copy").alias("_copy")).distinct()
     return docs.join(hit, same(docs["doc_id"], hit["_hit"]) & same(F.xxhash64(docs["text"]), hit["_copy"]), "left_anti")
 

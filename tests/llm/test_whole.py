@@ -5,7 +5,7 @@ import random
 
 import sentencepiece
 
-from lifeloom.llm import lattice, licences, simhash
+from lifeloom.llm import decontaminate, lattice, licences, simhash
 
 
 def test_licences_of_a_file_with_many(spark):
@@ -93,3 +93,37 @@ def test_keep_one_tells_rows_of_one_id_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
     kept = [tuple(r) for r in simhash.keep_one(docs).collect()]
     assert sorted(map(str, kept)) in [sorted(map(str, [(3, a), (7, b), (9, x), (None, "some other text"), (12, None)])) for x in (c, near)]
+
+
+def test_proximity_against_brute_force(spark):
+    """Near copies count though their rarest word was replaced or the words were reordered."""
+    r = random.Random(4)
+    common = [f"w{k}" for k in range(14)]
+    docs, items = [], []
+    for i in range(12):
+        words = [r.choice(common) for _ in range(9)] + [f"rare{i}"] + r.sample(common, 8)
+        items.append((i, " ".join(words)))
+        edited = ["gone" if w.startswith("rare") else w for w in words]
+        part = r.sample(words[4:14], 10)
+        docs += [(i * 10, " ".join(["x"] * 5 + edited + ["y"] * 3)), (i * 10 + 1, " ".join(["x"] * 4 + part)), (i * 10 + 2, " ".join(r.sample(common, 9)))]
+        docs.append((i * 10 + 3, " ".join(r.choice(common) for _ in range(30))))
+    items.append((90, "alpha beta gamma delta epsilon zeta eta theta iota kappa"))
+    docs += [(900, "q q q theta eta zeta epsilon q delta gamma beta alpha q"), (901, "alpha q beta q gamma q delta q epsilon q zeta q eta q theta"), (902, "kappa iota theta eta zeta epsilon delta")]
+
+    def windows(text):
+        w = text.split()
+        return [w[k : k + 10] for k in range(max(1, len(w) - 9))]
+
+    def holds(text, item):
+        return any(len(set(x) & set(y)) >= 8 for x in windows(text) for y in windows(item))
+
+    frame = spark.createDataFrame(docs, "doc_id LONG, text STRING")
+    bench = spark.createDataFrame(items, "item_id LONG, text STRING")
+    found = decontaminate.matches(frame, bench).collect()
+    near = {(x.doc_id, x.item_id) for x in found if not x.exact}
+    whole = {(x.doc_id, x.item_id) for x in found if x.exact}
+    want = {(d, i) for d, t in docs for i, item in items if holds(t, item)}
+    assert want - whole == near - whole and near <= want and (900, 90) in near and (901, 90) not in near and (902, 90) not in near
+    told = {x.doc_id for x in decontaminate.report(frame, bench).collect() if x.n_near}
+    assert told == {d for d, _ in near}
+    assert {x.doc_id for x in decontaminate.clean(frame, bench).collect()} == {d for d, _ in docs} - {d for d, _ in near | whole}
