@@ -2,10 +2,12 @@
 
 A url's path is cut into segments.  Numbers, hexadecimal strings and other segments that change from page to
 page are generalised: by their form, or because a node of the host's tree has many different children of few
-urls each.  What is left is the url's template.  Sibling branches, templates that differ only in
-their last literal segment, are merged into one branch unless their labelled shares differ significantly.
-A template is rejected if its share of labelled-bad urls, smoothed by that of templates of the same shape on all hosts,
-reaches ``REJECT``.  The urls that a rule decides are the labelled ones.
+urls each.  The tree is built level by level: the children of a node are counted under its generalised path.  What is left
+is the url's template.  Sibling branches, templates that differ only in their last literal segment, are merged if
+both have labelled urls and their labelled shares do not differ significantly.  A template is rejected if the share of
+labelled-bad urls of its own branch, or of the branches merged with it, reaches ``REJECT``, as it is and smoothed by the share of
+templates of the same shape on all hosts.  Without labelled urls there it is not rejected.  The urls that a rule decides are the
+labelled ones.
 """
 
 from __future__ import annotations
@@ -73,21 +75,26 @@ def parsed(pages: DataFrame, rules=RULES) -> DataFrame:
 
 def templates(rows: DataFrame) -> DataFrame:
     """(row, host, template, pooled): the generalised path, and the same with its last literal segment open."""
-    each = rows.select("row", "host", F.col("forms"), F.posexplode("forms").alias("depth", "form"))
-    parent = F.concat_ws("/", F.slice("forms", F.lit(1), F.col("depth")))
-    nodes = each.select("row", "host", "depth", "form", parent.alias("parent"))
-    # Of each tree node: its urls and different children; both sums combine before the shuffle.
-    children = nodes.groupBy("host", "parent", "form").agg(F.count("*").alias("urls"))
-    wide = (
-        children.filter(~F.col("form").contains("{")).groupBy("host", "parent")
-        .agg(F.sum("urls").alias("urls"), F.count("*").alias("kinds"))
-        .filter((F.col("kinds") >= MANY_CHILDREN) & (F.col("urls") < FEW_URLS * F.col("kinds")))
-        .select("host", "parent", F.lit(True).alias("wide"))
-    )
-    seen = nodes.join(wide, ["host", "parent"], "left").groupBy("row", "host").agg(
-        F.sort_array(F.collect_list(F.struct("depth", F.when(F.col("wide") & ~F.col("form").contains("{"), F.lit("*")).otherwise(F.col("form")).alias("form")))).alias("s")
-    )
-    segments = F.col("s")["form"]
+    literal_at = lambda c: ~c.contains("{")
+    now = rows.select("row", "host", "forms", F.array().cast("array<string>").alias("s")).filter(F.size("forms") > 0)
+    # Deeper than this no host has the urls that a variable node needs.
+    levels = now.select("host", F.explode(F.sequence(F.lit(1), F.size("forms"))).alias("level")).groupBy("host", "level").count()
+    deepest = levels.filter(F.col("count") >= MANY_CHILDREN).agg(F.max("level")).first()[0] or 0
+    for depth in range(deepest):
+        form = F.get("forms", F.lit(depth))
+        nodes = now.withColumn("parent", F.array_join("s", "/")).withColumn("form", form)
+        # Of each tree node: its urls and different children; both sums combine before the shuffle.
+        children = nodes.filter(F.col("form").isNotNull() & literal_at(F.col("form"))).groupBy("host", "parent", "form").agg(F.count("*").alias("urls"))
+        wide = (
+            children.groupBy("host", "parent").agg(F.sum("urls").alias("urls"), F.count("*").alias("kinds"))
+            .filter((F.col("kinds") >= MANY_CHILDREN) & (F.col("urls") < FEW_URLS * F.col("kinds")))
+            .select("host", "parent", F.lit(True).alias("wide"))
+        )
+        told = F.when(F.col("wide") & literal_at(F.col("form")), F.lit("*")).otherwise(F.col("form"))
+        grown = F.when(F.col("form").isNull(), F.col("s")).otherwise(F.concat("s", F.array(told)))
+        now = settled(nodes.join(wide, ["host", "parent"], "left").select("row", "host", "forms", grown.alias("s")), "url-levels")
+    seen = now.select("row", "host", F.concat("s", F.slice("forms", F.size("s") + 1, F.size("forms"))).alias("s"))
+    segments = F.col("s")
     literal = F.transform(segments, lambda x: ~(x.contains("{") | (x == "*")))
     last = F.size(segments) - F.array_position(F.reverse(literal), True)
     opened = F.when(F.array_contains(literal, True), F.transform(segments, lambda x, i: F.when(i == last, F.lit("~")).otherwise(x))).otherwise(segments)
@@ -98,8 +105,8 @@ def verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, template, purity) of every row of ``pages``.
 
     ``purity`` is the smoothed share of labelled-bad urls of the row's template.  A null url, one without ``://`` and
-    an empty path belong to the template ``""`` of their host; without any labelled url the purity is 0 and the method
-    allows.  Repeated rows and null ids stay; further columns are ignored.
+    an empty path belong to the template ``""`` of their host; without a labelled url in its own branch a template's purity is 0
+    and the method allows.  Repeated rows and null ids stay; further columns are ignored.
     """
     rows = parsed(pages, rules)
     shaped = rows.join(templates(rows).drop("host"), "row", "left").select(
@@ -116,16 +123,19 @@ def verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
     one = F.lit(1.0)
     spread = F.sqrt(share * (one - share) * (F.try_divide(one, F.col("n")) + F.try_divide(one, other_n)))
     gap = F.abs(F.try_divide(F.col("bad"), F.col("n")) - F.try_divide(other_bad, other_n))
-    # A branch, or the rest of its pool, without labels is not apart.
-    apart = F.coalesce(gap > Z * spread, F.lit(False))
+    # Merged: branches that have labels, as has the rest of their pool, and are not apart from it.
+    merged = (F.col("n") > 0) & (other_n > 0) & ~F.coalesce(gap > Z * spread, F.lit(False))
+    tested = branch.join(pool, ["host", "pooled"]).withColumn("merged", merged)
+    joint = tested.filter("merged").groupBy("host", "pooled").agg(F.sum("n").alias("m_n"), F.sum("bad").alias("m_bad"))
     prior = (F.col("s_bad") + SMOOTHING * F.col("all_bad")) / (F.col("s_n") + SMOOTHING)
-    used_n, used_bad = F.when(apart, F.col("n")).otherwise(F.col("p_n")), F.when(apart, F.col("bad")).otherwise(F.col("p_bad"))
+    used_n, used_bad = F.when(F.col("merged"), F.col("m_n")).otherwise(F.col("n")), F.when(F.col("merged"), F.col("m_bad")).otherwise(F.col("bad"))
+    smoothed = F.when(used_n > 0, (used_bad + SMOOTHING * prior) / (used_n + SMOOTHING)).otherwise(0.0)
     judged = (
-        branch.join(pool, ["host", "pooled"]).join(shape, "pooled").join(F.broadcast(whole))  # ``whole`` is one row
-        .select("host", "template", ((used_bad + SMOOTHING * prior) / (used_n + SMOOTHING)).alias("purity"))
+        tested.join(joint, ["host", "pooled"], "left").join(shape, "pooled").join(F.broadcast(whole))  # ``whole`` is one row
+        .select("host", "template", smoothed.alias("purity"), F.coalesce(F.try_divide(used_bad, used_n) >= REJECT, F.lit(False)).alias("seen_bad"))
     )
     return shaped.join(judged, ["host", "template"]).select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"),
-        F.coalesce(F.col("fit.verdict"), F.when(F.col("purity") >= REJECT, "block").otherwise("allow")).alias("verdict"),
+        F.coalesce(F.col("fit.verdict"), F.when(F.col("seen_bad") & (F.col("purity") >= REJECT), "block").otherwise("allow")).alias("verdict"),
         "template", "purity",
     )

@@ -5,7 +5,7 @@ import random
 
 import sentencepiece
 
-from lifeloom.llm import decontaminate, lattice, licences, simhash
+from lifeloom.llm import decontaminate, lattice, licences, simhash, urls
 
 
 def test_licences_of_a_file_with_many(spark):
@@ -127,3 +127,16 @@ def test_proximity_against_brute_force(spark):
     told = {x.doc_id for x in decontaminate.report(frame, bench).collect() if x.n_near}
     assert told == {d for d, _ in near}
     assert {x.doc_id for x in decontaminate.clean(frame, bench).collect()} == {d for d, _ in docs} - {d for d, _ in near | whole}
+
+
+def test_urls_need_labels_of_their_own(spark):
+    """A branch without labelled urls is not rejected for its siblings or its shape; one with bad urls of its own is."""
+    rules = (("block", "bad.net/es/1"), ("allow", "bad.net/it/1"), ("block", "bad.net/es/x"))
+    made = [f"x://bad.net/{lang}/{k}" for lang in ("es", "it", "en") for k in (*range(10, 20), *range(20, 30))]
+    made += [f"x://good.org/en/{k}" for k in range(20)]
+    # Under the variable second segment all pages are children of one node.
+    made += [f"x://deep.org/{a}/{b}" for a, b in zip("abcdefghij", "qrstuvwxyz")]
+    pages = spark.createDataFrame(list(enumerate(made)), "page_id LONG, url STRING")
+    got = {(r.host, r.path.split("/")[1]): (r.verdict, r.template) for r in urls.verdicts(pages, rules).collect() if r.rule is None}
+    assert got["bad.net", "es"][0] == "block" and got["bad.net", "it"][0] == got["bad.net", "en"][0] == got["good.org", "en"][0] == "allow"
+    assert {got["deep.org", a][1] for a in "abcdefghij"} == {"*/*"}
