@@ -51,6 +51,24 @@ def same(a, b):
     return a.eqNullSafe(b)
 
 
+#: Share of all weight, as one in so many, above which a key counts as heavy; fewer than this many keys can.
+HEAVY = 1000
+
+
+def heavy_join(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """``rows`` joined to ``keyed`` (one row per key, ``weight`` its number of rows or less); no task gets a heavy key whole.
+
+    Keys above 1/HEAVY of the summed weight are fewer than HEAVY, so they are broadcast, and their rows stay where
+    they are.  The others meet in a shuffle.  Both inputs are read twice: pass settled ones.
+    """
+    total = keyed.agg(F.sum(weight)).first()[0] or 0
+    heavy = keyed.filter(F.col(weight) * HEAVY > total)
+    light = keyed.filter(F.col(weight) * HEAVY <= total)
+    here = rows.join(F.broadcast(heavy), on)
+    rest = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti")
+    return here.unionByName(rest.join(light, on))
+
+
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of the runs of true values."""
     edge = np.diff(np.concatenate(([0], mask.astype(np.int8), [0])))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate, imatch, lattice, licences, pii, quality, secrets, simhash, suffixes, urls
+from . import decontaminate, imatch, lattice, licences, lines, pii, quality, secrets, simhash, suffixes, urls
 from .common import table
 
 
@@ -69,8 +69,14 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.report(table(spark, sf_dir, "documents"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without lines that other documents hold."""
+    configure(spark)
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_benchmark_decontamination, op3_i_match, op4_pii, op5_secret_scan, op6_quality_classifier, op7_url_filter,
-    op8_simhash_near_dedup, op9_suffix_array_dedup, op10_sentencepiece,
+    op8_simhash_near_dedup, op9_suffix_array_dedup, op10_sentencepiece, op12_line_dedup,
 )}
-ORACLES = {"op2_benchmark_decontamination": decontaminate.ORACLE}
+ORACLES = {"op2_benchmark_decontamination": decontaminate.ORACLE, "op12_line_dedup": lines.ORACLE}
