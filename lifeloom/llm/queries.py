@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate, imatch, lattice, licences, lines, pii, quality, secrets, simhash, suffixes, urls
+from . import decontaminate, imatch, lattice, licences, lines, periods, pii, quality, secrets, simhash, suffixes, urls
 from .common import table
 
 
@@ -75,8 +75,14 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words, and its words without repetitions."""
+    configure(spark)
+    return periods.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_benchmark_decontamination, op3_i_match, op4_pii, op5_secret_scan, op6_quality_classifier, op7_url_filter,
-    op8_simhash_near_dedup, op9_suffix_array_dedup, op10_sentencepiece, op12_line_dedup,
+    op8_simhash_near_dedup, op9_suffix_array_dedup, op10_sentencepiece, op12_line_dedup, op13_periodic_runs,
 )}
 ORACLES = {"op2_benchmark_decontamination": decontaminate.ORACLE, "op12_line_dedup": lines.ORACLE}
