@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate, imatch, lattice, licences, lines, periods, pii, quality, secrets, simhash, suffixes, urls
+from . import decontaminate, imatch, lattice, licences, lines, periods, pii, quality, secrets, simhash, suffixes, tries, urls
 from .common import table
 
 
@@ -69,6 +69,12 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.report(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the conversations' prefix trie with members, leaves and savings."""
+    configure(spark)
+    return tries.report(table(spark, sf_dir, "conversations"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without lines that other documents hold."""
     configure(spark)
@@ -83,6 +89,6 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_benchmark_decontamination, op3_i_match, op4_pii, op5_secret_scan, op6_quality_classifier, op7_url_filter,
-    op8_simhash_near_dedup, op9_suffix_array_dedup, op10_sentencepiece, op12_line_dedup, op13_periodic_runs,
+    op8_simhash_near_dedup, op9_suffix_array_dedup, op10_sentencepiece, op11_prefix_trie, op12_line_dedup, op13_periodic_runs,
 )}
-ORACLES = {"op2_benchmark_decontamination": decontaminate.ORACLE, "op12_line_dedup": lines.ORACLE}
+ORACLES = {"op2_benchmark_decontamination": decontaminate.ORACLE, "op11_prefix_trie": tries.ORACLE, "op12_line_dedup": lines.ORACLE}
