@@ -15,7 +15,6 @@ midpoint's members link to its smallest one.  That finds every link, and its wor
 
 from __future__ import annotations
 
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -132,19 +131,17 @@ def groups(docs: DataFrame, width: int = 3) -> DataFrame:
     )
 
 
-@cache
-def _odd_factors() -> np.ndarray:
-    return np.random.default_rng(SEED).integers(0, 1 << 63, LISTS * LIST_BYTES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Odd factors, one per position.
+_ODD = np.random.default_rng(SEED).integers(0, 1 << 63, LISTS * LIST_BYTES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def positional_bytes(hashes: np.ndarray) -> np.ndarray:
     """One byte for each of LISTS x LIST_BYTES positions: of the smallest of the hashes under the position's factor."""
     lowest = np.full(LISTS * LIST_BYTES, np.iinfo(np.uint64).max, dtype=np.uint64)
-    factors = _odd_factors()
     with np.errstate(over="ignore"):
         for at in range(0, len(hashes), BLOCK // 128):
             part = hashes[at : at + BLOCK // 128, None]
-            lowest = np.minimum(lowest, (part * factors).min(axis=0))
+            lowest = np.minimum(lowest, (part * _ODD).min(axis=0))
         # Multiplied once more, so that the byte depends on all bits of the minimum.
         return (((lowest ^ (lowest >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8)
 
