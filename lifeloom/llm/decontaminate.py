@@ -101,25 +101,43 @@ def anchors(items: DataFrame, counts: DataFrame, window: int, seeds: int) -> Dat
     return named.select("item", "item_id", "n", F.col("low.ipos").alias("ipos"), F.col("low.word").alias("word")).distinct()
 
 
-def postings(docs: DataFrame, terms: DataFrame, window: int, block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """The stored index: (word, doc_id, copy, pos, before, after) of every occurrence of a test term.
+def crowded(places: np.ndarray, window: int, least: int) -> np.ndarray:
+    """Which of the ascending ``places`` lie in some ``window`` consecutive words that hold at least ``least`` of them."""
+    count = np.searchsorted(places, places + window) - np.arange(len(places))
+    heads = np.flatnonzero(count >= least)
+    edge = np.zeros(len(places) + 1, dtype=np.int64)
+    np.add.at(edge, heads, 1)
+    np.add.at(edge, heads + count[heads], -1)
+    return np.cumsum(edge[:-1]) > 0
 
+
+def postings(docs: DataFrame, terms: DataFrame, vocabulary: DataFrame, window: int, least: int, block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """The stored index: (word, doc_id, copy, pos, before, after) of the occurrences of test terms that can matter.
+
+    A match of either kind lies in ``window`` words that hold at least ``least`` words of the benchmark's ``vocabulary``; other
+    occurrences are not stored.  A vocabulary beyond ``block_terms`` is not sent and leaves all occurrences in.
     ``copy`` is a hash of the text, so that rows which share an id stay apart.
     """
     side = window - 1
     names = ["word", "doc_id", "copy", "pos", "before", "after"]
     frames = []
+    sieves = list(_blocks(vocabulary, block_terms)) if vocabulary.select("word").distinct().count() <= block_terms else []
+    sieve = docs.sparkSession.sparkContext.broadcast(sieves[0]) if sieves else None
     for known in _blocks(terms, block_terms):
         sent = docs.sparkSession.sparkContext.broadcast(known)
 
         def run(batches, sent=sent):
             known = sent.value
+            wide = sieve.value if sieve else known
             for batch in batches:
                 rows = []
                 for doc, copy, text in zip(*(batch.column(c) for c in ("doc_id", "copy", "text"))):
                     words = byte_words(text.as_py())
-                    hits = [(i, w) for i, w in enumerate(words) if w in known]
-                    if not hits:
+                    hits = [(i, w) for i, w in enumerate(words) if w in wide]
+                    if sieve and len(hits) >= least:
+                        kept = crowded(np.array([i for i, _ in hits]), window, least)
+                        hits = [hit for hit, keep in zip(hits, kept) if keep and hit[1] in known]
+                    elif sieve or not hits:
                         continue
                     doc, copy = doc.as_py(), copy.as_py()
                     for i, w in hits:
@@ -160,7 +178,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: i
     items = settled(item_words(benchmark), "decon-items")
     counts = settled(term_counts(docs, items, block_terms), "decon-counts")
     picked = settled(anchors(items, counts, window, window - near + 1), "decon-anchors")
-    index = settled(postings(docs, picked, window, block_terms), "decon-index")
+    shortest = items.agg(F.min("n")).first()[0] or 1
+    index = settled(postings(docs, picked, items, window, min(near, window, shortest), block_terms), "decon-index")
     side = window - 1
     whole = items.groupBy("item").agg(F.sort_array(F.collect_list(F.struct("ipos", "word"))).alias("ws"))
     whole = whole.select("item", F.col("ws.word").alias("words"))
@@ -214,18 +233,20 @@ def _covered(spans):
     )
 
 
-def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """One row per row of ``docs``: n_words, n_hit, n_items, items_sha256, contaminated, n_near.
 
+    ``n_near`` counts the items that the row holds nearly and not exactly anywhere.
     Null texts have no words; null ids and repeated rows keep their rows; equal rows get equal
     results.  An item with a null id counts as an item, its id written as an empty string.  An empty
     benchmark hits nothing.  Further columns are ignored.
     """
-    found = matches(docs, benchmark, window)
+    found = matches(docs, benchmark, window, block_terms=block_terms)
     hits = found.groupBy(F.col("doc_id").alias("h_id"), F.col("copy").alias("h_copy")).agg(
         F.sort_array(F.collect_set(F.when(F.col("exact"), F.struct("start", "end")))).alias("spans"),
         F.collect_set(F.when(F.col("exact"), F.coalesce(F.col("item_id").cast("string"), F.lit("")))).alias("ids"),
-        F.countDistinct(F.when(~F.col("exact"), F.col("item"))).alias("n_near"),
+        F.collect_set(F.when(F.col("exact"), F.col("item"))).alias("held"),
+        F.collect_set(F.when(~F.col("exact"), F.col("item"))).alias("close"),
     )
     hits = settled(hits, "decon-hits")
     base = _word_counts(docs)
@@ -238,7 +259,7 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort(F.coalesce("ids", none)), ","), 256).alias("items_sha256"),
         (F.coalesce(F.size("spans"), F.lit(0)) > 0).alias("contaminated"),
-        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+        F.coalesce(F.size(F.array_except("close", "held")), F.lit(0)).cast("long").alias("n_near"),
     )
 
 
@@ -278,8 +299,18 @@ hits AS (
   SELECT doc_id, i, p.k, item_id FROM places p JOIN windows v
   ON p.k = v.k AND array_to_string(w[i:i + p.k - 1], ' ') = phrase),
 covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS j FROM hits) GROUP BY 1),
-named AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM hits GROUP BY 1)
+named AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM hits GROUP BY 1),
+numbered AS (SELECT row_number() OVER () AS item, * FROM (SELECT DISTINCT item_id, w FROM items WHERE len(w) >= {WINDOW})),
+i_sets AS (SELECT DISTINCT item, item_id, t, unnest(w[t:t + {WINDOW - 1}]) AS word
+           FROM (SELECT *, unnest(generate_series(1, len(w) - {WINDOW - 1})) AS t FROM numbered)),
+d_sets AS (SELECT DISTINCT doc_id, s, word FROM (
+             SELECT doc_id, s, unnest(w[s:s + {WINDOW - 1}]) AS word
+             FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - {WINDOW - 1}, 1))) AS s FROM docs)) WHERE word IN (SELECT word FROM i_sets)),
+close AS (SELECT DISTINCT doc_id, item, item_id FROM (
+            SELECT doc_id, s, item, t, any_value(item_id) AS item_id FROM d_sets JOIN i_sets USING (word) GROUP BY 1, 2, 3, 4 HAVING count(*) >= {NEAR})),
+nearly AS (SELECT doc_id, count(*) AS n_near FROM close WHERE NOT EXISTS (
+             SELECT 1 FROM hits WHERE hits.doc_id = close.doc_id AND hits.item_id = close.item_id) GROUP BY 1)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
-       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
-FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN nearly USING (doc_id)
 """

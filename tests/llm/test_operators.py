@@ -91,11 +91,20 @@ def test_decontamination(spark, docs, none):
 
 
 def _blocked(docs, bench):
-    old, decontaminate.term_counts.__defaults__ = decontaminate.term_counts.__defaults__, (7,)
+    """The report with the vocabulary in blocks of about seven words."""
+    sizes, blocks = [], decontaminate._blocks
+
+    def watched(words, limit):
+        for block in blocks(words, limit):
+            sizes.append(len(block))
+            yield block
+
+    decontaminate._blocks = watched
     try:
-        return decontaminate.report(docs, bench).collect()
+        return decontaminate.report(docs, bench, block_terms=7).collect()
     finally:
-        decontaminate.term_counts.__defaults__ = old
+        decontaminate._blocks = blocks
+        assert len(sizes) > 4 and max(sizes) < 40
 
 
 def test_imatch(docs, none):
