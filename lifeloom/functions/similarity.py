@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
 import math
+import zlib
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from lifeloom.session import settle
+
 PREFIX_SCALE = 0.1
 PREFIX_LIMIT = 4
 
@@ -49,91 +53,134 @@ def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([jaro_winkler_text(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf(DoubleType())
-def weaker_match(a1: pd.Series, b1: pd.Series, a2: pd.Series, b2: pd.Series) -> pd.Series:
-    """The smaller of two similarities, in one pass; 0 as soon as one of them has nothing in common."""
-    out = []
-    for w, x, y, z in zip(a1, b1, a2, b2):
-        first = jaro_winkler_text(w, x)
-        out.append(min(first, jaro_winkler_text(y, z)) if first else 0.0)
-    return pd.Series(out, dtype="float64")
-
-
-def _letters(c: Column) -> Column:
-    return F.filter(F.split(c, ""), lambda x: x != "")
-
-
-def _numbered(letters: Column) -> Column:
-    """Repeated letters numbered, so that the bag becomes a set: aab -> a1 a2 b1."""
-    return F.transform(
-        letters,
-        lambda x, i: F.concat(x, F.size(F.filter(F.slice(letters, 1, i + 1), lambda y: y == x)).cast("string")),
-    )
-
-
-def letter_bag(c: Column) -> Column:
-    """The letters of a text with multiplicity, as comparable numbers."""
-    return F.transform(_numbered(_letters(c)), lambda x: F.xxhash64(x))
-
-
-def may_reach(a: Column, b: Column, bag_a: Column, bag_b: Column, threshold: float) -> Column:
+def may_reach(a: Column, b: Column, mask_a: Column, mask_b: Column, threshold: float) -> Column:
     """False only for pairs that cannot reach ``threshold``.
 
-    At most the shared letters can match, without any transposition: an upper bound of the
-    similarity that stays in the JVM and spares most pairs the exact measure.
+    At most the shared letters can match, without any transposition.  A bit of one text that the other lacks is at least one
+    letter that is not shared, so lengths less lacking bits bound them: an upper bound of the similarity in a few
+    operations on longs, which spares most pairs the exact measure.
     """
     # jaro + bonus * (1 - jaro) >= threshold, solved for the shared letters.
     def least(n: int) -> float:
-        bonus = n * PREFIX_SCALE
-        return 3.0 * (threshold - bonus) / (1.0 - bonus) - 1.0 - 1e-9
+        return 3.0 * _jaro_floor(threshold, n) - 1.0 - 1e-9
 
     needed = F.lit(least(0))
     for n in range(1, PREFIX_LIMIT + 1):
         needed = F.when(F.substring(a, 1, n) == F.substring(b, 1, n), least(n)).otherwise(needed)
-    shared = F.size(F.array_intersect(bag_a, bag_b))
+    shared = F.least(
+        F.length(a) - F.bit_count(mask_a.bitwiseAND(F.bitwise_not(mask_b))),
+        F.length(b) - F.bit_count(mask_b.bitwiseAND(F.bitwise_not(mask_a))),
+    )
     return shared * (1.0 / F.length(a) + 1.0 / F.length(b)) >= needed
 
 
-def name_signatures(c: Column, threshold: float) -> Column:
-    """Keys, as ``array<struct<sig, initial>>``, of which two texts at or above ``threshold`` share one.
+def _jaro_floor(threshold: float, prefix: int) -> float:
+    """Least Jaro similarity of a pair at or above ``threshold`` whose common prefix has ``prefix`` letters."""
+    bonus = prefix * PREFIX_SCALE
+    return (threshold - bonus) / (1.0 - bonus)
+
+
+def _share(threshold: float, prefix: int) -> float:
+    """Least share of each text's letters that match in such a pair."""
+    return max(3.0 * _jaro_floor(threshold, prefix) - 2.0, 0.0)
+
+
+#: Letters that a key combines at most.
+TOGETHER = 3
+# Fixed value: English letter order, frequent first.
+FREQUENT = "etaoinshrdlcumwfgypbvkjxqz"
 
-    * Same first letter: they share the ``initial`` key of that letter.
-    * Different first letters: there is no prefix bonus, so Jaro itself must reach the
-      threshold, which forces ``m/|a| + m/|b| >= 3*threshold - 1`` and hence
-      ``m >= (3*threshold - 2) * |x|`` for both texts.  Two letter bags with that overlap
-      share one of the ``|x| - ceil((3*threshold - 2)*|x|) + 1`` first letters of each in
-      any fixed order (prefix filter).  Rare letters come first, which keeps keys selective.
+
+def numbered(text: str) -> list[str]:
+    """The letters of a text, rare ones first; repeated ones numbered, so that the bag becomes a set: aab -> b1 a1 a2."""
+    seen: dict[str, int] = {}
+    for letter in text:
+        seen[letter] = seen.get(letter, 0) + 1
+    return [f"{x}{i}" for x in sorted(seen, key=lambda x: (-FREQUENT.find(x), x)) for i in range(1, seen[x] + 1)]
+
+
+def letter_mask(text: str) -> int:
+    """The numbered letters as a set of 64 bits; several may share one."""
+    mask = 0
+    for letter in numbered(text):
+        mask |= 1 << (zlib.crc32(letter.encode("utf-8", "surrogatepass")) % 64)
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def prefix_keys(text: str, threshold: float) -> list[tuple[int, str]]:
+    """Keys (prefix, sig), of which two texts at or above ``threshold`` share one whose ``prefix`` is the number of letters they
+    begin with in common (4 stands for four or more).
+
+    A longer common prefix allows a smaller Jaro similarity, so each length has a bound of its own: ``m`` letters match with
+    ``m >= share(prefix) * |x|`` for both texts, of which the prefix itself is a part.  So what is behind the prefix shares
+    ``need = ceil(share * |x|) - prefix`` letters or more.  Texts that share ``need`` letters share ``k <= need`` of them among the first
+    ``rest - need + k`` in a fixed order (rare letters first); each ``k`` of those are a key.  ``k`` is TOGETHER where that many
+    must be shared; texts that may share fewer have the keys of fewer letters too, down to the prefix alone.
     """
-    share = 3.0 * threshold - 2.0
-    if share <= 0:
+    keys = []
+    for prefix in range(PREFIX_LIMIT + 1):
+        if len(text) < max(prefix, 1):
+            break
+        head, rest = text[:prefix], numbered(text[prefix:])
+        need = math.ceil(_share(threshold, prefix) * len(text) - 1e-9) - prefix
+        for k in range(max(min(need, TOGETHER), 0), TOGETHER + 1):
+            first = rest[: max(len(rest) - max(need, k) + k, 0)] if len(rest) >= k else []
+            keys += [(prefix, f"{head} {''.join(some)}") for some in itertools.combinations(first, k)] if k or need <= 0 else []
+    return keys
+
+
+def name_keys(threshold: float):
+    """A pandas UDF: ``mask`` and ``keys`` of each text; null and empty texts have no key."""
+    if _share(threshold, 0) <= 0:
         raise ValueError("threshold must exceed 2/3 for the key bound to hold")
-    letters = _letters(c)
-    bag = _numbered(letters)
-    frequent = "etaoinshrdlcumwfgypbvkjxqz"  # fixed value: English letter order, frequent first
-    ranked = F.array_sort(
-        F.transform(
-            bag,
-            lambda t: F.struct(
-                (F.lit(0) - F.instr(F.lit(frequent), F.lower(F.substring(t, 1, 1)))).alias("r"), t.alias("t")
-            ),
-        )
-    )
-    n = F.size(letters)
-    need = F.ceil(F.lit(share) * n - F.lit(1e-9)).cast("int")
-    tail = F.transform(
-        F.slice(ranked, 1, n - need + 1), lambda s: F.struct(F.xxhash64(s["t"]).alias("sig"), F.lit(False).alias("initial"))
-    )
-    head = F.array(F.struct(F.xxhash64(F.substring(c, 1, 1)).alias("sig"), F.lit(True).alias("initial")))
-    return F.when(c.isNull() | (F.length(c) == 0), F.slice(head, 1, 0)).otherwise(F.concat(head, tail))
+
+    @F.pandas_udf("mask long, keys array<struct<prefix:int,sig:string>>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        texts = texts.fillna("")
+        keys = [[{"prefix": p, "sig": s} for p, s in prefix_keys(t, threshold)] for t in texts]
+        return pd.DataFrame({"mask": [letter_mask(t) for t in texts], "keys": keys})
+
+    return of
+
+
+def same_class(a: Column, b: Column, prefix: Column, threshold: float) -> Column:
+    """Whether two texts begin with exactly ``prefix`` equal letters (four: at least), and are near enough in length for that."""
+    longer, shorter = F.greatest(F.length(a), F.length(b)), F.least(F.length(a), F.length(b))
+    ratio = F.element_at(F.array(*[F.lit(_share(threshold, p)) for p in range(PREFIX_LIMIT + 1)]), prefix + 1)
+    parted = (prefix == PREFIX_LIMIT) | (a == b) | (F.substring(a, prefix + 1, F.lit(1)) != F.substring(b, prefix + 1, F.lit(1)))
+    return parted & (shorter >= longer * ratio - F.lit(1e-9))
 
 
-def length_floor(threshold: float, initial: bool) -> float:
-    """Least ratio of the shorter to the longer text for a pair at or above ``threshold``.
+def similar_pairs(left: DataFrame, right: DataFrame, on: list[str], text: str, row: str, threshold: float, tile: int = 500, once: bool = False) -> DataFrame:
+    """(l_row, r_row): pairs of rows that agree ``on`` and whose texts reach ``threshold``; equal texts reach any.
 
-    With equal first letters up to four letters of bonus lower the Jaro bound.
+    ``once`` leaves only pairs whose left row is the smaller one.
+    Rows meet under the keys of their texts only.  The rows that a key brings together on the left are cut into tiles of
+    about ``tile``, so that the comparisons under a hot key spread over tasks.  What passes the cheap bounds is compared
+    once per pair.
     """
-    jaro = threshold
-    if initial:
-        bonus = PREFIX_LIMIT * PREFIX_SCALE
-        jaro = (threshold - bonus) / (1.0 - bonus)
-    return max(3.0 * jaro - 2.0, 0.0)
+    cell = [*on, "_prefix", "_sig"]
+    # A fixed number of partitions: the work is in letters and pairs, which adaptive coalescing by bytes would pack into one task.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def keyed(df: DataFrame, side: str) -> DataFrame:
+        known = df.repartition(tasks, row).withColumn("_k", name_keys(threshold)(F.col(text)))
+        named = known.select(*on, F.col(row).alias(f"{side}_{row}"), F.col(text).alias(f"{side}_{text}"), F.col("_k.mask").alias(f"{side}_mask"), F.explode("_k.keys").alias("_key"))
+        return named.withColumn("_prefix", F.col("_key.prefix")).withColumn("_sig", F.col("_key.sig")).drop("_key")
+
+    ours, theirs = settle(keyed(left, "l")), keyed(right, "r")
+    sizes = ours.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("_tiles"))
+    spread = sizes.filter("_tiles > 1")
+    tiled = ours.join(spread, cell, "left").withColumn("_tile", F.coalesce(F.pmod(F.xxhash64(f"l_{row}"), "_tiles"), F.lit(0)).cast("int"))
+    copies = theirs.join(sizes, cell).withColumn("_tile", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
+    a, b = F.col(f"l_{text}"), F.col(f"r_{text}")
+    candidates = (
+        tiled.drop("_tiles").repartition(tasks, *cell, "_tile")
+        .join(copies.drop("_tiles").repartition(tasks, *cell, "_tile"), [*cell, "_tile"])
+        .filter((F.col(f"l_{row}") < F.col(f"r_{row}")) if once else F.lit(True))
+        .filter(same_class(a, b, F.col("_prefix"), threshold))
+        .filter(may_reach(a, b, F.col("l_mask"), F.col("r_mask"), threshold))
+        .select(f"l_{row}", f"r_{row}", a, b)
+        .distinct()
+    )
+    return candidates.filter((a == b) | (jaro_winkler(f"l_{text}", f"r_{text}") >= threshold)).select(f"l_{row}", f"r_{row}")

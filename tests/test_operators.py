@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lifeloom.functions.asof import earliest_after, latest_before, previous_value
 from lifeloom.functions.columns import norm_phone, split_path
 from lifeloom.functions.ranking import positions
-from lifeloom.functions.similarity import jaro_winkler_text, name_signatures
+from lifeloom.functions.similarity import jaro_winkler_text, may_reach, letter_mask, prefix_keys, similar_pairs
 from lifeloom.functions.times import days_between
 from lifeloom.operators import carts, catalog, crm, forms, hygiene, identity, loyalty, monitors, orders, quality, recommend, winback
 from lifeloom.session import scratch
@@ -296,18 +296,46 @@ def test_phone_forms(make):
     assert got == {"+15551234567", None, "+442079460958"}
 
 
-def test_similar_names_share_a_signature(spark):
-    import itertools
+def _names(seed):
     import random
 
-    rng = random.Random(3)
-    names = ["".join(rng.choice("abcdestz") for _ in range(rng.randint(2, 7))) for _ in range(260)]
-    names += [n[1:] for n in names[:60] if len(n) > 4] + [n[1] + n[0] + n[2:] for n in names[:60]]
-    rows = spark.createDataFrame([(n,) for n in set(names)], "n STRING").select("n", name_signatures(F.col("n"), 0.9).alias("s")).collect()
-    signatures = {r.n: {(x.sig, x.initial) for x in r.s} for r in rows}
-    near = [(a, b) for a, b in itertools.combinations(signatures, 2) if jaro_winkler_text(a, b) >= 0.9]
+    rng = random.Random(seed)
+    names = ["".join(rng.choice("abcdestz") for _ in range(rng.randint(1, 7))) for _ in range(260)]
+    names += [n[1:] for n in names[:60] if len(n) > 4] + [n[1] + n[0] + n[2:] for n in names[:60] if len(n) > 1]
+    names += ["".join(rng.choice("ab") for _ in range(rng.randint(8, 14))) for _ in range(40)] + ["Jörg", "jörg", "müller", "mülller"]
+    return sorted(set(names))
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.9, 0.95])
+def test_similar_names_share_a_key(threshold):
+    import itertools
+
+    names = _names(3)
+    keys = {n: set(prefix_keys(n, threshold)) for n in names}
+    near = [(a, b) for a, b in itertools.combinations(names, 2) if jaro_winkler_text(a, b) >= threshold]
     assert any(a[0] != b[0] for a, b in near)
-    assert all(signatures[a] & signatures[b] for a, b in near)
+    for a, b in near:
+        common = next((i for i, (x, y) in enumerate(zip(a[:4], b[:4])) if x != y), min(len(a), len(b), 4))
+        assert any(p == common for p, _ in keys[a] & keys[b]), (a, b)
+
+
+@pytest.mark.parametrize("tile", [3, 500])
+def test_similar_pairs_are_all_pairs_above_the_threshold(spark, tile):
+    names = _names(5)
+    df = spark.createDataFrame([(n, i, g) for g in "xy" for i, n in enumerate(names) if g == "x" or i % 3] + [(None, 900, "x"), ("", 901, "x")], "n STRING, i INT, g STRING")
+    df = df.withColumn("k", F.concat_ws("-", "g", "i"))
+    got = {tuple(r) for r in similar_pairs(df, df, ["g"], "n", "k", 0.9, tile).collect()}
+    want = {(f"{g}-{i}", f"{g}-{j}") for g in "xy" for i, a in enumerate(names) for j, b in enumerate(names)
+            if (g == "x" or (i % 3 and j % 3)) and jaro_winkler_text(a, b) >= 0.9}
+    assert got == want
+
+
+def test_letter_bound_never_cuts_a_pair(spark):
+    names = _names(7)
+    df = spark.createDataFrame([(n, letter_mask(n)) for n in names], "n STRING, m LONG")
+    pairs = df.join(df.selectExpr("n AS o", "m AS p"), F.col("n") < F.col("o"))
+    cut = pairs.filter(~may_reach(F.col("n"), F.col("o"), F.col("m"), F.col("p"), 0.9)).select("n", "o").collect()
+    assert cut and all(jaro_winkler_text(a, b) < 0.9 for a, b in cut)
 
 
 def test_jaro_winkler_known_values():
