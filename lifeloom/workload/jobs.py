@@ -544,28 +544,34 @@ def views(t):
     return t.sent, t.opens, t.clicks, t.bounces, t.unsubscribes, t.complaints
 
 
-LABEL = """CASE WHEN starts_with(s.EmailName, 'EMAIL_WELCOME') THEN 'Welcome' WHEN starts_with(s.EmailName, 'EMAIL_CART') THEN 'Abandoned Cart'
-    WHEN starts_with(s.EmailName, 'EMAIL_PP') THEN 'Post-Purchase' WHEN starts_with(s.EmailName, 'EMAIL_BIRTHDAY') THEN 'Birthday'
-    WHEN starts_with(s.EmailName, 'EMAIL_WINBACK') THEN 'Winback' WHEN starts_with(s.EmailName, 'EMAIL_VIP') THEN 'VIP Retention'
-    ELSE 'Other / Ad Hoc Campaign' END"""
+#: Names of the journeys as rows; a template without one counts as an ad hoc campaign.
+NAMED = "(VALUES " + ", ".join(f"('{prefix}', '{label}')" for prefix, label in reports.JOURNEY_PREFIXES) + ") AS named(prefix, label)"
 
 
-def rate(name: str, source: str) -> str:
-    return f"round(100.0 * count(DISTINCT {source}.SubscriberKey) / CAST(nullif(count(DISTINCT s.SubscriberKey), 0) AS DOUBLE), 4) AS {name}RatePct"
+def reached(since: str, until: str = "TIMESTAMP '9999-01-01 00:00:00'") -> str:
+    """One row per (job, template, subscriber, kind): the sends of a period, and what ever came back for them."""
+    kinds = {"open": "opens", "click": "clicks", "bounce": "bounces", "unsubscribe": "unsubscribes", "complaint": "complaints"}
+    back = " UNION ".join(f"SELECT '{kind}' AS kind, JobID, SubscriberKey FROM {{{view}}}" for kind, view in kinds.items())
+    who = f"SELECT DISTINCT JobID, EmailName, SubscriberKey FROM {{sent}} WHERE EventDate >= {since} AND EventDate < {until}"
+    return f"""SELECT 'sent' AS kind, * FROM ({who}) w
+        UNION ALL SELECT kind, JobID, EmailName, SubscriberKey FROM ({who}) w JOIN ({back}) b USING (JobID, SubscriberKey)"""
 
 
-FACT_JOINS = " ".join(
-    f"LEFT JOIN (SELECT DISTINCT JobID, SubscriberKey FROM {{{v}}}) {a} ON {a}.SubscriberKey = s.SubscriberKey AND {a}.JobID = s.JobID"
-    for v, a in (("opens", "o"), ("clicks", "c"), ("bounces", "b"), ("unsubscribes", "u"), ("complaints", "x"))
-)
+def share(part: str) -> str:
+    return f"round(100.0 * {part} / CAST(nullif(SentCount, 0) AS DOUBLE), 4)"
+
+
+def tallies(*kinds: str) -> str:
+    return ", ".join(f"count(*) FILTER (kind = '{kind}') AS {kind.capitalize()}Count" for kind in kinds)
 
 
 @query(
     "rpt_campaign_performance",
-    f"""SELECT s.JobID, s.EmailName, {LABEL} AS JourneyLabel, count(DISTINCT s.SubscriberKey) AS SentCount, count(DISTINCT o.SubscriberKey) AS OpenCount,
-          count(DISTINCT c.SubscriberKey) AS ClickCount, count(DISTINCT b.SubscriberKey) AS BounceCount, count(DISTINCT u.SubscriberKey) AS UnsubscribeCount,
-          count(DISTINCT x.SubscriberKey) AS ComplaintCount, {rate('Open', 'o')}, {rate('Click', 'c')}, {rate('Bounce', 'b')}, {rate('Complaint', 'x')}
-        FROM {{sent}} s {FACT_JOINS} WHERE s.EventDate >= {E_TS} - INTERVAL 30 DAY GROUP BY s.JobID, s.EmailName, {LABEL}""",
+    f"""WITH tally AS (SELECT JobID, EmailName, {tallies("sent", "open", "click", "bounce", "unsubscribe", "complaint")}
+                       FROM ({reached(E_TS + " - INTERVAL 30 DAY")}) r GROUP BY JobID, EmailName)
+        SELECT tally.*, coalesce(label, '{reports.OTHER_JOURNEY}') AS JourneyLabel, {share("OpenCount")} AS OpenRatePct, {share("ClickCount")} AS ClickRatePct,
+               {share("BounceCount")} AS BounceRatePct, {share("ComplaintCount")} AS ComplaintRatePct
+        FROM tally LEFT JOIN {NAMED} ON starts_with(EmailName, prefix)""",
 )
 def _(t):
     return reports.campaign_performance(*views(t), as_of=EVENTS_NOW)
@@ -573,20 +579,19 @@ def _(t):
 
 @query(
     "rpt_click_rate_by_journey",
-    f"""SELECT {LABEL} AS JourneyLabel, count(DISTINCT s.SubscriberKey) AS SentCount, {rate('Open', 'o')}, {rate('Click', 'c')}
-        FROM {{sent}} s {FACT_JOINS} WHERE s.EventDate >= {E_TS} - INTERVAL 30 DAY GROUP BY 1""",
+    f"""WITH person AS (SELECT DISTINCT coalesce(label, '{reports.OTHER_JOURNEY}') AS JourneyLabel, kind, SubscriberKey
+                        FROM ({reached(E_TS + " - INTERVAL 30 DAY")}) r LEFT JOIN {NAMED} ON starts_with(EmailName, prefix)),
+             tally AS (SELECT JourneyLabel, {tallies("sent", "open", "click")} FROM person GROUP BY JourneyLabel)
+        SELECT JourneyLabel, SentCount, {share("OpenCount")} AS OpenRatePct, {share("ClickCount")} AS ClickRatePct FROM tally""",
 )
 def _(t):
     return reports.click_rate_by_journey(*views(t), as_of=EVENTS_NOW)
 
 
 def _kpi_part(label: str, lo: str, hi: str) -> str:
-    n = "count(DISTINCT (s.JobID, s.EmailName, s.SubscriberKey))"
-    r = lambda a: f"round(100.0 * count(DISTINCT CASE WHEN {a}.SubscriberKey IS NOT NULL THEN (s.JobID, s.EmailName, s.SubscriberKey) END) / CAST(nullif({n}, 0) AS DOUBLE), 4)"
-    return (
-        f"SELECT '{label}' AS p, CAST({n} AS DOUBLE) AS SentCount, {r('o')} AS OpenRatePct, {r('c')} AS ClickRatePct, {r('b')} AS BounceRatePct, "
-        f"{r('x')} AS ComplaintRatePct FROM {{sent}} s {FACT_JOINS} WHERE s.EventDate >= {lo} AND s.EventDate < {hi}"
-    )
+    return f"""SELECT '{label}' AS p, CAST(SentCount AS DOUBLE) AS SentCount, {share("OpenCount")} AS OpenRatePct, {share("ClickCount")} AS ClickRatePct,
+        {share("BounceCount")} AS BounceRatePct, {share("ComplaintCount")} AS ComplaintRatePct
+        FROM (SELECT {tallies("sent", "open", "click", "bounce", "complaint")} FROM ({reached(lo, hi)}) r) x"""
 
 
 @query(
@@ -600,14 +605,14 @@ def _(t):
     return reports.program_kpis(*views(t), as_of=EVENTS_NOW, days=15)
 
 
-DELIV_SQL = f"""SELECT CAST(s.EventDate AS DATE) AS SendDate, '{BU}' AS BusinessUnitMID, count(DISTINCT s.SubscriberKey) AS SentCount, count(DISTINCT b.SubscriberKey) AS BounceCount,
-      count(DISTINCT CASE WHEN b.BounceCategory = 'Hard' THEN b.SubscriberKey END) AS HardBounceCount, count(DISTINCT CASE WHEN b.BounceCategory = 'Soft' THEN b.SubscriberKey END) AS SoftBounceCount,
-      count(DISTINCT x.SubscriberKey) AS ComplaintCount, {rate('Bounce', 'b')}, {rate('Complaint', 'x')},
-      CASE WHEN 100.0 * count(DISTINCT b.SubscriberKey) / CAST(count(DISTINCT s.SubscriberKey) AS DOUBLE) > 2.0
-             OR 100.0 * count(DISTINCT x.SubscriberKey) / CAST(count(DISTINCT s.SubscriberKey) AS DOUBLE) > 0.1 THEN 'BREACH' ELSE 'OK' END AS GuardrailStatus
-    FROM {{sent}} s LEFT JOIN {{bounces}} b ON b.SubscriberKey = s.SubscriberKey AND b.JobID = s.JobID
-    LEFT JOIN {{complaints}} x ON x.SubscriberKey = s.SubscriberKey AND x.JobID = s.JobID
-    WHERE s.EventDate >= {E_TS} - INTERVAL 20 DAY GROUP BY 1"""
+DELIV_SQL = f"""WITH day_sends AS (SELECT DISTINCT CAST(EventDate AS DATE) AS SendDate, JobID, SubscriberKey FROM {{sent}} WHERE EventDate >= {E_TS} - INTERVAL 20 DAY),
+      trouble AS (SELECT 'Bounce' AS kind, JobID, SubscriberKey FROM {{bounces}} UNION SELECT BounceCategory || 'Bounce', JobID, SubscriberKey FROM {{bounces}}
+                  UNION SELECT 'Complaint', JobID, SubscriberKey FROM {{complaints}}),
+      person AS (SELECT SendDate, 'Sent' AS kind, SubscriberKey FROM day_sends UNION SELECT SendDate, kind, SubscriberKey FROM day_sends JOIN trouble USING (JobID, SubscriberKey)),
+      tally AS (SELECT SendDate, {", ".join(f"count(*) FILTER (kind = '{k}') AS {k}Count" for k in ("Sent", "Bounce", "HardBounce", "SoftBounce", "Complaint"))}
+                FROM person GROUP BY SendDate)
+    SELECT tally.*, '{BU}' AS BusinessUnitMID, {share("BounceCount")} AS BounceRatePct, {share("ComplaintCount")} AS ComplaintRatePct,
+           CASE WHEN BounceCount * 50 > SentCount OR ComplaintCount * 1000 > SentCount THEN 'BREACH' ELSE 'OK' END AS GuardrailStatus FROM tally"""
 
 
 @query("rpt_deliverability", DELIV_SQL)
