@@ -7,6 +7,8 @@ old or the new version, never a mix, and a plan never overwrites a path it reads
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,25 +42,53 @@ class TableStore:
             stream.close()
 
     def _move_pointer(self, name: str, version: int) -> None:
+        """The pointer is written aside and renamed, so that a reader never meets half of it."""
         fs, path = self._fs(self._pointer(name))
-        stream = fs.create(path, True)
+        _, aside = self._fs(f"{self.root}/{name}/_next-{uuid.uuid4().hex}")
+        stream = fs.create(aside, True)
         try:
             stream.writeUTF(str(version))
         finally:
             stream.close()
+        fs.delete(path, False)
+        if not fs.rename(aside, path):
+            raise RuntimeError(f"{name}: another writer moved the pointer at the same time")
 
     def path(self, name: str, version: int | None = None) -> str:
         return f"{self.root}/{name}/v={version or self.version(name):06d}"
 
+    def _folders(self, name: str) -> list[str]:
+        """The current version, and the folders that were appended to it."""
+        path = self.path(name)
+        fs, pattern = self._fs(f"{path}+*/_SUCCESS")
+        return [path, *sorted(s.getPath().getParent().toString() for s in (fs.globStatus(pattern) or []))]
+
     # -- reads and writes ------------------------------------------------
+    def keyed(self, name: str, key: list[str]):
+        """The table of this name that is dealt by key; a table that is there already is loaded into it first."""
+        from lifeloom.sources.keyed import KeyedTable
+
+        table = KeyedTable(self.spark, f"{self.root}/{name}/keyed", key)
+        if self.version(name) and not table.exists():
+            table.merge("loaded", self.spark.read.parquet(*self._folders(name)))
+        return table
+
+    def _is_keyed(self, name: str) -> bool:
+        fs, path = self._fs(f"{self.root}/{name}/keyed/_committed")
+        return fs.exists(path)
+
     def exists(self, name: str) -> bool:
-        return self.version(name) > 0
+        return self.version(name) > 0 or self._is_keyed(name)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if self._is_keyed(name):
+            return self.keyed(name, []).read()
+        return self.spark.read.parquet(*self._folders(name))
 
     def replace(self, name: str, df: DataFrame, partition_by: list[str] = ()) -> DataFrame:
         """Truncate-and-load, or SELECT INTO for a new name."""
+        if self._is_keyed(name):
+            raise ValueError(f"{name} is dealt by key: merge into it instead")
         version = self.version(name) + 1
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name, version))
         self._move_pointer(name, version)
@@ -67,7 +97,8 @@ class TableStore:
     def append(self, name: str, rows: DataFrame, key: list[str]) -> DataFrame:
         """Add rows whose key is not present yet, so that a re-run adds nothing.
 
-        Of several new rows of one key the smallest is added, columns compared in their order.
+        Of several new rows of one key the smallest is added, columns compared in their order.  The rows go into a folder
+        of their own, which readers see once it is complete; nothing that is there is written again.
         """
         rest = [c for c in rows.columns if c not in key]
         if rest:
@@ -78,7 +109,7 @@ class TableStore:
             return self.replace(name, rows)
         current = self.read(name)
         fresh = rows.join(current.select(*key), key, "left_anti").select(*current.columns)
-        fresh.write.mode("append").parquet(self.path(name))
+        fresh.write.parquet(f"{self.path(name)}+{uuid.uuid4().hex}")
         return self.read(name)
 
     def upsert(self, name: str, rows: DataFrame, key: list[str], latest: str | None = None) -> DataFrame:

@@ -4,8 +4,8 @@ Builders take and return (streaming) DataFrames, so that the same code runs on a
 of history; ``run_*`` functions start a query with a checkpoint and a sink.  Event time
 must be TIMESTAMP for watermarks.
 
-Late rows: a watermark of an hour for carts and a day for order status; anything later
-is picked up by the batch jobs, which recompute from full history.
+Late rows: a watermark of an hour for carts and a day for order status; what comes later is put aside
+(``LateRows``) and replayed by a batch job.
 """
 
 from __future__ import annotations
@@ -15,13 +15,14 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import Row
+from pyspark.sql.types import LongType, Row, StructField, StructType
 
 from lifeloom.functions.times import Moment
 from lifeloom.operators.carts import detect_abandoned
 from lifeloom.operators.quality import validated_events
 from lifeloom.sources.files import parse_events
-from lifeloom.sources.tables import TableStore, latest_rows
+from lifeloom.sources.keyed import batch_tag
+from lifeloom.sources.tables import TableStore, latest_rows, upserted
 
 CART_LATENESS = "1 hour"
 ORDER_LATENESS = "1 day"
@@ -87,13 +88,22 @@ ORDER_FIELDS = ["ShippingCarrier", "TrackingNumber", "ShippedDate", "EstimatedDe
 EVENT_TIME = "LastEventAt"
 
 
-def merged_orders(changes: DataFrame) -> DataFrame:
-    """One row per order: status of its newest event, and of each field the newest value that is not null."""
+#: Of each field of an order the time of the event that set it.
+FIELD_TIMES = "FieldTimes"
+
 
-    def newest(name):
-        return F.max_by(name, F.when(F.col(name).isNotNull(), F.struct(EVENT_TIME, name))).alias(name)
+def merged_orders(changes: DataFrame) -> DataFrame:
+    """One row per order: of the status and of each field the value of the newest event that had one.
 
-    return changes.groupBy("OrderId").agg(newest("OrderStatus"), *[newest(n) for n in ORDER_FIELDS], F.max(EVENT_TIME).alias(EVENT_TIME))
+    Every field keeps its own time, because an event that comes late may be newer than what set one field and older than what
+    set another.  Values that no event has set are older than any.
+    """
+    fields = ["OrderStatus", *ORDER_FIELDS]
+    at = {n: F.when(F.col(n).isNotNull(), F.col(FIELD_TIMES)[n]) for n in fields}
+    newest = [F.max_by(n, F.when(F.col(n).isNotNull(), F.struct(at[n], n))).alias(n) for n in fields]
+    merged = changes.groupBy("OrderId").agg(*newest, *[F.max(at[n]).alias(f"_{n}") for n in fields], F.max(EVENT_TIME).alias(EVENT_TIME))
+    times = F.create_map(*[c for n in fields for c in (F.lit(n), F.col(f"_{n}"))])
+    return merged.withColumn(FIELD_TIMES, F.map_filter(times, lambda _, t: t.isNotNull())).select("OrderId", *fields, EVENT_TIME, FIELD_TIMES)
 
 
 def routed(events: DataFrame) -> dict[str, DataFrame]:
@@ -110,6 +120,7 @@ def routed(events: DataFrame) -> dict[str, DataFrame]:
         F.create_map(*[F.lit(x) for pair in ORDER_STATUS.items() for x in pair])[F.col("EventDefinitionKey")].alias("OrderStatus"),
         *[F.col(f"Data.{n}").alias(n) for n in ORDER_FIELDS],
         F.col("ReceivedAt").alias(EVENT_TIME),
+        F.create_map(*[c for n in ["OrderStatus", *ORDER_FIELDS] for c in (F.lit(n), F.col("ReceivedAt"))]).alias(FIELD_TIMES),
     )
     return {
         "welcome_entry": latest_rows(
@@ -138,10 +149,11 @@ ROUTE_KEYS = {
 
 
 def route_into(store: TableStore) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: upsert a micro-batch into the tables it concerns.
+    """``foreachBatch`` function: fold a micro-batch into the tables it concerns.
 
-    Rows only give way to newer events, whatever batch those come in, so a replayed or late batch
-    leaves the same tables.
+    Only the buckets of keys that occur are written, into folders of the batch's own.  Rows only give way to newer events,
+    whatever batch those come in, so a replayed or late batch leaves the same tables.  A target that is there already, with
+    more columns or fewer, keeps its own; the event's fields are added.
     """
     wanted = {
         "welcome_entry": ["APIEvent-Welcome-Signup"],
@@ -150,29 +162,89 @@ def route_into(store: TableStore) -> Callable[[DataFrame, int], None]:
         "orders": list(ORDER_STATUS),
     }
 
-    def handle(batch: DataFrame, _batch_id: int) -> None:
+    def folded(name: str, key: list[str]):
+        def combine(before: DataFrame, rows: DataFrame) -> DataFrame:
+            touched = before.join(rows.select(*key), key, "left_semi").select(*rows.columns)
+            newest = merged_orders(rows.unionByName(touched)) if name == "orders" else latest_rows(rows.unionByName(touched), key, EVENT_TIME)
+            return upserted(before, newest, key)
+
+        return combine
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             flags = [F.bool_or(F.col("EventDefinitionKey").isin(*keys)).alias(name) for name, keys in wanted.items()]
             present = batch.agg(*flags).first()
             for name, rows in routed(batch).items():
-                if not present[name]:
-                    continue
-                key = ROUTE_KEYS[name]
-                if store.exists(name):
-                    before = store.read(name)
-                    touched = before.join(rows.select(*key), key, "left_semi")
-                    if name == "orders":
-                        rows = merged_orders(rows.unionByName(touched.select(*rows.columns)))
-                    else:
-                        rows = latest_rows(rows.unionByName(touched.select(*rows.columns)), key, EVENT_TIME)
-                store.upsert(name, rows, key)
+                if present[name]:
+                    key = ROUTE_KEYS[name]
+                    store.keyed(name, key).merge(batch_tag(store.spark, batch_id), rows.dropna(subset=key), folded(name, key))
         finally:
             batch.unpersist()
 
     return handle
 
 
+# -- late rows ---------------------------------------------------------------------------
+class LateRows:
+    """Rows behind the watermark, put aside batch by batch instead of dropped, until they are replayed.
+
+    The watermark of a batch is the newest event time of the batches before it less ``lateness``.  Every batch writes
+    its newest time, its late rows, and a replay its mark into folders of its own number, so a batch may run again.
+    """
+
+    def __init__(self, spark, path: str, event_time: str, lateness: str = ORDER_LATENESS):
+        self.spark, self.path, self.event_time, self.lateness = spark, path.rstrip("/"), event_time, lateness
+
+    def _known(self, part: str, schema: str | StructType) -> DataFrame:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
+        fs = place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(place):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
+
+    def split(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The rows of the batch that are in time; the others are written."""
+        at = F.col(self.event_time)
+        seen = self._known("newest", "at TIMESTAMP, batch BIGINT").filter(F.col("batch") < batch_id)
+        edge = seen.agg(F.max("at").alias("at")).select((F.col("at") - F.expr(f"INTERVAL {self.lateness}")).alias("at")).first().at
+        newest = batch.agg(F.max(at).cast("timestamp").alias("at"))
+        newest.write.mode("overwrite").parquet(f"{self.path}/newest/batch={batch_id}")
+        if edge is None:
+            return batch
+        late = F.coalesce(at < F.lit(edge), F.lit(False))
+        batch.filter(late).write.mode("overwrite").parquet(f"{self.path}/rows/batch={batch_id}")
+        return batch.filter(~late)
+
+    def aside(self, handle: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+        """``handle`` for the rows in time."""
+
+        def split_then(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            try:
+                handle(self.split(batch, batch_id), batch_id)
+            finally:
+                batch.unpersist()
+
+        return split_then
+
+    def waiting(self, schema: StructType) -> DataFrame:
+        """Late rows that no replay has taken yet, with the ``batch`` they came in."""
+        rows = self._known("rows", StructType([*schema.fields, StructField("batch", LongType())]))
+        done = self._known("replayed", "upto BIGINT, run BIGINT").agg(F.coalesce(F.max("upto"), F.lit(-1).cast("bigint")).alias("upto"))
+        return rows.join(F.broadcast(done), F.col("batch") > F.col("upto")).drop("upto")
+
+    def replay(self, schema: StructType, handle: Callable[[DataFrame, str], None]) -> int:
+        """The batch job: hand all waiting rows to ``handle``, then mark them as taken.  Returns their number."""
+        rows = self.waiting(schema)
+        upto, count = rows.agg(F.max("batch"), F.count(F.lit(1))).first()
+        if count:
+            handle(rows.filter(F.col("batch") <= upto).drop("batch"), f"late-{upto}")
+            done = self.spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
+            done.write.mode("overwrite").parquet(f"{self.path}/replayed/run={upto}")
+        return count
+
+
 def run_foreach(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, **trigger) -> StreamingQuery:
     return (
         df.writeStream.foreachBatch(handle)
@@ -183,27 +255,29 @@ def run_foreach(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpo
 
 
 def upsert_carts_into(store: TableStore, name: str = "carts", key: str = "CartId", latest: str = "CartLastUpdatedDate"):
-    """``foreachBatch`` function: latest row per key wins within and across batches."""
-
-    def handle(batch: DataFrame, _batch_id: int) -> None:
-        newest = latest_rows(batch, [key], latest)
-        if store.exists(name):
-            known = store.read(name).select(key, F.col(latest).alias("_known"))
-            newest = (
-                newest.join(known, key, "left")
-                .filter(F.col("_known").isNull() | (F.col(latest) >= F.col("_known")))
-                .drop("_known")
-            )
-        store.upsert(name, newest, [key])
+    """``foreachBatch`` function: latest row per key wins within and across batches; a known row keeps fields that are not sent."""
+
+    def newer(before: DataFrame, rows: DataFrame) -> DataFrame:
+        known = before.select(key, F.col(latest).alias("_known"))
+        fresh = rows.join(known, key, "left").filter(F.col("_known").isNull() | (F.col(latest) >= F.col("_known")))
+        return upserted(before, fresh.drop("_known"), [key])
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = latest_rows(batch.filter(F.col(key).isNotNull()), [key], latest)
+        store.keyed(name, [key]).merge(batch_tag(store.spark, batch_id), rows, newer)
 
     return handle
 
 
 def poll_abandonment(store: TableStore, as_of_of: Callable[[int], Moment]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: the batch abandonment job after every micro-batch."""
+    """``foreachBatch`` function: the batch abandonment job after every micro-batch; only carts that change are written."""
 
     def handle(_batch: DataFrame, batch_id: int) -> None:
-        store.replace("carts", detect_abandoned(store.read("carts"), store.read("subscribers"), as_of_of(batch_id)))
+        carts = store.keyed("carts", ["CartId"])
+        before = carts.read().select("CartId", F.col("CartStatus").alias("_was"))
+        after = detect_abandoned(carts.read(), store.read("subscribers"), as_of_of(batch_id)).select("CartId", "CartStatus")
+        changed = after.join(before, "CartId").filter(~F.col("CartStatus").eqNullSafe(F.col("_was"))).drop("_was")
+        carts.merge(batch_tag(store.spark, batch_id), changed)
 
     return handle
 

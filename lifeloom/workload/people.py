@@ -141,6 +141,10 @@ def raw_events(df):
         F.when(kind == "signup", day).alias("SignupDate"),
         F.when(is_order, order).alias("OrderId"),
         F.when(kind == "purchase", day).alias("OrderDate"),
+        F.when(kind == "click", F.concat(F.lit("Carrier "), (F.col("user_id") % 3).cast("string"))).alias("ShippingCarrier"),
+        F.when(kind == "click", F.concat(F.lit("T"), F.col("event_id").cast("string"))).alias("TrackingNumber"),
+        F.when(kind == "click", day).alias("ShippedDate"),
+        F.when(kind == "view", day).alias("ActualDeliveryDate"),
         F.when((kind == "error") & (F.col("value") < 50), order).alias("CaseId"),
         F.lit("ignored").alias("Extra"),
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lifeloom.session import scratch
+from lifeloom.session import scratch, settle
+from lifeloom.sources import registry
 from lifeloom.sources.tables import TableStore
 from lifeloom.streaming import events as streams
 from lifeloom.workload.base import Tables, query
@@ -51,33 +52,96 @@ def _(t):
     return accepted.unionByName(rejected)
 
 
-@query(
-    "str_event_route",
-    f"""WITH a AS (SELECT * FROM ({RAW_EVENTS}) r WHERE ({REASON}) IS NULL)
-        SELECT 'welcome_entry' AS TableName, u AS RowKey, arg_max(e, ReceivedAt) AS RowValue FROM a WHERE k = 'APIEvent-Welcome-Signup' GROUP BY u
+ACCEPTED = f"SELECT * FROM ({RAW_EVENTS}) r WHERE ({REASON}) IS NULL"
+ENTRIES_SQL = """SELECT 'welcome_entry' AS TableName, u AS RowKey, arg_max(e, ReceivedAt) AS RowValue FROM a WHERE k = 'APIEvent-Welcome-Signup' GROUP BY u
         UNION ALL SELECT 'post_purchase_entry', o, u FROM a WHERE k = 'APIEvent-OrderPlaced' GROUP BY o, u
-        UNION ALL SELECT 'case_entry', o, u FROM a WHERE k = 'APIEvent-CaseEscalated' GROUP BY o, u
-        UNION ALL SELECT 'orders', o, arg_max(CASE k WHEN 'APIEvent-OrderShipped' THEN 'Shipped' ELSE 'Delivered' END, ReceivedAt) FROM a
-            WHERE k IN ('APIEvent-OrderShipped', 'APIEvent-OrderDelivered') GROUP BY o""",
-)
+        UNION ALL SELECT 'case_entry', o, u FROM a WHERE k = 'APIEvent-CaseEscalated' GROUP BY o, u"""
+#: Orders that were there before: every fifth order of the events, as Placed, and orders that no event names.
+KNOWN_ORDERS = """SELECT OrderId, SubscriberKey, OrderDate, CASE WHEN OrderId LIKE '%-%' THEN 'Placed' ELSE OrderStatus END AS OrderStatus, OrderTotal FROM (
+        SELECT CAST(user_id AS STRING) || '-' || CAST(CAST(ts AS DATE) AS STRING) AS OrderId, CAST(user_id AS STRING) AS SubscriberKey,
+               date_trunc('day', ts) AS OrderDate, 'Placed' AS OrderStatus, CAST(12.5 AS DECIMAL(18,2)) AS OrderTotal FROM {events} WHERE user_id % 5 = 0
+        UNION SELECT OrderId, SubscriberKey, OrderDate, OrderStatus, OrderTotal FROM {shop_orders} WHERE OrderStatus = 'Returned') x"""
+
+
+def order_events(where: str = "TRUE") -> str:
+    """Per order what its events say: newest status, and the newest value of each field."""
+    return f"""SELECT o, arg_max(CASE k WHEN 'APIEvent-OrderShipped' THEN 'Shipped' ELSE 'Delivered' END, ReceivedAt) AS status,
+          arg_max('Carrier ' || CAST(CAST(u AS BIGINT) % 3 AS STRING), ReceivedAt) FILTER (k = 'APIEvent-OrderShipped') AS carrier,
+          arg_max('T' || CAST(event_id AS STRING), ReceivedAt) FILTER (k = 'APIEvent-OrderShipped') AS tracking,
+          max(CAST(ReceivedAt AS DATE)) FILTER (k = 'APIEvent-OrderShipped') AS shipped, max(CAST(ReceivedAt AS DATE)) FILTER (k = 'APIEvent-OrderDelivered') AS delivered
+        FROM a WHERE k IN ('APIEvent-OrderShipped', 'APIEvent-OrderDelivered') AND ({where}) GROUP BY o"""
+
+
+def order_rows(events: str) -> str:
+    return f"""SELECT 'orders' AS TableName, coalesce(OrderId, o) AS RowKey, concat_ws('|', coalesce(status, OrderStatus), coalesce(carrier, '-'), coalesce(tracking, '-'),
+          coalesce(CAST(shipped AS STRING), '-'), coalesce(CAST(delivered AS STRING), '-'), coalesce(SubscriberKey, '-'), coalesce(CAST(OrderTotal AS STRING), '-')) AS RowValue
+        FROM ({KNOWN_ORDERS}) known FULL JOIN ({events}) e ON o = OrderId"""
+
+
+def known_orders(t: Tables) -> DataFrame:
+    """The same with all columns that the registry gives ``orders``, and no others."""
+    rows = t.sql(KNOWN_ORDERS)
+    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in registry.schema("orders").fields])
+
+
+def shown_orders(store: TableStore) -> DataFrame:
+    day = lambda c: F.to_date(c).cast("string")
+    shown = ["OrderStatus", "ShippingCarrier", "TrackingNumber", day("ShippedDate"), day("ActualDeliveryDate"), "SubscriberKey", F.col("OrderTotal").cast("string")]
+    value = F.concat_ws("|", *[F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("-")) for c in shown])
+    return store.read("orders").select(F.lit("orders").alias("TableName"), F.col("OrderId").alias("RowKey"), value.alias("RowValue"))
+
+
+def in_batches(t: Tables, parts: int, at: str) -> DataFrame:
+    """The events as a stream of ``parts`` micro-batches, dealt by ``at`` (an expression giving 0, 1, …)."""
+    folder = scratch(t.spark, "batches")
+    for part in range(parts):
+        t.events.filter(f"{at} = {part}").coalesce(1).write.mode("append").parquet(folder)
+    source = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return source.withColumn("at", F.col("ts").cast("timestamp"))
+
+
+def accepted(source: DataFrame) -> DataFrame:
+    return streams.checked_events(raw_events(source).drop("event_id")).filter("Reason IS NULL")
+
+
+@query("str_event_route", f"WITH a AS ({ACCEPTED}) {ENTRIES_SQL} UNION ALL {order_rows(order_events())}")
 def _(t):
+    # Five batches whose times overlap, over an order table that was loaded before.
     folder = scratch(t.spark, "route")
     store = TableStore(t.spark, f"{folder}/tables")
-    checked = streams.checked_events(raw_events(event_stream(t)).drop("event_id")).filter("Reason IS NULL")
+    store.replace("orders", known_orders(t))
+    checked = accepted(in_batches(t, 5, "pmod(event_id * 7, 5)"))
     streams.run_foreach(checked, streams.route_into(store), f"{folder}/checkpoint").awaitTermination()
-    shown = {
-        "welcome_entry": ("SubscriberKey", "EmailAddress"),
-        "post_purchase_entry": ("OrderId", "SubscriberKey"),
-        "case_entry": ("CaseId", "SubscriberKey"),
-        "orders": ("OrderId", "OrderStatus"),
-    }
-    rows = None
-    for name, (key, value) in shown.items():
-        part = store.read(name).select(F.lit(name).alias("TableName"), F.col(key).alias("RowKey"), F.col(value).alias("RowValue"))
-        rows = part if rows is None else rows.unionByName(part)
+    rows = shown_orders(store)
+    for name, key, value in (("welcome_entry", "SubscriberKey", "EmailAddress"), ("post_purchase_entry", "OrderId", "SubscriberKey"), ("case_entry", "CaseId", "SubscriberKey")):
+        rows = rows.unionByName(store.read(name).select(F.lit(name).alias("TableName"), F.col(key).alias("RowKey"), F.col(value).alias("RowValue")))
     return rows
 
 
+@query(
+    "str_late_replay",
+    f"""WITH a AS ({ACCEPTED}), edge AS (SELECT max(ReceivedAt) - INTERVAL 1 DAY AS t FROM a WHERE event_id % 7 <> 0),
+        late AS (SELECT o FROM a, edge WHERE event_id % 7 = 0 AND ReceivedAt < t AND k IN ('APIEvent-OrderShipped', 'APIEvent-OrderDelivered'))
+        SELECT 'late' AS TableName, o AS RowKey, 'x' || CAST(count(*) AS STRING) AS RowValue FROM late GROUP BY o UNION ALL {order_rows(order_events())}""",
+)
+def _(t):
+    # Four parts of the events in time order, then every seventh event: most of those are behind the watermark.
+    folder = scratch(t.spark, "late")
+    store = TableStore(t.spark, f"{folder}/tables")
+    store.replace("orders", known_orders(t))
+    bounds = t.events.filter("event_id % 7 <> 0").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    step = (bounds.hi - bounds.lo) / 4
+    part = f"CASE WHEN event_id % 7 = 0 THEN 4 WHEN ts < TIMESTAMP_NTZ '{bounds.lo + step}' THEN 0 WHEN ts < TIMESTAMP_NTZ '{bounds.lo + 2 * step}' THEN 1 WHEN ts < TIMESTAMP_NTZ '{bounds.lo + 3 * step}' THEN 2 ELSE 3 END"
+    late = streams.LateRows(t.spark, f"{folder}/late", "ReceivedAt")
+    checked = accepted(in_batches(t, 5, part))
+    route = streams.route_into(store)
+    streams.run_foreach(checked, late.aside(route), f"{folder}/checkpoint").awaitTermination()
+    waiting = late.waiting(checked.schema).filter(F.col("EventDefinitionKey").isin("APIEvent-OrderShipped", "APIEvent-OrderDelivered"))
+    rows = settle(waiting.groupBy(F.col("Data.OrderId").alias("RowKey")).count().select(F.lit("late").alias("TableName"), "RowKey", F.concat(F.lit("x"), F.col("count").cast("string")).alias("RowValue")))
+    late.replay(checked.schema, route)
+    return rows.unionByName(shown_orders(store))
+
+
 def cart_updates(df: DataFrame) -> DataFrame:
     user = F.col("user_id").cast("string")
     return df.select(
@@ -98,7 +162,7 @@ def _(t):
     folder = scratch(t.spark, "cartstream")
     store = TableStore(t.spark, f"{folder}/tables")
     handle = streams.upsert_carts_into(store)
-    streams.run_foreach(cart_updates(event_stream(t)), handle, f"{folder}/checkpoint").awaitTermination()
+    streams.run_foreach(cart_updates(in_batches(t, 4, "pmod(event_id, 4)")), handle, f"{folder}/checkpoint").awaitTermination()
     return store.read("carts").select("CartId", "CartStatus", "CartLastUpdatedDate")
 
 
