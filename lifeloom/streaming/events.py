@@ -11,6 +11,7 @@ Late rows: a watermark of an hour for carts and a day for order status; what com
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -375,28 +376,57 @@ def use_rocksdb(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+def _ms(micros: int) -> int:
+    """The first millisecond at or after a time: timers have milliseconds."""
+    return -(-micros // 1000)
+
+
+def _micros(at) -> int:
+    return round(at.timestamp() * 1_000_000)
+
+
 def _guard_processor():
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
     class ReentryGuard(StatefulProcessor):
-        """One live instance per contact: entries while one is inside are dropped."""
+        """One live instance per contact: entries while one is inside are dropped.
+
+        Entries wait under their time until the watermark has passed it, so they are taken in order whatever order they came
+        in; nothing is sorted.  A timer at the end of the stay removes the contact's state.
+        """
 
         def __init__(self, stay_us: int):
             self.stay_us = stay_us
 
         def init(self, handle) -> None:
+            self.handle = handle
             self.until = handle.getValueState("until", "until BIGINT")
+            # Of one millisecond only the first entry can get in.
+            self.waiting = handle.getMapState("waiting", "ms BIGINT", "at BIGINT")
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-            ordered = sorted(rows, key=lambda r: r.EntryDate)
-            state = self.until.get() if self.until.exists() else None
-            until = state[0] if state else -1
-            for row in ordered:
-                at = round(row.EntryDate.timestamp() * 1_000_000)
-                if at >= until:
+            for row in rows:
+                at = _micros(row.EntryDate)
+                ms = _ms(at)
+                known = self.waiting.getValue((ms,)) if self.waiting.containsKey((ms,)) else None
+                if known is None or at < known[0]:
+                    self.waiting.updateValue((ms,), (at,))
+                    self.handle.registerTimer(ms)
+            return iter(())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            ms = expiredTimerInfo.getExpiryTimeInMs()
+            until = self.until.get()[0] if self.until.exists() else None
+            if self.waiting.containsKey((ms,)):
+                at = self.waiting.getValue((ms,))[0]
+                self.waiting.removeKey((ms,))
+                if until is None or at >= until:
                     until = at + self.stay_us
-                    yield Row(SubscriberKey=key[0], EntryDate=row.EntryDate)
-            self.until.update((until,))
+                    self.until.update((until,))
+                    self.handle.registerTimer(_ms(until))
+                    yield Row(SubscriberKey=key[0], EntryDate=datetime.fromtimestamp(at / 1_000_000))
+            if until is not None and _ms(until) <= ms:
+                self.until.clear()
 
         def close(self) -> None:
             pass
@@ -404,18 +434,17 @@ def _guard_processor():
     return ReentryGuard
 
 
-def entries_once(entries: DataFrame, stay_days: int) -> DataFrame:
-    """Entries (SubscriberKey, EntryDate) of contacts that are not inside already.
+def entries_once(entries: DataFrame, stay_days: int, lateness: str = ORDER_LATENESS) -> DataFrame:
+    """Entries (SubscriberKey, EntryDate) of contacts that are not inside already, once the watermark has passed them.
 
-    A contact stays inside for ``stay_days``; state is one number per contact.  A task sees
-    one contact's entries of one micro-batch, which the source's rate limit bounds.
+    A contact stays inside for ``stay_days``.  State is what waits for the watermark, and one number per contact inside.
     """
     processor = _guard_processor()(stay_days * 86_400_000_000)
-    return entries.groupBy("SubscriberKey").transformWithState(
+    return entries.withWatermark("EntryDate", lateness).groupBy("SubscriberKey").transformWithState(
         statefulProcessor=processor,
         outputStructType="SubscriberKey STRING, EntryDate TIMESTAMP",
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )
 
 
@@ -423,22 +452,43 @@ def _change_processor():
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
     class Escalation(StatefulProcessor):
-        """Emits a case when Escalated turns from false (or unknown) to true."""
+        """Emits a case when Escalated turns from false (or unknown) to true.
+
+        Changes wait under their time until the watermark has passed it.  Only escalated cases have state beyond that: false
+        and unknown are the same.
+        """
 
         def init(self, handle) -> None:
-            self.last = handle.getValueState("last", "escalated BOOLEAN, at BIGINT")
+            self.handle = handle
+            self.escalated = handle.getValueState("escalated", "at BIGINT")
+            # The changes of one millisecond, as time and id with the flag behind them.
+            self.waiting = handle.getMapState("waiting", "ms BIGINT", "changes ARRAY<BIGINT>")
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-            state = self.last.get() if self.last.exists() else None
-            before, seen = (state[0], state[1]) if state else (False, -1)
-            for row in sorted(rows, key=lambda r: (r.ChangedAt, r.ChangeId)):
-                at = round(row.ChangedAt.timestamp() * 1_000_000)
-                if at < seen:
-                    continue  # older than what is known: left to the batch form
-                if row.Escalated and not before:
-                    yield Row(CaseId=key[0], ChangedAt=row.ChangedAt)
-                before, seen = bool(row.Escalated), at
-            self.last.update((before, seen))
+            for row in rows:
+                at = _micros(row.ChangedAt)
+                ms = _ms(at)
+                known = list(self.waiting.getValue((ms,))[0]) if self.waiting.containsKey((ms,)) else []
+                self.waiting.updateValue((ms,), ([*known, at, int(row.ChangeId), int(bool(row.Escalated))],))
+                self.handle.registerTimer(ms)
+            return iter(())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            ms = expiredTimerInfo.getExpiryTimeInMs()
+            flat = list(self.waiting.getValue((ms,))[0]) if self.waiting.containsKey((ms,)) else []
+            if not flat:
+                return
+            self.waiting.removeKey((ms,))
+            before = self.escalated.exists()
+            now = before
+            for at, _, escalated in sorted(zip(flat[::3], flat[1::3], flat[2::3])):
+                if escalated and not now:
+                    yield Row(CaseId=key[0], ChangedAt=datetime.fromtimestamp(at / 1_000_000))
+                now = bool(escalated)
+            if now and not before:
+                self.escalated.update((ms,))
+            elif before and not now:
+                self.escalated.clear()
 
         def close(self) -> None:
             pass
@@ -446,11 +496,11 @@ def _change_processor():
     return Escalation
 
 
-def escalation_changes(changes: DataFrame) -> DataFrame:
-    """Changes (CaseId, ChangeId, Escalated, ChangedAt) that escalate a case."""
-    return changes.groupBy("CaseId").transformWithState(
+def escalation_changes(changes: DataFrame, lateness: str = ORDER_LATENESS) -> DataFrame:
+    """Changes (CaseId, ChangeId, Escalated, ChangedAt) that escalate a case, once the watermark has passed them."""
+    return changes.withWatermark("ChangedAt", lateness).groupBy("CaseId").transformWithState(
         statefulProcessor=_change_processor()(),
         outputStructType="CaseId STRING, ChangedAt TIMESTAMP",
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )

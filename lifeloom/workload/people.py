@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from lifeloom.functions.columns import norm_phone
 from lifeloom.operators import carts, forms, identity, loyalty, quality, recommend
 from lifeloom.plans import journeys
+from lifeloom.session import scratch, settle
 from lifeloom.sources.files import parse_events
+from lifeloom.sources.keyed import KeyedTable
 from lifeloom.sources.registry import ColumnDef, TableDef
 from lifeloom.workload.base import query
 from lifeloom.workload.jobs import SCALED_TIERS, tier_case
@@ -455,6 +457,18 @@ def _(t):
     return resolved(t)[1]
 
 
+@query("idr_components_incremental", f"{COMPONENT_SQL} {UNIFIED}")
+def _(t):
+    # Records and links arrive in three batches; a batch reads the individuals so far and its own links only.
+    links = settle(identity.all_links(t.id_records))
+    table = KeyedTable(t.spark, scratch(t.spark, "individuals"), ["RecordId"])
+    part = lambda *keys: F.pmod(F.xxhash64(*keys), F.lit(3))
+    for batch in range(3):
+        records = t.id_records.filter(part("RecordId") == batch).select("RecordId")
+        identity.fold_links(table, f"batch-{batch}", records, links.filter(part("Left", "Right") == batch))
+    return table.read()
+
+
 def survivor(field: str, preferred: str = "FALSE") -> str:
     known = f"{field} IS NOT NULL AND {field} <> ''"
     return f"arg_max(CASE WHEN {known} THEN {field} END, CASE WHEN {known} THEN ({preferred}, UpdatedAt, r.RecordId) END) AS {field}"

@@ -210,7 +210,7 @@ def _(t):
     """WITH RECURSIVE e AS (SELECT CAST(user_id AS STRING) AS SubscriberKey, ts FROM {events} WHERE event_type = 'signup'),
          g AS (SELECT SubscriberKey, min(ts) AS ts FROM e GROUP BY 1
                UNION ALL SELECT n.SubscriberKey, n.ts FROM (SELECT g.SubscriberKey, min(e.ts) AS ts FROM g JOIN e ON e.SubscriberKey = g.SubscriberKey AND e.ts >= g.ts + INTERVAL 7 DAY GROUP BY 1) n)
-       SELECT SubscriberKey, ts AS EntryDate FROM g""",
+       SELECT SubscriberKey, ts AS EntryDate FROM g WHERE ts <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM e)""",
 )
 def _(t):
     streams.use_rocksdb(t.spark)
@@ -258,7 +258,10 @@ def _(t):
     return finished(t, streams.debounced(updates, quiet="2 hours"), "debounce")
 
 
-@query("str_case_change", f"SELECT Id AS CaseId, SystemModstamp AS ChangedAt FROM ({CHANGE_SQL}) c")
+@query(
+    "str_case_change",
+    f"SELECT Id AS CaseId, SystemModstamp AS ChangedAt FROM ({CHANGE_SQL}) c WHERE SystemModstamp <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM {{events}})",
+)
 def _(t):
     streams.use_rocksdb(t.spark)
     changes = event_stream(t).select(
