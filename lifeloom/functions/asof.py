@@ -1,9 +1,12 @@
 """As-of lookups between two time-stamped tables.
 
 Neither side is paired with the other: both are merged into one time line per
-key, cut into calendar slices so that a hot key spreads over many tasks, and the
+key, cut into slices so that a hot key spreads over many tasks, and the
 nearest value is carried along.  Work is O(n log n) in the number of rows, also
 for a key that holds a third of them.
+
+Slices are calendar units, and where a key has very many rows in one unit, that
+unit is cut again at quantiles of its times: slices follow the density of the data.
 """
 
 from __future__ import annotations
@@ -15,6 +18,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 
+#: A (key, unit) is hot if it has more rows than FLOOR and more than one in SHARE of all rows; fewer than SHARE can be.
+FLOOR = 100_000
+SHARE = 10_000
+#: Slices that a hot unit is cut into.
+PIECES = 64
+
+
+def sliced(line: DataFrame, keys: list[str], ts: str, unit: str, floor: int | None = None) -> DataFrame:
+    """``line`` with ``_slice``: ascending in time per key, and of a size that one task can take.
+
+    Rows are counted per key and unit in one narrow pass.  Only hot units are read once more, for quantiles of their times;
+    their cuts, fewer than SHARE short lists, are broadcast.  Rows of one instant share a slice.
+    """
+    floor = FLOOR if floor is None else floor
+    start = F.date_trunc(unit, F.col(ts))
+    cell = [*keys, "_unit"]
+    cells = line.select(*keys, start.alias("_unit"), F.col(ts).alias("_time"))
+    counts = cells.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > floor)
+    # Rows outside such cells count as little as possible: the bound on the number of hot cells holds for them alone.
+    total = counts.agg(F.sum("_n").alias("_total"))
+    hot = counts.join(F.broadcast(total), F.col("_n") * SHARE > F.col("_total")).select(*[F.col(c).alias(f"_h{c}") for c in cell])
+    same = [F.col(c).eqNullSafe(F.col(f"_h{c}")) for c in cell]
+    fractions = F.array(*[F.lit(i / PIECES) for i in range(1, PIECES)])
+    cuts = (
+        cells.join(F.broadcast(hot), same).groupBy(*[f"_h{c}" for c in cell])
+        .agg(F.array_distinct(F.percentile_approx("_time", fractions)).alias("_cuts"))
+    )
+    placed = line.withColumn("_unit", start).join(F.broadcast(cuts), same, "left").drop(*[f"_h{c}" for c in cell])
+    piece = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda c: c < F.col(ts))))
+    return placed.withColumn("_slice", F.struct(F.col("_unit").alias("unit"), piece.alias("piece"))).drop("_unit", "_cuts")
+
+
 def _carry(
     probes: DataFrame,
     facts: DataFrame,
@@ -42,9 +77,7 @@ def _carry(
         value.alias("_value"),
     )
     keys = [f"_k{i}" for i in range(len(key))]
-    line = left.unionByName(right, allowMissingColumns=True).withColumn(
-        "_slice", F.date_trunc(slice_unit, F.col("_ts"))
-    )
+    line = sliced(left.unionByName(right, allowMissingColumns=True), keys, "_ts", slice_unit)
     # Facts sort before probes going backward and the reverse reading order going
     # forward, so that equal times always match.
     if forward:
@@ -104,14 +137,14 @@ def previous_value(
 ) -> DataFrame:
     """``lag(value)`` per key in time order, computed slice by slice."""
     order = [F.col(ts), *[F.col(t) for t in tiebreak]]
-    sliced = df.withColumn("_slice", F.date_trunc(slice_unit, F.col(ts)))
+    cut = sliced(df, key, ts, slice_unit)
     inside = W.partitionBy(*key, "_slice").orderBy(*order)
     boxed = F.struct(F.col(value).alias("v"))
-    near = sliced.withColumn("_near", F.lag(boxed).over(inside))
+    near = cut.withColumn("_near", F.lag(boxed).over(inside))
     across = W.partitionBy(*key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     closing = F.max_by(boxed, F.struct(*order))
     far = (
-        sliced.groupBy(*key, "_slice")
+        cut.groupBy(*key, "_slice")
         .agg(closing.alias("_close"))
         .select(*key, "_slice", F.last("_close").over(across).alias("_far"))
     )
