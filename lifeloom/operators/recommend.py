@@ -69,21 +69,17 @@ def cross_sell(
     order never collects all its lines: they are reduced against the lists first.
     """
     listed = top_in_stock(products, pool).select("Category", F.col("Slot").alias("_slot"), "SKU")
-    first = order_lines.groupBy("OrderId").agg(F.min_by("Category", "LineItemId").alias("_category"))
-    wanted = orders.select("OrderId").join(first, "OrderId", "left").select(
-        "OrderId", F.coalesce(F.nullif("_category", F.lit("")), F.lit(default)).alias("Category")
-    )
-    lists = sized(listed.groupBy("Category").agg(F.array_sort(F.collect_list(F.struct("_slot", "SKU"))).alias("_list")))
-    bought = (
-        order_lines.select("OrderId", "SKU")
-        .join(listed.select("SKU"), "SKU", "left_semi")
-        .groupBy("OrderId")
-        .agg(F.collect_set("SKU").alias("_bought"))
+    lists = listed.groupBy("Category").agg(F.array_sort(F.collect_list(F.struct("_slot", "SKU"))).alias("_list"))
+    # One exchange of the lines: listed SKUs are marked before it, the order's first category and its listed SKUs come out of it.
+    marks = listed.select(F.col("SKU").alias("_mark")).distinct()
+    marked = order_lines.select("OrderId", "LineItemId", "Category", "SKU").join(marks, F.col("SKU") == F.col("_mark"), "left")
+    lines = marked.groupBy("OrderId").agg(F.min_by("Category", "LineItemId").alias("_category"), F.collect_set("_mark").alias("_bought"))
+    wanted = orders.select("OrderId").join(lines, "OrderId", "left").select(
+        "OrderId", F.coalesce(F.nullif("_category", F.lit("")), F.lit(default)).alias("Category"), "_bought"
     )
     rest = F.filter("_list", lambda p: ~F.array_contains(F.coalesce("_bought", F.array().cast("array<string>")), p["SKU"]))
     return (
         wanted.join(lists, "Category")
-        .join(bought, "OrderId", "left")
         .select("OrderId", "Category", F.posexplode(F.slice(rest, 1, keep)).alias("_pos", "_p"))
         .select("OrderId", "Category", (F.col("_pos") + 1).cast("bigint").alias("Slot"), F.col("_p.SKU").alias("SKU"))
     )

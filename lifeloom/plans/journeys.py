@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from lifeloom.functions.asof import earliest_after, latest_before
 from lifeloom.functions.columns import joined, split_path
@@ -264,6 +265,34 @@ def abandoned_cart(
     )
 
 
+def _order_dates(base: DataFrame, events: dict[str, DataFrame]) -> DataFrame:
+    """``base`` with ShippedDate, DeliveredDate and the first return of its order.
+
+    Entries and events meet in one exchange by order; windows and groups below keep that partitioning.
+    """
+    tagged = None
+    for kind, df in events.items():
+        rows = df.filter(F.col("OrderId").isNotNull()).select(F.col("OrderId").alias("_order"), "EventDate", F.lit(kind).alias("_kind"))
+        tagged = rows if tagged is None else tagged.unionByName(rows)
+
+    def first(kind: str, since: Column | None = None, days: int = 0) -> Column:
+        fits = F.col("_kind") == kind
+        if since is not None:
+            fits = fits & (F.col("EventDate") >= since) & (F.col("EventDate") <= after(since, days, "day"))
+        return F.min(F.when(fits, F.col("EventDate")))
+
+    kept = base.columns
+    # Equal entries are one row with their number, so that each of them comes out again.
+    counted = base.repartition("OrderId").groupBy(*kept).agg(F.count(F.lit(1)).alias("_copies"))
+    key = [*kept, "_copies"]
+    lines = counted.join(tagged, F.col("OrderId") == F.col("_order"), "left")
+    lines = lines.withColumn("ShippedDate", first("shipped", F.col("EntryDate"), 10).over(W.partitionBy(*key)))
+    dated = lines.groupBy(*key, "ShippedDate").agg(
+        first("delivered", F.col("ShippedDate"), 14).alias("DeliveredDate"), first("returned").alias("_returned")
+    )
+    return dated.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))).drop("_copies", "_copy")
+
+
 def post_purchase(
     entries: DataFrame,
     shipped: DataFrame,
@@ -277,10 +306,7 @@ def post_purchase(
     Keyed by (SubscriberKey, OrderId): two orders of one contact never mix.
     """
     base = _with_leave(entries.select("SubscriberKey", "OrderId", "EntryDate"), leaves)
-    base = event_or_timeout(base, shipped, "OrderId", "EntryDate", 10, "ShippedDate")
-    base = event_or_timeout(base, delivered, "OrderId", "ShippedDate", 14, "DeliveredDate")
-    back = returned.groupBy("OrderId").agg(F.min("EventDate").alias("_returned"))
-    base = base.join(back, "OrderId", "left")
+    base = _order_dates(base, {"shipped": shipped, "delivered": delivered, "returned": returned})
     review = after(F.col("DeliveredDate"), 5, "day")
     cross = after(F.col("DeliveredDate"), 7, "day")
     gone = F.col("LeftDate")
