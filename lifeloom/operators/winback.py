@@ -7,8 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lifeloom.functions.columns import bands, joined
-from lifeloom.functions.joins import sized
-from lifeloom.functions.ranking import first_k, positions
+from lifeloom.functions.ranking import first_k
+from lifeloom.functions.selection import first_under_cap
 from lifeloom.functions.times import Moment, as_ts, days_between, shift, stamp
 from lifeloom.operators.hygiene import latest_engagement
 from lifeloom.sources.tables import updated_from
@@ -148,20 +148,15 @@ def warmup_segment(
 
 
 def under_cap(audience: DataFrame, caps: DataFrame) -> DataFrame:
-    """Best-engaged recipients of each pool up to its cap (``IpPool``, ``Cap``; NULL = no cap).
-
-    Caps reach millions, so positions are computed by distributed ranking.
-    """
-    ranked = positions(audience, ["IpPool"], [F.col("LastEngagementDate").desc(), F.col("SubscriberKey")])
-    # One row per pool against very few hot pools: broadcast once its size is proven.
-    return ranked.join(sized(caps.select("IpPool", "Cap")), "IpPool").filter(F.col("Cap").isNull() | (F.col("Position") <= F.col("Cap")))
+    """Best-engaged recipients of each pool up to its cap (``IpPool``, ``Cap``; NULL = no cap)."""
+    return first_under_cap(audience, "IpPool", "LastEngagementDate", "SubscriberKey", caps)
 
 
 def best_scores_first(candidates: DataFrame, scores: DataFrame, cap: int) -> DataFrame:
     """Up to ``cap`` candidates per pool, highest latest engagement score first."""
     scored = candidates.join(latest_score(scores), "SubscriberKey")
-    ranked = positions(scored, ["IpPool"], [F.col("EngagementScore").desc(), F.col("SubscriberKey")])
-    return ranked.filter(F.col("Position") <= cap)
+    caps = candidates.select("IpPool").distinct().withColumn("Cap", F.lit(cap))
+    return first_under_cap(scored, "IpPool", "EngagementScore", "SubscriberKey", caps)
 
 
 def latest_score(scores: DataFrame) -> DataFrame:
