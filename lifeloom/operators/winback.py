@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lifeloom.functions.columns import bands, joined
+from lifeloom.functions.percentile import exact_percentile
 from lifeloom.functions.ranking import first_k
 from lifeloom.functions.selection import first_under_cap
 from lifeloom.functions.times import Moment, as_ts, days_between, shift, stamp
@@ -182,8 +183,7 @@ def consistently_low(scores: DataFrame, cycles: int = 4, quantile: float = 0.10)
 
 
 def _below_quantile(per_key: DataFrame, cycles: int, quantile: float) -> DataFrame:
-    # Scores are whole numbers 0-100: the exact percentile keeps one counter per distinct score.
-    limit = per_key.agg(F.percentile("_latest", F.lit(quantile)).alias("_limit"))
+    limit = exact_percentile(per_key, "_latest", quantile, "_limit")
     return (
         per_key.filter(F.col("_n") == cycles)
         .crossJoin(F.broadcast(limit))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lifeloom.functions.asof import latest_before, previous_value
 from lifeloom.functions.columns import all_of, bands, by_prefix, effective_price, or_default, pct
+from lifeloom.functions.percentile import exact_percentile
 from lifeloom.functions.ranking import first_k
 from lifeloom.functions.times import as_ts, days_between, shift
 from lifeloom.operators import carts, catalog, crm, hygiene, identity, insights, monitors, orders, reports, winback
@@ -391,7 +392,14 @@ def _(t):
        (SELECT arg_max(EngagementScore, ScoreDate) AS s FROM {scores} GROUP BY SubscriberKey) x""",
 )
 def _(t):
-    return winback.latest_score(t.scores).agg(F.percentile("EngagementScore", F.lit(0.1)).alias("ThresholdScore"))
+    return exact_percentile(winback.latest_score(t.scores), "EngagementScore", 0.1, "ThresholdScore")
+
+
+@query("agg_percentile_double", "SELECT quantile_cont(l_extendedprice * (1 - l_discount) + l_orderkey / 1000.0, 0.9) AS Threshold FROM {lineitem}")
+def _(t):
+    # About as many values as rows.
+    value = F.col("l_extendedprice") * (1 - F.col("l_discount")) + F.col("l_orderkey") / 1000.0
+    return exact_percentile(t.lineitem.select(value.alias("v")), "v", 0.9, "Threshold")
 
 
 @query(
