@@ -118,15 +118,16 @@ def _(t):
 
 @query(
     "job_dsar_erasure",
-    """WITH k AS (SELECT SubscriberKey FROM {leaves})
+    """WITH k AS (SELECT SubscriberKey FROM {leaves} UNION SELECT b.SubscriberKey FROM {bridge} a JOIN {bridge} b
+                   ON CAST(a.SubscriberKey AS BIGINT) // 3 = CAST(b.SubscriberKey AS BIGINT) // 3 WHERE a.SubscriberKey IN (SELECT SubscriberKey FROM {leaves}))
        SELECT 'subscribers' AS TableName, CASE WHEN SubscriberKey IN (SELECT SubscriberKey FROM k) THEN 'erased-' || SubscriberKey || '@erased.invalid' ELSE EmailAddress END AS RowKey FROM {subscribers}
        UNION ALL SELECT 'preferences', SubscriberKey FROM {preferences} WHERE SubscriberKey NOT IN (SELECT SubscriberKey FROM k)
        UNION ALL SELECT 'addresses', AddressId FROM {addresses} WHERE SubscriberKey NOT IN (SELECT SubscriberKey FROM k)
        UNION ALL SELECT 'carts', CartId FROM {carts} WHERE SubscriberKey NOT IN (SELECT SubscriberKey FROM k)
        UNION ALL SELECT 'consent_log', ConsentLogId || coalesce(CASE WHEN SubscriberKey IN (SELECT SubscriberKey FROM k) THEN NULL ELSE IPAddress END, '') FROM {consent_log}
-       UNION ALL SELECT 'consent_log', 'DSAR-' || SubscriberKey || '-20240131000000' FROM k
+       UNION ALL SELECT 'consent_log', 'DSAR-' || SubscriberKey || '-20240131000000' FROM {subscribers} WHERE SubscriberKey IN (SELECT SubscriberKey FROM k)
        UNION ALL SELECT 'suppression', 'sha256:' || sha256(lower(trim(EmailAddress))) FROM {subscribers} WHERE SubscriberKey IN (SELECT SubscriberKey FROM k)
-       UNION ALL SELECT 'suppression', 'erased-' || SubscriberKey || '@erased.invalid' FROM k
+       UNION ALL SELECT 'suppression', 'erased-' || SubscriberKey || '@erased.invalid' FROM {subscribers} WHERE SubscriberKey IN (SELECT SubscriberKey FROM k)
        UNION ALL SELECT 'suppression', EmailAddress FROM {suppression}""",
 )
 def _(t):
@@ -138,8 +139,9 @@ def _(t):
         "consent_log": t.consent_log,
         "suppression": t.suppression,
     }
-    # All requests concern subscribers linked to at most one individual, so the bridge adds none.
-    kept = hygiene.erase(tables, t.leaves.select("SubscriberKey"), EVENTS_NOW, t.bridge)
+    # Three neighbouring subscribers are one individual: a request of one of them concerns all three.
+    person = F.concat(F.lit("U"), F.floor(F.col("SubscriberKey").cast("bigint") / 3).cast("string"))
+    kept = hygiene.erase(tables, t.leaves.select("SubscriberKey"), EVENTS_NOW, t.bridge.withColumn("UnifiedIndividualId", person))
     shown = {
         "subscribers": F.col("EmailAddress"),
         "preferences": F.col("SubscriberKey"),
@@ -409,27 +411,37 @@ def _(t):
     return inactive(t).drop("DetectedDate")
 
 
-@query(
-    "job_sunset",
-    f"""SELECT s.SubscriberKey, CASE WHEN k.SubscriberKey IS NOT NULL THEN 'Sunset' ELSE SubscriberStatus END AS SubscriberStatus,
+def sunset_sql(more: str = "") -> str:
+    return f"""SELECT s.SubscriberKey, CASE WHEN k.SubscriberKey IS NOT NULL THEN 'Sunset' ELSE SubscriberStatus END AS SubscriberStatus,
                CASE WHEN k.SubscriberKey IS NOT NULL THEN FALSE ELSE EmailOptIn END AS EmailOptIn,
                CASE WHEN k.SubscriberKey IS NOT NULL THEN 'SUNSET-' || s.SubscriberKey || '-20010802000000' END AS ConsentLogId
         FROM {{subscribers}} s LEFT JOIN (
           SELECT s.SubscriberKey FROM {{subscribers}} s JOIN {{winback_log}} l ON l.SubscriberKey = s.SubscriberKey AND l.InactivityTier = 'Sunset'
-          WHERE s.SubscriberStatus = 'Active'
+          WHERE s.SubscriberStatus = 'Active' {more}
             AND NOT EXISTS (SELECT 1 FROM {{old_opens}} o WHERE o.SubscriberKey = s.SubscriberKey AND o.EventDate >= l.EnteredDate)
             AND NOT EXISTS (SELECT 1 FROM {{old_clicks}} c WHERE c.SubscriberKey = s.SubscriberKey AND c.EventDate >= l.EnteredDate)) k
-        ON k.SubscriberKey = s.SubscriberKey""",
-)
-def _(t):
-    updated, consent = winback.sunset(
-        t.subscribers, t.winback_log, t.old_opens, t.old_clicks, ORDERS_NOW, require_series=False
-    )
+        ON k.SubscriberKey = s.SubscriberKey"""
+
+
+def sunset_rows(t, **options):
+    updated, consent = winback.sunset(t.subscribers, t.winback_log, t.old_opens, t.old_clicks, ORDERS_NOW, **options)
     return updated.join(consent.select("SubscriberKey", "ConsentLogId"), "SubscriberKey", "left").select(
         "SubscriberKey", "SubscriberStatus", "EmailOptIn", "ConsentLogId"
     )
 
 
+@query("job_sunset", sunset_sql())
+def _(t):
+    return sunset_rows(t, require_series=False)
+
+
+@query("job_sunset_series", sunset_sql("AND CAST(s.SubscriberKey AS BIGINT) % 3 = 0"))
+def _(t):
+    # The default: only contacts that have finished the series, here every third.
+    done = t.subscribers.filter(F.col("SubscriberKey").cast("bigint") % 3 == 0).select("SubscriberKey")
+    return sunset_rows(t, series_done=done)
+
+
 @query(
     "job_frequency_cap",
     """WITH r AS (SELECT *, row_number() OVER (PARTITION BY SubscriberKey ORDER BY ScoreDate DESC) AS n FROM {scores}),

@@ -98,15 +98,25 @@ def _(t):
     entry = F.struct(
         F.struct("CartId").alias("keys"), F.struct("SubscriberKey", "CartStatus", "CartTotal", "ItemCount").alias("values")
     )
-    calls = t.carts.select(F.to_json(F.array(entry)).alias("value"))
+    # Calls with many entries, and one call with none.
+    calls = t.carts.groupBy(F.pmod(F.xxhash64("CartId"), F.lit(40)).alias("call")).agg(F.to_json(F.collect_list(entry)).alias("value"))
+    calls = calls.select("value").unionByName(t.spark.range(1).select(F.lit("[]").alias("value")))
     flat = files.explode_rowset(calls)
     return flat.select("CartId", "SubscriberKey", "CartStatus", "CartTotal", "ItemCount")
 
 
-@query("src_cart_skus_json", "SELECT CartLineItemId AS CartId, SKU, Quantity FROM {cart_lines}")
+@query(
+    "src_cart_skus_json",
+    """SELECT CartId, SKU, Quantity FROM {cart_lines} UNION ALL SELECT 'empty-' || CartId, NULL, NULL FROM {carts} WHERE CartStatus = 'Converted'
+       UNION ALL SELECT 'unset-' || CartId, NULL, NULL FROM {carts} WHERE CartStatus = 'Converted'""",
+)
 def _(t):
+    # Carts with one line and with several, with an empty list, and without a list.
     item = F.struct(F.col("SKU").alias("sku"), F.col("Quantity").alias("qty"))
-    carts = t.cart_lines.select(F.col("CartLineItemId").alias("CartId"), F.to_json(F.array(item)).alias("SKUsJSON"))
+    carts = t.cart_lines.groupBy("CartId").agg(F.to_json(F.collect_list(item)).alias("SKUsJSON"))
+    for name, text in (("empty-", F.lit("[]")), ("unset-", F.lit(None).cast("string"))):
+        bare = t.carts.filter("CartStatus = 'Converted'").select(F.concat(F.lit(name), "CartId").alias("CartId"), text.alias("SKUsJSON"))
+        carts = carts.unionByName(bare)
     return files.explode_cart_skus(carts).select("CartId", "SKU", "Quantity")
 
 
