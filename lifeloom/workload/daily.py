@@ -84,12 +84,12 @@ def _(t):
 @query(
     "job_code_pool_short",
     """WITH free AS (SELECT CampaignType, count(*) FILTER (NOT IsUsed) AS FreeCodes FROM {code_pool} GROUP BY 1)
-       SELECT * FROM free WHERE FreeCodes < (SELECT max(FreeCodes) FROM free)""",
+       SELECT * FROM free WHERE FreeCodes <= (SELECT max(FreeCodes) FROM free)""",
 )
 def _(t):
-    # The buffer is what the best stocked campaign has.
+    # The buffer is one code more than the best stocked campaign has: every campaign is short, each with its own count.
     best = t.code_pool.filter("NOT IsUsed").groupBy("CampaignType").count().agg(F.max("count")).first()[0] or 0
-    return carts.short_pools(pool(t), best)
+    return carts.short_pools(pool(t), best + 1)
 
 
 #: Answers of the event endpoint, by order id.
