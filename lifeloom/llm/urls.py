@@ -3,11 +3,14 @@
 A url's path is cut into segments.  Numbers, hexadecimal strings and other segments that change from page to
 page are generalised: by their form, or because a node of the host's tree has many different children of few
 urls each.  The tree is built level by level: the children of a node are counted under its generalised path.  What is left
-is the url's template.  Sibling branches, templates that differ only in their last literal segment, are merged if
-both have labelled urls and their labelled shares do not differ significantly.  A template is rejected if the share of
-labelled-bad urls of its own branch, or of the branches merged with it, reaches ``REJECT``, as it is and smoothed by the share of
-templates of the same shape on all hosts.  Without labelled urls there it is not rejected.  The urls that a rule decides are the
-labelled ones.
+is the url's template.
+
+The urls that a rule decides are the labelled ones.  The share of bad ones is smoothed along the tree, from the top: over all
+hosts, of the host, of the template's parent node, of the sibling branches that are merged with it, of the template itself; each
+level counts its own labelled urls and takes the level above as SMOOTHING more.  Sibling branches, templates that differ only
+in their last literal segment, are merged if both have labelled urls and their shares do not differ significantly.  So
+a template without labels gets what is known of its node and host.  It is rejected if the smoothed share reaches ``REJECT`` and
+its host has labelled urls at all: what holds over all hosts smooths, but rejects nothing by itself.
 """
 
 from __future__ import annotations
@@ -29,9 +32,9 @@ RULES = (
 MANY_CHILDREN, FEW_URLS = 8, 2.0
 #: Two shares differ if their pooled z score exceeds this.
 Z = 1.96
-#: Weight of the smoothing share, in urls.
+#: Weight of the level above, in urls.
 SMOOTHING = 4.0
-REJECT = 0.5
+REJECT = 0.6
 
 
 def host_and_path(url) -> tuple[F.Column, F.Column]:
@@ -74,7 +77,7 @@ def parsed(pages: DataFrame, rules=RULES) -> DataFrame:
 
 
 def templates(rows: DataFrame) -> DataFrame:
-    """(row, host, template, pooled): the generalised path, and the same with its last literal segment open."""
+    """(row, host, template, parent, pooled): the generalised path, the node above it, and the path with its last literal segment open."""
     literal_at = lambda c: ~c.contains("{")
     now = rows.select("row", "host", "forms", F.array().cast("array<string>").alias("s")).filter(F.size("forms") > 0)
     # Deeper than this no host has the urls that a variable node needs.
@@ -98,44 +101,55 @@ def templates(rows: DataFrame) -> DataFrame:
     literal = F.transform(segments, lambda x: ~(x.contains("{") | (x == "*")))
     last = F.size(segments) - F.array_position(F.reverse(literal), True)
     opened = F.when(F.array_contains(literal, True), F.transform(segments, lambda x, i: F.when(i == last, F.lit("~")).otherwise(x))).otherwise(segments)
-    return seen.select("row", "host", F.array_join(segments, "/").alias("template"), F.array_join(opened, "/").alias("pooled"))
+    above = F.array_join(F.slice(segments, 1, F.size(segments) - 1), "/")
+    return seen.select("row", "host", F.array_join(segments, "/").alias("template"), above.alias("parent"), F.array_join(opened, "/").alias("pooled"))
 
 
 def verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, template, purity) of every row of ``pages``.
 
     ``purity`` is the smoothed share of labelled-bad urls of the row's template.  A null url, one without ``://`` and
-    an empty path belong to the template ``""`` of their host; without a labelled url in its own branch a template's purity is 0
-    and the method allows.  Repeated rows and null ids stay; further columns are ignored.
+    an empty path belong to the template ``""`` of their host.  Without a labelled url on the host the method allows.
+    Repeated rows and null ids stay; an empty table gives an empty result; further columns are ignored.
     """
     rows = parsed(pages, rules)
     shaped = rows.join(templates(rows).drop("host"), "row", "left").select(
-        "row", "page_id", "host", "path", "fit", *(F.coalesce(c, F.lit("")).alias(c) for c in ("template", "pooled"))
+        "row", "page_id", "host", "path", "fit", *(F.coalesce(c, F.lit("")).alias(c) for c in ("template", "parent", "pooled"))
     )
     shaped = settled(shaped, "url-shapes")
-    bad = F.count_if(F.col("fit.verdict") == "block")
-    branch = shaped.groupBy("host", "template", "pooled").agg(F.count("fit").alias("n"), bad.alias("bad"))
+    judged = purities(shaped.select("host", "template", "parent", "pooled", F.col("fit.verdict").alias("label")))
+    rejected = (F.col("purity") >= REJECT) & (F.col("host_n") > 0)
+    return shaped.join(judged, ["host", "template"]).select(
+        "page_id", "host", "path", F.col("fit.rule").alias("rule"),
+        F.coalesce(F.col("fit.verdict"), F.when(rejected, "block").otherwise("allow")).alias("verdict"), "template", "purity",
+    )
+
+
+def purities(shaped: DataFrame) -> DataFrame:
+    """(host, template, purity, host_n) of (host, template, parent, pooled, label): one row per template of a host.
+
+    A label is ``block``, ``allow`` or null.  All counts combine before they are shuffled; what is joined is one row per branch.
+    """
+    bad = F.count_if(F.col("label") == "block")
+    branch = shaped.groupBy("host", "template", "parent", "pooled").agg(F.count("label").alias("n"), bad.alias("bad"))
+    hosts = branch.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("bad").alias("host_bad"))
+    nodes = branch.groupBy("host", "parent").agg(F.sum("n").alias("node_n"), F.sum("bad").alias("node_bad"))
     pool = branch.groupBy("host", "pooled").agg(F.sum("n").alias("p_n"), F.sum("bad").alias("p_bad"))
-    shape = pool.groupBy("pooled").agg(F.sum("p_n").alias("s_n"), F.sum("p_bad").alias("s_bad"))
-    whole = shape.agg(F.coalesce(F.try_divide(F.sum("s_bad"), F.sum("s_n")), F.lit(0.0)).alias("all_bad"))
+    whole = hosts.agg(F.coalesce(F.try_divide(F.sum("host_bad"), F.sum("host_n")), F.lit(0.0)).alias("all_share"))
     other_n, other_bad = F.col("p_n") - F.col("n"), F.col("p_bad") - F.col("bad")
-    share = F.try_divide(F.col("p_bad"), F.col("p_n"))
-    one = F.lit(1.0)
+    share, one = F.try_divide(F.col("p_bad"), F.col("p_n")), F.lit(1.0)
     spread = F.sqrt(share * (one - share) * (F.try_divide(one, F.col("n")) + F.try_divide(one, other_n)))
     gap = F.abs(F.try_divide(F.col("bad"), F.col("n")) - F.try_divide(other_bad, other_n))
     # Merged: branches that have labels, as has the rest of their pool, and are not apart from it.
     merged = (F.col("n") > 0) & (other_n > 0) & ~F.coalesce(gap > Z * spread, F.lit(False))
     tested = branch.join(pool, ["host", "pooled"]).withColumn("merged", merged)
     joint = tested.filter("merged").groupBy("host", "pooled").agg(F.sum("n").alias("m_n"), F.sum("bad").alias("m_bad"))
-    prior = (F.col("s_bad") + SMOOTHING * F.col("all_bad")) / (F.col("s_n") + SMOOTHING)
-    used_n, used_bad = F.when(F.col("merged"), F.col("m_n")).otherwise(F.col("n")), F.when(F.col("merged"), F.col("m_bad")).otherwise(F.col("bad"))
-    smoothed = F.when(used_n > 0, (used_bad + SMOOTHING * prior) / (used_n + SMOOTHING)).otherwise(0.0)
-    judged = (
-        tested.join(joint, ["host", "pooled"], "left").join(shape, "pooled").join(F.broadcast(whole))  # ``whole`` is one row
-        .select("host", "template", smoothed.alias("purity"), F.coalesce(F.try_divide(used_bad, used_n) >= REJECT, F.lit(False)).alias("seen_bad"))
-    )
-    return shaped.join(judged, ["host", "template"]).select(
-        "page_id", "host", "path", F.col("fit.rule").alias("rule"),
-        F.coalesce(F.col("fit.verdict"), F.when(F.col("seen_bad") & (F.col("purity") >= REJECT), "block").otherwise("allow")).alias("verdict"),
-        "template", "purity",
-    )
+
+    def smoothed(bad, n, above):
+        return (F.col(bad) + SMOOTHING * above) / (F.col(n) + SMOOTHING)
+
+    levels = tested.join(joint, ["host", "pooled"], "left").join(nodes, ["host", "parent"]).join(hosts, "host").join(F.broadcast(whole))  # one row
+    of_host = levels.withColumn("of_host", smoothed("host_bad", "host_n", F.col("all_share")))
+    of_node = of_host.withColumn("of_node", smoothed("node_bad", "node_n", F.col("of_host")))
+    siblings = F.when(F.col("merged"), smoothed("m_bad", "m_n", F.col("of_node"))).otherwise(F.col("of_node"))
+    return of_node.withColumn("above", siblings).select("host", "template", smoothed("bad", "n", F.col("above")).alias("purity"), "host_n")
