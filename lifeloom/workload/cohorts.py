@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from lifeloom.functions.times import as_ts
 from lifeloom.plans import journeys
+from lifeloom.plans.due import DueTable, advance_winback, winback_rows
+from lifeloom.session import scratch
 from lifeloom.workload.base import query
 from lifeloom.workload.jobs import E_TS, O_TS
 from lifeloom.workload.views import EVENTS_NOW, ORDERS_NOW
@@ -204,19 +206,34 @@ def next_event(a: int, b: int) -> str:
     )
 
 
-@query(
-    "out_winback",
-    f"""WITH ev AS (SELECT * FROM {{old_opens}} UNION ALL SELECT * FROM {{old_clicks}}),
+WINBACK_SQL = f"""WITH ev AS (SELECT * FROM {{old_opens}} UNION ALL SELECT * FROM {{old_clicks}}),
           c AS (SELECT e.*, {next_event(0, 14)}, {next_event(14, 28)}, {next_event(28, 58)}, {O_TS} AS n FROM {{old_entries}} e)
         SELECT SubscriberKey, EntryDate, CAST(n >= EntryDate AS BIGINT) + CAST(n >= EntryDate + INTERVAL 14 DAY AND NOT r14 AS BIGINT)
                  + CAST(n >= EntryDate + INTERVAL 28 DAY AND NOT r14 AND NOT r28 AS BIGINT) AS EmailsSent,
           CASE WHEN n < EntryDate + INTERVAL 14 DAY THEN 'WAITING' WHEN r14 THEN 'EXIT-REENGAGED' WHEN n < EntryDate + INTERVAL 28 DAY THEN 'WAITING' WHEN r28 THEN 'EXIT-REENGAGED'
-               WHEN n < EntryDate + INTERVAL 58 DAY THEN 'WAITING' WHEN r58 THEN 'EXIT-REENGAGED' ELSE 'EXIT-SUNSET-PENDING' END AS Outcome FROM c""",
+               WHEN n < EntryDate + INTERVAL 58 DAY THEN 'WAITING' WHEN r58 THEN 'EXIT-REENGAGED' ELSE 'EXIT-SUNSET-PENDING' END AS Outcome FROM c"""
+
+
+@query(
+    "out_winback",
+    WINBACK_SQL,
 )
 def _(t):
     return journeys.winback(t.old_entries, t.old_opens, t.old_clicks, ORDERS_NOW).drop("Sends")
 
 
+@query("out_winback_due", WINBACK_SQL)
+def _(t):
+    # What was before, then 60 days in four runs; each reads the rows that fell due in it and a month of events.
+    due = DueTable(t.spark, scratch(t.spark, "due"))
+    days = ["1900-01-01", "2001-06-03", "2001-06-18", "2001-07-03", "2001-07-18", "2001-08-02"]
+    for run, (since, until) in enumerate(zip(days, days[1:])):
+        advance_winback(due, run, t.old_entries, t.old_opens, t.old_clicks, f"{since} 00:00:00", f"{until} 00:00:00")
+    later = t.old_entries.filter(F.col("EntryDate") > as_ts(ORDERS_NOW))
+    not_yet = later.select("SubscriberKey", "EntryDate", F.lit(0).cast("bigint").alias("EmailsSent"), F.lit(journeys.WAITING).alias("Outcome"))
+    return winback_rows(due, len(days), ORDERS_NOW).unionByName(not_yet)
+
+
 @query(
     "out_vip",
     f"""SELECT SubscriberKey, EntryDate, CASE WHEN {O_TS} < EntryDate + INTERVAL 14 DAY THEN 'WAITING'
