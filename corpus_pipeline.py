@@ -1,4 +1,8 @@
-"""Corpus preparation in stages.  Each stage takes (spark, docs, sf_dir) and returns a DataFrame."""
+"""Corpus preparation in stages.  Each stage takes (spark, docs, sf_dir) and returns a DataFrame.
+
+All stages take null ids and texts, empty and very long texts, ties and repeated rows, an empty table and further columns, also
+such whose names a stage uses itself.  All but the last keep every column of what they are given.
+"""
 
 from __future__ import annotations
 
@@ -10,27 +14,28 @@ from lifeloom.session import configure
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.  A null or empty text is scored like any other; repeated rows share a fate."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
+    """One document of each near-duplicate group stays: the text with the smallest id.  Rows without an id stay, and so do repeated rows of
+    the text that stays."""
     return simhash.keep_one(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item, exactly or nearly, go.  Texts without words stay."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are masked; every document stays."""
+    """Secrets in the texts are masked; every row stays, null texts stay null."""
     return secrets.redacted(docs)
 
 
 def tokenize_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digest of every text."""
+    """Token counts and digest of every text, one row per row; null and empty texts have no tokens."""
     return lattice.report(docs)
 
 
@@ -47,7 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents``; each stage's rows are written as Parquet and read again by the next."""
+    """Apply all stages to ``documents``; each stage's rows are written as Parquet and read again by the next.
+
+    An empty table gives an empty result.
+    """
     configure(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
