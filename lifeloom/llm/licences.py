@@ -53,16 +53,12 @@ def hits_of(words) -> F.Column:
 
 
 def _places(hits, phrase: list[str]):
-    """Positions where the words of ``phrase`` stand consecutively."""
-    first = F.filter(hits, lambda h: h.w == phrase[0])
-
-    def follows(h):
-        test = F.lit(True)
-        for k, w in enumerate(phrase[1:], 1):
-            test = test & F.array_contains(hits, F.struct((h.p + k).alias("p"), F.lit(w).alias("w")))
-        return test
-
-    return F.transform(F.filter(first, follows), lambda h: h.p)
+    """Positions where the words of ``phrase`` stand consecutively: the starts that each of its words proposes, intersected."""
+    found = None
+    for k, word in enumerate(phrase):
+        starts = F.transform(F.filter(hits, lambda h: h.w == word), lambda h: h.p - k)
+        found = starts if found is None else F.array_intersect(found, starts)
+    return found
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -103,18 +99,19 @@ def aligned(found: DataFrame) -> DataFrame:
     # A template with one distinctive word cannot get two votes: then all its distinctive words must agree.
     most = index.groupBy("t").agg(F.least(F.lit(AGREE), F.count("*")).alias("need"))
     candidates = proposals.join(F.broadcast(most), "t").filter("agree >= need").join(F.broadcast(texts), "t")
-    weights = idf.agg(F.map_from_entries(F.collect_list(F.struct("w", "idf"))).alias("weights"))  # one row
-    checked = candidates.join(found.select("row", "hits"), "row").join(F.broadcast(weights))
-    there = lambda i: F.array_contains(F.col("hits"), F.struct((F.col("start") + i).cast("long").alias("p"), F.col("words")[i].alias("w")))
-    weight = lambda i: F.coalesce(F.element_at("weights", F.col("words")[i]), F.lit(0.0))
-    places = F.sequence(F.lit(0), F.size("words") - 1)
-    add = lambda a, x: a + x
-    got = F.aggregate(F.transform(places, lambda i: F.when(there(i), weight(i)).otherwise(0.0)), F.lit(0.0), add)
-    whole = F.aggregate(F.transform(places, weight), F.lit(0.0), add)
-    verified = F.forall("mandatory", there)
-    return (
-        checked.filter(verified).select("row", "label", "start", F.when(whole > 0, got / whole).otherwise(1.0).alias("score")).filter(F.col("score") >= ACCEPT)
+    weights = idf.select("w", F.col("idf").alias("weight"))  # one row per licence word
+    # Every word that a candidate expects is looked up at its place, one row each: no file's hits are copied to its candidates.
+    expected = candidates.select("row", "t", "label", "start", "mandatory", F.posexplode("words").alias("i", "w"))
+    expected = expected.withColumn("p", F.col("start") + F.col("i")).withColumn("key", F.array_contains("mandatory", F.col("i"))).drop("mandatory")
+    hits = found.select("row", F.explode("hits").alias("h")).select("row", "h.p", "h.w", F.lit(True).alias("hit"))
+    met = expected.join(hits, ["row", "p", "w"], "left").join(F.broadcast(weights), "w", "left")
+    weight, hit = F.coalesce("weight", F.lit(0.0)), F.coalesce("hit", F.lit(False))
+    checked = met.groupBy("row", "t", "label", "start").agg(
+        F.sum(F.when(hit, weight).otherwise(0.0)).alias("got"), F.sum(weight).alias("whole"), F.min(~F.col("key") | hit).alias("verified")
     )
+    # Rounded, because sums of doubles depend on their order.
+    score = F.round(F.when(F.col("whole") > 0, F.col("got") / F.col("whole")).otherwise(1.0), 9)
+    return checked.filter("verified").select("row", "label", "start", score.alias("score")).filter(F.col("score") >= ACCEPT)
 
 
 def report(docs: DataFrame) -> DataFrame:
