@@ -170,10 +170,10 @@ def clear_labels(found: DataFrame, most: int = TRAIN_FINDINGS) -> DataFrame:
     return clear.dropDuplicates(["value_sha256"]).orderBy(F.xxhash64("value_sha256"), "value_sha256").limit(most).select("features", "label")
 
 
-def findings(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source") -> DataFrame:
+def findings(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source", most: int = TRAIN_FINDINGS) -> DataFrame:
     """(doc_id, copy, start, end, value_sha256, score, secret) of every candidate in every row of ``docs``.
 
-    ``labelled``: (features, label) to train on instead of the defaults.  Null and empty texts have no candidates; null ids and
+    ``labelled``: (features, label) to train on instead of the defaults, at most ``most`` rows of it in the order of a hash.  Null and empty texts have no candidates; null ids and
     repeated rows stay; a missing or null path counts as empty; an empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -182,6 +182,8 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, path: str = "so
     if labelled is None:
         made = spark.createDataFrame(seeded(table, words), "features array<double>, label double")
         labelled = made.unionByName(clear_labels(found))
+    else:
+        labelled = labelled.select("features", "label").orderBy(F.xxhash64("features"), "label").limit(most)
     # The sample is bounded; one partition in a fixed order makes the forest repeatable.
     sample = settled(labelled.select(array_to_vector("features").alias("x"), "label", F.xxhash64("features").alias("k")).repartition(1).sortWithinPartitions("k", "label"), "secret-sample")
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(sample.coalesce(1))
@@ -193,13 +195,16 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, path: str = "so
 def redacted(docs: DataFrame, path: str = "source") -> DataFrame:
     """All rows and columns of ``docs``, secrets in ``text`` replaced by MASK; ``n_chars``, if there, follows the text."""
     secrets = settled(findings(docs, path=path).filter("secret"), "secret-spans")
-    spans = secrets.groupBy(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
-    joined = docs.join(spans, same(docs["doc_id"].cast("long"), F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_copy")), "left")
+    # Longer than any name of ``docs``, so that none clashes.
+    own = "_" * (1 + max(len(c) for c in docs.columns))
+    doc, copy, place = f"{own}id", f"{own}copy", f"{own}spans"
+    spans = secrets.groupBy(F.col("doc_id").alias(doc), F.col("copy").alias(copy)).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(place))
+    joined = docs.join(spans, same(docs["doc_id"].cast("long"), F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(copy)), "left")
     # Candidates of a text do not overlap: what stays lies between them.
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.col("_spans.end"))
-    starts = F.concat(F.col("_spans.start"), F.array(F.length("text").cast("long")))
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.col(f"{place}.end"))
+    starts = F.concat(F.col(f"{place}.start"), F.array(F.length("text").cast("long")))
     between = F.zip_with(ends, starts, lambda a, b: F.substring(F.col("text"), (a + 1).cast("int"), (b - a).cast("int")))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.array_join(between, MASK))
+    text = F.when(F.col(place).isNull(), F.col("text")).otherwise(F.array_join(between, MASK))
     columns = [text.alias("text") if c == "text" else docs[c] for c in docs.columns]
     out = joined.select(*columns)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
