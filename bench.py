@@ -26,6 +26,7 @@ HEADLINE = [
     "rpt_program_kpis", "mon_guardrail_action", "dq_all_checks", "dq_unknown_sku", "rec_cross_sell", "rec_cart_blocks",
     "rec_welcome_products", "join_latest_asof", "win_change_detect", "top_k_under_cap", "out_welcome", "out_abandoned_cart",
     "out_post_purchase", "out_winback", "idr_exact_email", "idr_fuzzy_name",
+    "idr_components", "idr_survivorship", "idr_write_bridge", "rpt_campaign_performance_daily", "agg_percentile_double",
 ]
 
 
