@@ -43,6 +43,10 @@ HOT_CONTEXTS = 4000
 SIEVE_BITS = 1 << 22
 
 _BASE = 0x9E3779B97F4A7C15
+#: A second hash of another kind, over a prime field: texts that are built to collide modulo a power of two do not collide in it.
+_PRIME = (1 << 31) - 1
+_PRIME_BASE = 1_103_515_245
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _BYTE_VALUE = np.random.default_rng(42).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 
 
@@ -151,11 +155,24 @@ def repeated_windows(contexts: list[bytes], length: int = LENGTH) -> list[np.nda
 # ---------------------------------------------------------------- anchors
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo the prime, by doubling."""
+    out = np.ones(n, dtype=np.int64)
+    done, step = 1, base
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = out[:more] * step % _PRIME
+        done, step = done + more, step * step % _PRIME
+    return out
+
+
 class _Hashes:
-    """Hashes of substrings of one block from running sums modulo 2**64."""
+    """Hashes of substrings of one block from running sums modulo 2**64, and on demand from sums modulo a prime."""
 
     powers = np.ones(1, dtype=np.uint64)
     inverse = np.ones(1, dtype=np.uint64)
+    prime_powers = np.ones(1, dtype=np.int64)
+    prime_inverse = np.ones(1, dtype=np.int64)
 
     def __init__(self, data: np.ndarray) -> None:
         n = len(data) + 1
@@ -163,8 +180,12 @@ class _Hashes:
             base, back = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64))
             _Hashes.powers = np.cumprod(np.full(n, base), dtype=np.uint64) * np.uint64(pow(_BASE, -1, 1 << 64))
             _Hashes.inverse = np.cumprod(np.full(n, back), dtype=np.uint64) * base
+            _Hashes.prime_powers = _powers(_PRIME_BASE, n)
+            _Hashes.prime_inverse = _powers(pow(_PRIME_BASE, -1, _PRIME), n)
+        self.data = data
         self.sums = np.zeros(n, dtype=np.uint64)
         np.cumsum(_BYTE_VALUE[data] * self.powers[: n - 1], out=self.sums[1:])
+        self.prime_sums = None
 
     def of(self, start, end) -> np.ndarray:
         x = (self.sums[end] - self.sums[start]) * self.inverse[start]
@@ -172,6 +193,15 @@ class _Hashes:
         x *= np.uint64(0xBF58476D1CE4E5B9)
         return x ^ (x >> np.uint64(29))
 
+    def sure(self, start, end) -> np.ndarray:
+        """Both hashes in one: for equality that nothing checks afterwards."""
+        if self.prime_sums is None:
+            # Values up to 256 times a power below 2**31: 2**24 of them fit a long before the remainder is taken.
+            self.prime_sums = np.zeros(len(self.data) + 1, dtype=np.int64)
+            np.cumsum((self.data.astype(np.int64) + 1) * self.prime_powers[: len(self.data)], out=self.prime_sums[1:])
+        part = (self.prime_sums[end] - self.prime_sums[start]) % _PRIME * self.prime_inverse[start] % _PRIME
+        return self.of(start, end) ^ (part.astype(np.uint64) * _SPREAD)
+
 
 def anchors_of(data: bytes) -> tuple[np.ndarray, ...]:
     """(lowest window, highest window, anchor, anchor hash, context hash) for runs of windows that share an anchor."""
@@ -193,7 +223,7 @@ def anchors_of(data: bytes) -> tuple[np.ndarray, ...]:
         first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
         last = np.concatenate((first[1:], [len(anchor)])) - 1
         place = anchor[first]
-        parts.append((first + at, last + at, place + at, value[place], hashes.of(first, last + LENGTH)))
+        parts.append((first + at, last + at, place + at, value[place], hashes.sure(first, last + LENGTH)))
     if not parts:
         return tuple(np.empty(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     return tuple(np.concatenate(c) for c in zip(*parts))
@@ -345,7 +375,7 @@ def _counted_out(contexts: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 block = np.frombuffer(row["context"], dtype=np.uint8)
                 at = np.arange(len(block) - LENGTH + 1)
-                hashes = _Hashes(block).of(at, at + LENGTH).view(np.int64)
+                hashes = _Hashes(block).sure(at, at + LENGTH).view(np.int64)
                 full = [pa.array([row[k]] * len(at), t) for k, t in zip(names, (pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.int64()))]
                 yield pa.RecordBatch.from_arrays([*full, pa.array(at), pa.array(hashes)], [*names, "at", "w"])
 

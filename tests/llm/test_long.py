@@ -26,3 +26,23 @@ def test_masking_keeps_columns_of_any_name(spark):
     kept = sorted(((r.doc_id, r.source, r["_id"], r["_spans"]) for r in got.collect()), key=str)
     assert kept == sorted([(1, "a", 0, 2), (2, "b", 0, 2), (2, "b", 0, 2), (None, "c", 0, 2)], key=str)
     assert [r.text for r in got.filter("doc_id = 2").collect()] == [None, None]
+
+
+def test_texts_built_to_collide_modulo_a_power_of_two_are_told_apart():
+    import numpy as np
+
+    from lifeloom.llm.suffixes import _Hashes
+
+    # A Thue-Morse word and its complement have equal polynomial hashes modulo 2**64 whatever the base.
+    word = [bin(i).count("1") % 2 for i in range(1 << 11)]
+    pair = [np.array([97 + b for b in word], dtype=np.uint8), np.array([98 - b for b in word], dtype=np.uint8)]
+    ends = (np.array([0]), np.array([1 << 11]))
+    plain = [int(_Hashes(x).of(*ends)[0]) for x in pair]
+    sure = [int(_Hashes(x).sure(*ends)[0]) for x in pair]
+    assert plain[0] == plain[1] and sure[0] != sure[1]
+    # The same bytes at another place have the same hash.
+    rng = np.random.default_rng(1)
+    data = rng.integers(0, 256, 5000).astype(np.uint8)
+    moved = np.concatenate((rng.integers(0, 256, 777).astype(np.uint8), data))
+    a, b = np.arange(0, 4000), np.arange(0, 4000) + 300
+    assert (_Hashes(data).sure(a, b) == _Hashes(moved).sure(a + 777, b + 777)).all()
