@@ -91,4 +91,9 @@ QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_benchmark_decontamination, op3_i_match, op4_pii, op5_secret_scan, op6_quality_classifier, op7_url_filter,
     op8_simhash_near_dedup, op9_suffix_array_dedup, op10_sentencepiece, op11_prefix_trie, op12_line_dedup, op13_periodic_runs,
 )}
-ORACLES = {"op2_benchmark_decontamination": decontaminate.ORACLE, "op11_prefix_trie": tries.ORACLE, "op12_line_dedup": lines.ORACLE}
+ORACLES = {
+    "op2_benchmark_decontamination": decontaminate.ORACLE,
+    "op9_suffix_array_dedup": suffixes.ORACLE,
+    "op11_prefix_trie": tries.ORACLE,
+    "op12_line_dedup": lines.ORACLE,
+}

@@ -478,3 +478,20 @@ def removed(docs: DataFrame) -> DataFrame:
 def report(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: n_bytes, n_removed, n_spans, kept_sha256 (cases as in ``removed``)."""
     return removed(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+#: The contract of the report in DuckDB: every window of 200 bytes, counted as it is.
+ORACLE = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+windows AS (SELECT r, s, array_slice(b, s, s + 199) AS w FROM (SELECT r, b, unnest(range(1, octet_length(b) - 198)) AS s FROM docs) x),
+often AS (SELECT md5(w) AS m FROM windows GROUP BY 1 HAVING count(*) > 1),
+hits AS (SELECT r, s, lag(s) OVER (PARTITION BY r ORDER BY s) AS p FROM windows WHERE md5(w) IN (SELECT m FROM often)),
+marked AS (SELECT r, s, sum(CASE WHEN p IS NULL OR s > p + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY s) AS span FROM hits),
+spans AS (SELECT r, span, min(s) AS lo, max(s) + 199 AS hi FROM marked GROUP BY 1, 2),
+pieces AS (SELECT r, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY span), 0) + 1 AS a, lo - 1 AS z FROM spans
+           UNION ALL SELECT docs.r, coalesce(max(hi), 0) + 1, octet_length(any_value(b)) FROM docs LEFT JOIN spans ON spans.r = docs.r GROUP BY docs.r),
+kept AS (SELECT r, string_agg(hex(array_slice(b, a, z)), '' ORDER BY a) AS h FROM pieces JOIN docs USING (r) WHERE z >= a GROUP BY r),
+gone AS (SELECT r, sum(hi - lo + 1) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(h, ''))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r) LEFT JOIN gone USING (r)"""

@@ -64,7 +64,6 @@ PLAIN = {
     "op6_quality_classifier": "test_operators.test_quality",
     "op7_url_filter": "test_operators.test_urls",
     "op8_simhash_near_dedup": "test_operators.test_simhash",
-    "op9_suffix_array_dedup": "test_operators.test_suffix_dedup",
     "op10_sentencepiece": "test_operators.test_lattice",
     "op13_periodic_runs": "test_periods.test_report_against_plain",
     "pipeline": "test_pipeline.test_runs_where_workers_lack_the_package",
