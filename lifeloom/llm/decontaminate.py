@@ -4,8 +4,8 @@
    counts over the whole corpus; these words are the test terms.  Any ``NEAR`` different words of a window therefore
    include a test term, also if its rarest word was replaced.
 2. The corpus is read once more and the postings of the test terms are stored: term, document, position,
-   and the ``WINDOW - 1`` words on either side (as one string), which is as far as a window around the
-   position can reach.
+   and the ``WINDOW - 1`` words on either side, which is as far as a window around the position can reach.  A word of the
+   benchmark is told by its 64-bit hash, any other word is a zero: it equals nothing.
 3. Postings meet the benchmark positions of their term.  The difference of the two positions is the
    alignment; lists are intersected on it by comparing the neighbours outwards from the term.  A run
    of equal words as long as a window is an exact phrase; ``WINDOW`` words of the document that hold at
@@ -23,6 +23,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -111,54 +112,86 @@ def crowded(places: np.ndarray, window: int, least: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def _code(word: bytes) -> int:
+    """The hash that Spark's ``xxhash64`` gives the word."""
+    value = xxhash.xxh64_intdigest(word, 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
 def postings(docs: DataFrame, terms: DataFrame, vocabulary: DataFrame, window: int, least: int, block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """The stored index: (word, doc_id, copy, pos, before, after) of the occurrences of test terms that can matter.
+    """The stored index: (word, doc_id, copy, pos, around) of the occurrences of test terms that can matter.
 
-    A match of either kind lies in ``window`` words that hold at least ``least`` words of the benchmark's ``vocabulary``; other
-    occurrences are not stored.  A vocabulary beyond ``block_terms`` is not sent and leaves all occurrences in.
+    ``around``: the codes of the ``window - 1`` words before the place, of its own, and of as many behind.  A match of either kind lies
+    in ``window`` words that hold at least ``least`` words of the benchmark's ``vocabulary``; other occurrences are not stored.  A
+    vocabulary beyond ``block_terms`` is not sent: then all occurrences stay and every word has its code.
     ``copy`` is a hash of the text, so that rows which share an id stay apart.
     """
     side = window - 1
-    names = ["word", "doc_id", "copy", "pos", "before", "after"]
+    schema = "word string, doc_id long, copy long, pos long, around array<long>"
     frames = []
     sieves = list(_blocks(vocabulary, block_terms)) if vocabulary.select("word").distinct().count() <= block_terms else []
-    sieve = docs.sparkSession.sparkContext.broadcast(sieves[0]) if sieves else None
+    sieve = docs.sparkSession.sparkContext.broadcast({w: _code(w) for w in sieves[0]}) if sieves else None
     for known in _blocks(terms, block_terms):
         sent = docs.sparkSession.sparkContext.broadcast(known)
 
         def run(batches, sent=sent):
             known = sent.value
-            wide = sieve.value if sieve else known
             for batch in batches:
-                rows = []
+                rows, size = [], 0
                 for doc, copy, text in zip(*(batch.column(c) for c in ("doc_id", "copy", "text"))):
                     words = byte_words(text.as_py())
-                    hits = [(i, w) for i, w in enumerate(words) if w in wide]
-                    if sieve and len(hits) >= least:
-                        kept = crowded(np.array([i for i, _ in hits]), window, least)
-                        hits = [hit for hit, keep in zip(hits, kept) if keep and hit[1] in known]
-                    elif sieve or not hits:
+                    found = _places(words, known, sieve.value if sieve else None, window, least)
+                    if found is None:
                         continue
-                    doc, copy = doc.as_py(), copy.as_py()
-                    for i, w in hits:
-                        before, after = words[max(0, i - side) : i][::-1], words[i + 1 : i + 1 + side]
-                        text_of = lambda ws: b" ".join(ws).decode("utf-8", "surrogatepass")
-                        rows.append((text_of([w]), doc, copy, i, text_of(before), text_of(after)))
-                    if len(rows) > 20_000:
-                        yield _rows(rows, names)
-                        rows = []
-                yield _rows(rows, names)
+                    at, codes = found
+                    names = [words[i].decode("utf-8", "surrogatepass") for i in at.tolist()]
+                    # The codes have ``side`` zeros before them, so the slice that starts at a place is centred on it.
+                    rows.append((names, doc.as_py(), copy.as_py(), at, codes[at[:, None] + np.arange(2 * side + 1)]))
+                    size += len(names)
+                    if size > 20_000:
+                        yield _rows(rows, side)
+                        rows, size = [], 0
+                if rows:
+                    yield _rows(rows, side)
 
         source = _texts(docs, F.col("doc_id").cast("long"), F.xxhash64("text").alias("copy"))
-        frames.append(source.mapInArrow(run, "word string, doc_id long, copy long, pos long, before string, after string"))
-    empty = docs.sparkSession.createDataFrame([], "word string, doc_id long, copy long, pos long, before string, after string")
-    return _union(frames, empty)
-
-
-def _rows(rows, names):
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-    columns = list(zip(*rows)) if rows else [()] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        frames.append(source.mapInArrow(run, schema))
+    return _union(frames, docs.sparkSession.createDataFrame([], schema))
+
+
+def _places(words, known, sieve, window: int, least: int):
+    """Places of test terms that can matter, and the codes of all words with ``window - 1`` zeros on either side; None for no place."""
+    if sieve is None:
+        at = np.array([i for i, w in enumerate(words) if w in known], dtype=np.int64)
+        if not len(at):
+            return None
+        own = np.fromiter((_code(w) for w in words), dtype=np.int64, count=len(words))
+    else:
+        seen = np.array([i for i, w in enumerate(words) if w in sieve], dtype=np.int64)
+        if len(seen) < least:
+            return None
+        dense = seen[crowded(seen, window, least)].tolist()
+        at = np.array([i for i in dense if words[i] in known], dtype=np.int64)
+        if not len(at):
+            return None
+        own = np.zeros(len(words), dtype=np.int64)
+        # Words that are not crowded lie in no window that matters.
+        own[dense] = [sieve[words[i]] for i in dense]
+    return at, np.pad(own, window - 1)
+
+
+def _rows(rows, side):
+    counts = [len(r[0]) for r in rows]
+    around = np.concatenate([r[4] for r in rows]).ravel()
+    offsets = np.arange(0, len(around) + 1, 2 * side + 1, dtype=np.int32)
+    columns = [
+        pa.array([w for r in rows for w in r[0]], pa.string()),
+        pa.array([r[1] for r in rows], pa.int64()).take(pa.array(np.repeat(np.arange(len(rows)), counts))),
+        pa.array(np.repeat(np.array([r[2] for r in rows], dtype=np.int64), counts)),
+        pa.array(np.concatenate([r[3] for r in rows])),
+        pa.ListArray.from_arrays(pa.array(offsets), pa.array(around)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["word", "doc_id", "copy", "pos", "around"])
 
 
 def _equal_run(a, b):
@@ -183,33 +216,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: i
     side = window - 1
     whole = items.groupBy("item").agg(F.sort_array(F.collect_list(F.struct("ipos", "word"))).alias("ws"))
     whole = whole.select("item", F.col("ws.word").alias("words"))
-    # Of an item's words only the surroundings of a test term go along.
+    # Of an item's words only the surroundings of a test term go along; beyond its ends stands -1, which equals nothing.
+    edge = F.array_repeat(F.lit(-1).cast("long"), side)
+    need = F.least(F.lit(window), F.col("n"))
     around = (
         picked.join(whole, "item")
-        .withColumn("left", F.greatest(F.col("ipos") - side, F.lit(0)))
-        .select(
-            "item", "item_id", "n", "ipos", "word",
-            F.reverse(F.slice("words", F.col("left") + 1, F.col("ipos") - F.col("left"))).alias("i_before"),
-            F.slice("words", F.col("ipos") + 2, side).alias("i_after"),
-        )
-    )
-    listing = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
+        .withColumn("codes", F.concat(edge, F.transform("words", lambda w: F.xxhash64(w)), edge))
+        .select("item", "item_id", "n", "ipos", "word", F.slice("codes", F.col("ipos") + 1, F.lit(2 * side + 1)).alias("i_around"))
+    )
+    spans = F.transform(F.sequence(F.lit(side + 1) - need, F.lit(side)), lambda k: F.slice("i_around", k + 1, need))
+    whole_spans = F.filter(spans, lambda w: ~F.array_contains(w, F.lit(-1).cast("long")))
+    # An exact window shares all its different words, a near one ``near``: no match shares fewer than this.
+    around = around.withColumn("floor", F.least(F.lit(near), F.array_min(F.transform(whole_spans, lambda w: F.size(F.array_distinct(w))))))
     met = (
         index.join(around, "word")
-        .withColumn("d_before", listing("before")).withColumn("d_after", listing("after"))
-        .withColumn("back", _equal_run(F.col("d_before"), F.col("i_before")))
-        .withColumn("ahead", _equal_run(F.col("d_after"), F.col("i_after")))
-    )
-    need = F.least(F.lit(window), F.col("n"))
+        .withColumn("shared", F.size(F.array_intersect("around", "i_around"))).filter("shared >= floor")
+        .withColumn("back", _equal_run(F.reverse(F.slice("around", 1, side)), F.reverse(F.slice("i_around", 1, side))))
+        .withColumn("ahead", _equal_run(F.slice("around", side + 2, side), F.slice("i_around", side + 2, side)))
+    )
     exact = F.col("back") + 1 + F.col("ahead") >= need
-    shared = F.size(F.array_intersect(F.concat("i_before", F.array("word"), "i_after"), F.concat("d_before", F.array("word"), "d_after")))
-    # The cheap test over all that a window can reach comes first.
-    spread = lambda before, after: F.concat(F.reverse(before), F.array("word"), after)
-    starts = lambda words: F.sequence(F.lit(0), F.greatest(F.size(words) - window, F.lit(0)))
-    d_words, i_words = spread("d_before", "d_after"), spread("i_before", "i_after")
-    cut = lambda words: F.transform(starts(words), lambda k: F.slice(words, k + 1, F.lit(window)))
-    within = F.exists(cut(i_words), lambda i: F.exists(cut(d_words), lambda d: F.size(F.array_intersect(i, d)) >= near))
-    close = (F.col("n") >= window) & (shared >= near) & within
+    cut = lambda words: F.transform(F.sequence(F.lit(0), F.lit(side)), lambda k: F.slice(words, k + 1, F.lit(window)))
+    within = F.exists(cut(F.col("i_around")), lambda i: F.exists(cut(F.col("around")), lambda d: F.size(F.array_intersect(i, d)) >= near))
+    close = (F.col("n") >= window) & (F.col("shared") >= near) & within
     found = met.filter(exact | close)
     return found.select(
         "doc_id", "copy", "item", "item_id",
