@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Ranges a group's values are cut into.
-RANGES = 500
+RANGES = 64
 #: Most groups whose cuts and counts are broadcast.
 GROUPS = 1000
 
@@ -27,9 +27,9 @@ def first_under_cap(df: DataFrame, group: str, value: str, tie: str, caps: DataF
     few = caps.limit(GROUPS + 1).count() <= GROUPS
     small = F.broadcast if few else (lambda side: side)
     fractions = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
-    cuts = df.groupBy(F.col(group).alias("_g")).agg(F.percentile_approx(value, fractions).alias("_cuts")).join(small(caps), "_g")
+    cuts = df.groupBy(F.col(group).alias("_g")).agg(F.array_distinct(F.percentile_approx(value, fractions)).alias("_cuts")).join(small(caps), "_g")
     # Values above the highest cut are range 0; rows without a value come last.
-    place = F.when(F.col(value).isNull(), RANGES).otherwise(F.size(F.filter(F.array_distinct("_cuts"), lambda c: c > F.col(value))))
+    place = F.when(F.col(value).isNull(), RANGES).otherwise(F.size(F.filter("_cuts", lambda c: c > F.col(value))))
     placed = df.join(small(cuts), F.col(group) == F.col("_g")).withColumn("_range", place).drop("_cuts", "_g")
     counts = placed.groupBy(F.col(group).alias("_g"), F.col("_range").alias("_r"), F.col("_cap").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
     order = W.partitionBy("_g").orderBy("_r").rowsBetween(W.unboundedPreceding, -1)
