@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from lifeloom.session import scratch, settle
 from lifeloom.sources import registry
@@ -91,13 +94,17 @@ def shown_orders(store: TableStore) -> DataFrame:
     return store.read("orders").select(F.lit("orders").alias("TableName"), F.col("OrderId").alias("RowKey"), value.alias("RowValue"))
 
 
-def in_batches(t: Tables, parts: int, at: str) -> DataFrame:
-    """The events as a stream of ``parts`` micro-batches, dealt by ``at`` (an expression giving 0, 1, …)."""
+def in_batches(t: Tables, parts: int, at: str, start: Callable[[DataFrame], StreamingQuery]) -> DataFrame:
+    """Run the events as a stream of ``parts`` micro-batches, dealt by ``at`` (an expression giving 0, 1, …); returns the source.
+
+    ``start`` starts the stream over what has arrived, with one checkpoint: a part is one batch, of as many files as it has tasks.
+    """
     folder = scratch(t.spark, "batches")
     for part in range(parts):
-        t.events.filter(f"{at} = {part}").coalesce(1).write.mode("append").parquet(folder)
-    source = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    return source.withColumn("at", F.col("ts").cast("timestamp"))
+        t.events.filter(f"{at} = {part}").write.mode("append").parquet(folder)
+        source = t.spark.readStream.schema(t.events.schema).parquet(folder).withColumn("at", F.col("ts").cast("timestamp"))
+        start(source).awaitTermination()
+    return source
 
 
 def accepted(source: DataFrame) -> DataFrame:
@@ -110,8 +117,8 @@ def _(t):
     folder = scratch(t.spark, "route")
     store = TableStore(t.spark, f"{folder}/tables")
     store.replace("orders", known_orders(t))
-    checked = accepted(in_batches(t, 5, "pmod(event_id * 7, 5)"))
-    streams.run_foreach(checked, streams.route_into(store), f"{folder}/checkpoint").awaitTermination()
+    route = streams.route_into(store)
+    in_batches(t, 5, "pmod(event_id * 7, 5)", lambda source: streams.run_foreach(accepted(source), route, f"{folder}/checkpoint"))
     rows = shown_orders(store)
     for name, key, value in (("welcome_entry", "SubscriberKey", "EmailAddress"), ("post_purchase_entry", "OrderId", "SubscriberKey"), ("case_entry", "CaseId", "SubscriberKey")):
         rows = rows.unionByName(store.read(name).select(F.lit(name).alias("TableName"), F.col(key).alias("RowKey"), F.col(value).alias("RowValue")))
@@ -133,9 +140,8 @@ def _(t):
     step = (bounds.hi - bounds.lo) / 4
     part = f"CASE WHEN event_id % 7 = 0 THEN 4 WHEN ts < TIMESTAMP_NTZ '{bounds.lo + step}' THEN 0 WHEN ts < TIMESTAMP_NTZ '{bounds.lo + 2 * step}' THEN 1 WHEN ts < TIMESTAMP_NTZ '{bounds.lo + 3 * step}' THEN 2 ELSE 3 END"
     late = streams.LateRows(t.spark, f"{folder}/late", "ReceivedAt")
-    checked = accepted(in_batches(t, 5, part))
     route = streams.route_into(store)
-    streams.run_foreach(checked, late.aside(route), f"{folder}/checkpoint").awaitTermination()
+    checked = accepted(in_batches(t, 5, part, lambda source: streams.run_foreach(accepted(source), late.aside(route), f"{folder}/checkpoint")))
     waiting = late.waiting(checked.schema).filter(F.col("EventDefinitionKey").isin("APIEvent-OrderShipped", "APIEvent-OrderDelivered"))
     rows = settle(waiting.groupBy(F.col("Data.OrderId").alias("RowKey")).count().select(F.lit("late").alias("TableName"), "RowKey", F.concat(F.lit("x"), F.col("count").cast("string")).alias("RowValue")))
     late.replay(checked.schema, route)
@@ -162,7 +168,7 @@ def _(t):
     folder = scratch(t.spark, "cartstream")
     store = TableStore(t.spark, f"{folder}/tables")
     handle = streams.upsert_carts_into(store)
-    streams.run_foreach(cart_updates(in_batches(t, 4, "pmod(event_id, 4)")), handle, f"{folder}/checkpoint").awaitTermination()
+    in_batches(t, 4, "pmod(event_id, 4)", lambda source: streams.run_foreach(cart_updates(source), handle, f"{folder}/checkpoint"))
     return store.read("carts").select("CartId", "CartStatus", "CartLastUpdatedDate")
 
 
