@@ -100,18 +100,26 @@ def advance_winback(
     here = F.col("LeftDate").isNull() | (F.col("LeftDate") > F.col("EntryDate"))
     new = new.select("SubscriberKey", "EntryDate", "Step", here.cast("bigint").alias("EmailsSent"), _at(WINBACK_CHECKS).alias("DueDate"))
     moving = settle(new.unionByName(due.take(run, since, until)))
-    waiting, closed = [], []
     last = len(WINBACK_CHECKS) - 1
-    for _ in WINBACK_CHECKS:
-        ripe = F.col("DueDate") <= as_ts(until)
-        waiting.append(moving.filter(~ripe))
-        probes = moving.filter(ripe).withColumn("_from", _at(WINBACK_STARTS))
-        judged = settle(with_leave(exists_since(probes, events, "_from", "DueDate", "EventDate", "_active")))
+    ripe = F.col("DueDate") <= as_ts(until)
+    # All decisions that fall due are looked up in the events at once; ``_seen`` has a bit for each step with an event.
+    each = moving.filter(ripe).withColumn("_row", F.monotonically_increasing_id()).withColumn("_step", F.explode(F.sequence(F.col("Step"), F.lit(last))))
+    each = each.withColumn("_due", F.when(F.col("_step") == F.col("Step"), F.col("DueDate")).otherwise(_at(WINBACK_CHECKS, "_step"))).filter(F.col("_due") <= as_ts(until))
+    found = exists_since(each.withColumn("_from", _at(WINBACK_STARTS, "_step")), events, "_from", "_due", "EventDate", "_active")
+    bit = F.when(F.col("_active"), F.pow(F.lit(2), F.col("_step")).cast("int")).otherwise(0)
+    waiting, closed = [moving.filter(~ripe)], []
+    moving = settle(found.groupBy("_row", *STATE).agg(F.bit_or(bit).alias("_seen")).drop("_row"))
+    for step in range(last + 1):
+        if step:
+            waiting.append(moving.filter(~ripe).select(*STATE))
+        judged = with_leave(moving.filter(ripe))
+        judged = settle(judged) if left is not None else judged
         gone = F.coalesce(F.col("LeftDate") <= F.col("DueDate"), F.lit(False))
-        outcome = F.when(gone, LEFT).when(F.col("_active"), "EXIT-REENGAGED").when(F.col("Step") == last, "EXIT-SUNSET-PENDING")
+        active = F.get(F.array(*[F.col("_seen").bitwiseAND(1 << k) > 0 for k in range(last + 1)]), F.col("Step"))
+        outcome = F.when(gone, LEFT).when(active, "EXIT-REENGAGED").when(F.col("Step") == last, "EXIT-SUNSET-PENDING")
         closed.append(judged.withColumn("Outcome", outcome).filter("Outcome IS NOT NULL").select(*OUTCOME))
         moving = judged.filter(outcome.isNull()).select(
-            "SubscriberKey", "EntryDate", (F.col("Step") + 1).alias("Step"), (F.col("EmailsSent") + 1).alias("EmailsSent")
+            "SubscriberKey", "EntryDate", (F.col("Step") + 1).alias("Step"), (F.col("EmailsSent") + 1).alias("EmailsSent"), "_seen"
         ).withColumn("DueDate", _at(WINBACK_CHECKS))
     due.schedule(run, reduce(DataFrame.unionByName, waiting).select(*STATE))
     due.close(run, reduce(DataFrame.unionByName, closed))

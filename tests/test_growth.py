@@ -60,3 +60,31 @@ def test_pairs_within_a_table_are_all_pairs(spark, tile):
     got = [tuple(r) for r in pairs_within(df, ["g"], "n", "k", 0.9, tile, once=True).collect()]
     want = {(a[0], b[0]) for a in rows for b in rows if a[1] and b[1] and a[2] == b[2] and a[3] and b[4] and a[0] < b[0] and jaro_winkler_text(a[1], b[1]) >= 0.9}
     assert want and sorted(got) == sorted(want)
+
+
+def test_a_run_looks_at_the_events_once(spark, make, tmp_path, monkeypatch):
+    from lifeloom.plans import due
+
+    calls, plain = [], due.exists_since
+    monkeypatch.setattr(due, "exists_since", lambda *args: calls.append(1) or plain(*args))
+    entries = make("SubscriberKey STRING, EntryDate TIMESTAMP_NTZ", [("a", "2026-01-01"), ("b", "2026-01-01"), ("c", "2026-01-01"), ("d", "2026-02-27")])
+    events = make("SubscriberKey STRING, EventDate TIMESTAMP_NTZ", [("a", "2026-01-05"), ("b", "2026-01-20")])
+    table = due.DueTable(spark, str(tmp_path / "d"))
+    due.advance_winback(table, 0, entries, events, events.limit(0), "2025-12-31 00:00:00", "2026-03-01 00:00:00")
+    got = sorted((r.SubscriberKey, r.EmailsSent, r.Outcome) for r in due.winback_rows(table, 1, "2026-03-01 00:00:00").collect())
+    assert got == [("a", 1, "EXIT-REENGAGED"), ("b", 2, "EXIT-REENGAGED"), ("c", 3, "EXIT-SUNSET-PENDING"), ("d", 1, "WAITING")]
+    assert len(calls) == 1
+
+
+def test_a_part_is_one_batch_of_several_tasks(spark, tmp_path):
+    from lifeloom.streaming.events import run_foreach
+    from lifeloom.workload.base import Tables
+    from lifeloom.workload.streams import in_batches
+
+    rows = spark.range(40, numPartitions=4).selectExpr("id AS event_id", "timestamp_ntz '2026-01-01' AS ts")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    seen = []
+    handle = lambda df, number: seen.append((number, sorted(r.event_id % 2 for r in df.collect()), df.rdd.getNumPartitions()))
+    in_batches(Tables(spark, str(tmp_path)), 2, "event_id % 2", lambda source: run_foreach(source, handle, str(tmp_path / "c")))
+    assert [(n, kinds) for n, kinds, _ in seen] == [(0, [0] * 20), (1, [1] * 20)]
+    assert all(tasks > 1 for *_, tasks in seen)
