@@ -385,52 +385,144 @@ def _micros(at) -> int:
     return round(at.timestamp() * 1_000_000)
 
 
-def _guard_processor():
+#: So many items of a key wait in its one row of state; the later ones of more go into rows by hour.
+NEAR = 4096
+HOUR_US = 3_600_000_000
+
+
+def _ordered_processor():
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-    class ReentryGuard(StatefulProcessor):
-        """One live instance per contact: entries while one is inside are dropped.
+    class InOrder(StatefulProcessor):
+        """Takes a key's items in order once the watermark has passed them, whatever order they came in.
 
-        Entries wait under their time until the watermark has passed it, so they are taken in order whatever order they came
-        in; nothing is sorted.  A timer at the end of the stay removes the contact's state.
+        An item is a tuple of longs, first its time.  What is remembered of a key, its one timer and its waiting items are one
+        row of state, so that a batch costs a key a few calls to the state store, not a few per item.
         """
 
-        def __init__(self, stay_us: int):
-            self.stay_us = stay_us
+        #: Longs of an item.
+        width = 1
 
         def init(self, handle) -> None:
             self.handle = handle
-            self.until = handle.getValueState("until", "until BIGINT")
-            # Of one millisecond only the first entry can get in.
-            self.waiting = handle.getMapState("waiting", "ms BIGINT", "at BIGINT")
+            # ``far`` has the hour, the first time and the number of parts of the rows in ``later``.
+            self.held = handle.getValueState("held", "memory BIGINT, timer BIGINT, waiting ARRAY<BIGINT>, far ARRAY<BIGINT>")
+            self.later = handle.getMapState("later", "hour BIGINT, part BIGINT", "waiting ARRAY<BIGINT>")
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+            memory, timer, items, far = self._load()
             for row in rows:
-                at = _micros(row.EntryDate)
-                ms = _ms(at)
-                known = self.waiting.getValue((ms,)) if self.waiting.containsKey((ms,)) else None
-                if known is None or at < known[0]:
-                    self.waiting.updateValue((ms,), (at,))
-                    self.handle.registerTimer(ms)
+                items.append(self.item(row))
+                if len(items) >= 2 * NEAR:
+                    items = self._spilt(items, far)
+            self._store(memory, timer, items, far)
             return iter(())
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-            ms = expiredTimerInfo.getExpiryTimeInMs()
-            until = self.until.get()[0] if self.until.exists() else None
-            if self.waiting.containsKey((ms,)):
-                at = self.waiting.getValue((ms,))[0]
-                self.waiting.removeKey((ms,))
-                if until is None or at >= until:
-                    until = at + self.stay_us
-                    self.until.update((until,))
-                    self.handle.registerTimer(_ms(until))
-                    yield Row(SubscriberKey=key[0], EntryDate=datetime.fromtimestamp(at / 1_000_000))
-            if until is not None and _ms(until) <= ms:
-                self.until.clear()
+            edge = timerValues.getCurrentWatermarkInMs() * 1000
+            memory, _, items, far = self._load()
+            for hour in [*sorted(h for h, (first, _) in far.items() if first <= edge), None]:
+                border = edge if hour is None else min(edge, (hour + 1) * HOUR_US - 1)
+                for part in range(far.pop(hour)[1] if hour is not None else 0):
+                    items.extend(self._items(self.later.getValue((hour, part))[0]))
+                    self.later.removeKey((hour, part))
+                due = self.thinned(sorted(i for i in items if i[0] <= border))
+                items = [i for i in items if i[0] > border]
+                memory, times = self.take(memory, due)
+                for at in times:
+                    yield self.row(key[0], datetime.fromtimestamp(at / 1_000_000))
+            self._store(self.kept(memory, edge), None, items, far)
+
+        def thinned(self, items: list[tuple]) -> list[tuple]:
+            """Sorted items without those that can never matter."""
+            return items
+
+        def kept(self, memory: int | None, edge: int) -> int | None:
+            """What is still remembered once the watermark has reached ``edge``."""
+            return memory
+
+        def ends(self, memory: int | None) -> int | None:
+            """The time at which ``memory`` can go."""
+            return None
+
+        def _items(self, flat) -> list[tuple]:
+            return list(zip(*[iter(flat)] * self.width))
+
+        def _load(self):
+            held = self.held.get()
+            if held is None:
+                return None, None, [], {}
+            memory, timer, waiting, far = held
+            return memory, timer, self._items(waiting), {h: (first, parts) for h, first, parts in zip(*[iter(far)] * 3)}
+
+        def _spilt(self, items: list[tuple], far: dict) -> list[tuple]:
+            """The first ``NEAR`` items; the others go into new parts of their hours."""
+            items = self.thinned(sorted(items))
+            hours: dict[int, list[tuple]] = {}
+            for item in items[NEAR:]:
+                hours.setdefault(item[0] // HOUR_US, []).append(item)
+            for hour, rest in hours.items():
+                first, parts = far.get(hour, (rest[0][0], 0))
+                self.later.updateValue((hour, parts), ([x for item in rest for x in item],))
+                far[hour] = min(first, rest[0][0]), parts + 1
+            return items[:NEAR]
+
+        def _store(self, memory: int | None, timer: int | None, items: list[tuple], far: dict) -> None:
+            if len(items) > NEAR:
+                items = self._spilt(items, far)
+            times = [*(i[0] for i in items), *(first for first, _ in far.values()), self.ends(memory)]
+            due = min((_ms(t) for t in times if t is not None), default=None)
+            if due != timer:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                if due is not None:
+                    self.handle.registerTimer(due)
+            if memory is None and due is None:
+                self.held.clear()
+            else:
+                flat = [x for h, (first, parts) in far.items() for x in (h, first, parts)]
+                self.held.update((memory, due, [x for item in items for x in item], flat))
 
         def close(self) -> None:
             pass
 
+    return InOrder
+
+
+def _guard_processor():
+    class ReentryGuard(_ordered_processor()):
+        """One live instance per contact: entries while one is inside are dropped.
+
+        Remembered is the end of the stay; a timer at that time removes the contact's state.
+        """
+
+        def __init__(self, stay_us: int):
+            self.stay_us = stay_us
+
+        def item(self, row) -> tuple:
+            return (_micros(row.EntryDate),)
+
+        def thinned(self, items: list[tuple]) -> list[tuple]:
+            # Of one millisecond only the first entry can get in.
+            return [i for k, i in enumerate(items) if not k or _ms(items[k - 1][0]) != _ms(i[0])]
+
+        def take(self, until: int | None, items: list[tuple]) -> tuple[int | None, list[int]]:
+            entered = []
+            for (at,) in items:
+                if until is None or at >= until:
+                    until = at + self.stay_us
+                    entered.append(at)
+            return until, entered
+
+        def kept(self, until: int | None, edge: int) -> int | None:
+            return None if until is not None and until <= edge else until
+
+        def ends(self, until: int | None) -> int | None:
+            return until
+
+        def row(self, key, at) -> Row:
+            return Row(SubscriberKey=key, EntryDate=at)
+
     return ReentryGuard
 
 

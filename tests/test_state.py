@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import Row
 
 from lifeloom.operators import identity
 from lifeloom.sources.keyed import KeyedTable
@@ -53,6 +54,104 @@ def test_cases_in_order_over_batches_and_only_escalated_ones_stay(spark, tmp_pat
     assert max(totals) > 90 and totals[-1] <= 4
 
 
+class Calls:
+    """A state store in memory that counts what it is asked."""
+
+    def __init__(self):
+        self.n, self.values, self.maps, self.timers = 0, {}, {}, set()
+
+    def getValueState(self, name, _):
+        return Var(self, name)
+
+    def getMapState(self, name, *_):
+        return Var(self, name)
+
+    def registerTimer(self, ms):
+        self.n += 1
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.n += 1
+        self.timers.remove(ms)
+
+
+class Var:
+    def __init__(self, calls, name):
+        self.calls, self.name = calls, name
+
+    def get(self):
+        self.calls.n += 1
+        return self.calls.values.get(self.name)
+
+    def update(self, value):
+        self.calls.n += 1
+        self.calls.values[self.name] = value
+
+    def clear(self):
+        self.calls.n += 1
+        self.calls.values.pop(self.name, None)
+
+    def getValue(self, key):
+        self.calls.n += 1
+        return self.calls.maps.get((self.name, key))
+
+    def updateValue(self, key, value):
+        self.calls.n += 1
+        self.calls.maps[self.name, key] = value
+
+    def removeKey(self, key):
+        self.calls.n += 1
+        del self.calls.maps[self.name, key]
+
+
+class Now:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def fed(processor, batches):
+    """What a processor emits for one key over (rows, watermark in ms), and its store."""
+    store, got = Calls(), []
+    processor.init(store)
+    for rows, edge in batches:
+        got += processor.handleInputRows(("k",), iter(rows), Now(edge))
+        for ms in sorted(t for t in store.timers if t <= edge):
+            got += processor.handleExpiredTimer(("k",), Now(edge), Now(ms))
+            store.timers.remove(ms)
+    return [r[1] for r in got], store
+
+
+def shuffled_batches(rng, times, row):
+    """Rows in batches, each row before the watermark has passed it."""
+    start = round(START.timestamp() * 1000)
+    batches = []
+    for number in range(6):
+        now = [t for k, t in enumerate(times) if max(0, min(int((t - START) / timedelta(days=2)), 5) - k % 2) == number]
+        rng.shuffle(now)
+        batches.append(([row(t) for t in now], start + (number * 2) * 86_400_000 - 86_400_000))
+    return [*batches, ([], start + 90 * 86_400_000)]
+
+
+@pytest.mark.parametrize("near", [4096, 5])
+def test_guard_calls_per_batch_and_order_beyond_the_row(monkeypatch, near):
+    monkeypatch.setattr(streams, "NEAR", near)
+    rng = random.Random(near)
+    times = [START + timedelta(seconds=rng.randrange(10 * 86_400), microseconds=rng.choice([0, 1, 250])) for _ in range(700)]
+    got, store = fed(streams._guard_processor()(3_600_000_000 * 5), shuffled_batches(rng, times, lambda t: Row(SubscriberKey="k", EntryDate=t)))
+    want = []
+    for t in sorted(times):
+        if not want or t >= want[-1] + timedelta(hours=5):
+            want.append(t)
+    assert got == want
+    assert not store.values and not store.maps and not store.timers
+    assert near < 4096 or store.n < 60
+
+
 def plain_components(nodes, links):
     root = {n: n for n in nodes}
     for a, b in links:
