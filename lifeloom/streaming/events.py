@@ -541,49 +541,27 @@ def entries_once(entries: DataFrame, stay_days: int, lateness: str = ORDER_LATEN
 
 
 def _change_processor():
-    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-
-    class Escalation(StatefulProcessor):
+    class Escalation(_ordered_processor()):
         """Emits a case when Escalated turns from false (or unknown) to true.
 
-        Changes wait under their time until the watermark has passed it.  Only escalated cases have state beyond that: false
-        and unknown are the same.
+        Only of escalated cases something is remembered: false and unknown are the same.
         """
 
-        def init(self, handle) -> None:
-            self.handle = handle
-            self.escalated = handle.getValueState("escalated", "at BIGINT")
-            # The changes of one millisecond, as time and id with the flag behind them.
-            self.waiting = handle.getMapState("waiting", "ms BIGINT", "changes ARRAY<BIGINT>")
+        width = 3
 
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-            for row in rows:
-                at = _micros(row.ChangedAt)
-                ms = _ms(at)
-                known = list(self.waiting.getValue((ms,))[0]) if self.waiting.containsKey((ms,)) else []
-                self.waiting.updateValue((ms,), ([*known, at, int(row.ChangeId), int(bool(row.Escalated))],))
-                self.handle.registerTimer(ms)
-            return iter(())
+        def item(self, row) -> tuple:
+            return _micros(row.ChangedAt), int(row.ChangeId), int(bool(row.Escalated))
 
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-            ms = expiredTimerInfo.getExpiryTimeInMs()
-            flat = list(self.waiting.getValue((ms,))[0]) if self.waiting.containsKey((ms,)) else []
-            if not flat:
-                return
-            self.waiting.removeKey((ms,))
-            before = self.escalated.exists()
-            now = before
-            for at, _, escalated in sorted(zip(flat[::3], flat[1::3], flat[2::3])):
-                if escalated and not now:
-                    yield Row(CaseId=key[0], ChangedAt=datetime.fromtimestamp(at / 1_000_000))
-                now = bool(escalated)
-            if now and not before:
-                self.escalated.update((ms,))
-            elif before and not now:
-                self.escalated.clear()
+        def take(self, escalated: int | None, items: list[tuple]) -> tuple[int | None, list[int]]:
+            turned = []
+            for at, _, now in items:
+                if now and not escalated:
+                    turned.append(at)
+                escalated = now or None
+            return escalated, turned
 
-        def close(self) -> None:
-            pass
+        def row(self, key, at) -> Row:
+            return Row(CaseId=key, ChangedAt=at)
 
     return Escalation
 

@@ -152,6 +152,25 @@ def test_guard_calls_per_batch_and_order_beyond_the_row(monkeypatch, near):
     assert near < 4096 or store.n < 60
 
 
+@pytest.mark.parametrize("near", [4096, 5])
+def test_case_calls_per_batch_and_order_beyond_the_row(monkeypatch, near):
+    monkeypatch.setattr(streams, "NEAR", near)
+    rng = random.Random(near)
+    times = [START + timedelta(seconds=rng.randrange(10 * 86_400) // 900 * 900) for _ in range(700)]
+    ids = iter(range(10_000))
+    made = []
+
+    def row(t):
+        made.append((t, next(ids), rng.random() < 0.4))
+        return Row(CaseId="k", ChangeId=made[-1][1], Escalated=made[-1][2] or rng.choice([None, False]), ChangedAt=t)
+
+    got, store = fed(streams._change_processor()(), shuffled_batches(rng, times, row))
+    made.sort()
+    assert got == [t for k, (t, _, now) in enumerate(made) if now and not (k and made[k - 1][2])]
+    assert len(store.values) == made[-1][2] and not store.maps and not store.timers
+    assert near < 4096 or store.n < 60
+
+
 def plain_components(nodes, links):
     root = {n: n for n in nodes}
     for a, b in links:
