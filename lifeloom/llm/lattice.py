@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
 The text is read with one blank put before it, as the vocabulary expects.  It is cut into words only where no piece can
-reach across: between characters of two classes (``CLASSES``) that no piece holds side by side.  The cuts are computed from
+reach across: between characters of two classes (``CLASSES``) that no piece holds side by side (``words_of``).  The cuts are computed from
 the pieces, so the best way through the uncut text is that through its words.  Every distinct word is encoded once:
 
 1. its substrings, at most as long as the longest piece, are exploded and equi-joined to the piece table;
@@ -12,18 +12,20 @@ the pieces, so the best way through the uncut text is that through its words.  E
    then the smallest sum of ranks.  A character that no piece covers becomes its UTF-8 bytes as byte pieces.  The fold is
    an Arrow pass, linear in positions and edges, and runs over a long word without a border.
 
-``encode`` joins every occurrence of a word with the word's ids and puts them in order per row; ``decode`` looks ids up among
-the pieces and puts them together in order.  ``report`` goes through both.
-
-Words that make up at least 1/``FREQUENT`` of all occurrences, so never more than ``FREQUENT`` of them, are sent to all
-tasks.  The occurrences of the rest are joined by word.
+``encode`` does this for the frequent words: those that make up at least 1/``FREQUENT`` of all occurrences, longer ones in
+proportion more, so that they have no more than ``FREQUENT * SHORT`` characters together, whatever the corpus.  Their ids are
+sent to all tasks.  No occurrence leaves its row: an Arrow pass looks up the frequent words and runs the same lattice
+for the other distinct words of its batch of texts, many words at once (``encode_batch``); then the ids are put to their places.
+``decode`` looks ids up among the pieces and puts them together in order.  ``report`` goes through both.
 """
 
 from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +33,21 @@ from pyspark.sql import functions as F
 from .common import same, settled
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-FREQUENT = 2_000_000
-#: Classes of characters: as they stand in a regular expression's brackets.
-CLASSES = {"blank": " ", "letter": r"\p{L}\p{M}", "digit": "0-9", "other": r"^\p{L}\p{M}0-9 "}
+FREQUENT = 200_000
+#: Classes of characters.
+CLASSES = ("blank", "letter", "digit", "other")
+#: Bytes of text that are cut at once; a longer text goes alone.
+PORTION = 1 << 22
 #: Longest word whose edges carry the word itself.
 SHORT = 64
 #: Cost of a piece beside its rank, and of a character as bytes: so many that neither is outweighed in any text.
 PER_PIECE, PER_UNKNOWN = 1 << 50, 1 << 90
 #: An edge is one long: where it ends, then its length, then the piece's id.
 ID_BITS, LENGTH_BITS = 18, 6
+#: The same costs for words of at most ``SHORT`` characters, and how many characters of them are folded at once.
+SHORT_PIECE, SHORT_UNKNOWN, AT_ONCE = 1 << 24, 1 << 32, 1 << 16
+#: A character has 21 bits; this one is in no text.
+PAD = (1 << 21) - 1
 
 
 def piece_table(spark: SparkSession, model: str = MODEL) -> DataFrame:
@@ -58,25 +66,47 @@ def piece_table(spark: SparkSession, model: str = MODEL) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, id int, length int, byte boolean")
 
 
-def _class_of(c: str) -> str:
-    return "blank" if c == " " else "letter" if unicodedata.category(c)[0] in "LM" else "digit" if c in "0123456789" else "other"
+def _class_of(c: str) -> int:
+    return 0 if c == " " else 1 if unicodedata.category(c)[0] in "LM" else 2 if c in "0123456789" else 3
 
 
-def cuts(pieces: DataFrame) -> str:
-    """A regular expression of the places between characters of two classes that stand side by side in no piece."""
-    crossed = set()
+def cuts(pieces: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(kinds, parted): every character's class, and [a, b] whether a cut is between classes a and b: if they stand side by side in no piece."""
+    kinds = np.array([_class_of(chr(c)) for c in range(0x110000)], np.uint8)
+    parted = np.ones((len(CLASSES), len(CLASSES)), bool)
     for row in pieces.filter("not byte").select("piece").collect():
-        kinds = [_class_of(c) for c in row.piece]
-        crossed.update(zip(kinds, kinds[1:]))
-    open_ = [(a, b) for a in CLASSES for b in CLASSES if (a, b) not in crossed]
-    # Without any cut: an expression that fits nowhere.
-    return "|".join(f"(?<=[{CLASSES[a]}])(?=[{CLASSES[b]}])" for a, b in open_) or r"(?!)"
-
-
-def words_of(text, cut: str) -> F.Column:
-    """The words of a text in order; their concatenation is the text behind one blank.  None for null or empty."""
-    found = F.split(F.concat(F.lit(" "), text), cut, -1)
-    return F.when(F.length(text) > 0, found).otherwise(F.array().cast("array<string>"))
+        of = [_class_of(c) for c in row.piece]
+        parted[of[:-1], of[1:]] = False
+    return kinds, parted
+
+
+def words_of(texts: pa.Array, kinds: np.ndarray, parted: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(the words of many texts in order, how many each has); a text's words make up the text behind one blank.  None for null or empty."""
+    texts = texts.fill_null("")
+    whole = pa.concat_arrays([pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))])
+    bounds = np.concatenate(([0], np.cumsum(pc.binary_length(whole).to_numpy(zero_copy_only=False)))).astype(np.int64)
+    if not bounds[-1]:
+        return pa.array([], pa.string()), np.zeros(len(texts), np.int64)
+    first = np.frombuffer(whole.buffers()[1], np.int32)[whole.offset]
+    data = whole.buffers()[2].slice(int(first), int(bounds[-1]))
+    kind = kinds[np.frombuffer(data.to_pybytes().decode().encode("utf-32-le"), np.uint32)]
+    at = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)
+    starts = np.concatenate(([True], parted[kind[:-1], kind[1:]]))
+    starts[np.searchsorted(at, bounds[:-1][np.diff(bounds) > 0])] = True
+    begin = at[starts]
+    offsets = np.append(begin, bounds[-1]).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(begin), pa.py_buffer(offsets), data)
+    return words, np.diff(np.searchsorted(begin, bounds))
+
+
+def portions(batch: pa.RecordBatch):
+    """The rows of a batch in slices of about ``PORTION`` bytes of text."""
+    size = np.cumsum(pc.binary_length(batch.column("text").fill_null("")).to_numpy(zero_copy_only=False).astype(np.int64))
+    k = 0
+    while k < len(size):
+        upto = max(k + 1, int(np.searchsorted(size, (size[k - 1] if k else 0) + PORTION, "right")))
+        yield batch.slice(k, upto - k)
+        k = upto
 
 
 def best_way(word: str, edges: list[int], first_byte: int) -> list[int]:
@@ -156,39 +186,166 @@ def vocabulary(rows: DataFrame, pieces: DataFrame) -> DataFrame:
     return encode_words(words, pieces)
 
 
-def numbered(docs: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(row, doc_id, print, words) of every row of ``docs``, written once, so that ``row`` is fixed.  ``print`` is the text's SHA-256."""
-    text = F.coalesce("text", F.lit(""))
-    cut = docs.select(F.col("doc_id").cast("long"), F.sha2(text, 256).alias("print"), words_of(F.col("text"), cuts(pieces)).alias("words"))
-    return settled(cut.select(F.monotonically_increasing_id().alias("row"), "*"), "lattice-words")
-
-
-def _coded(rows: DataFrame, pieces: DataFrame, frequent: int) -> DataFrame:
-    """(row, ids) of every row of ``numbered``: the ids of its words in order."""
-    codes = settled(vocabulary(rows, pieces), "lattice-codes")
-    total = codes.agg(F.sum("n")).first()[0] or 0
-    known = codes.filter(F.col("n") * frequent >= total).select(F.col("word").alias("k_word"), "ids")
-    # The empty word at place 0 stands for the row itself, so that a row without words stays.
-    each = rows.select("row", F.posexplode(F.concat(F.array(F.lit("")), "words")).alias("at", "word"))
-    met = each.join(F.broadcast(known), F.col("word") == F.col("k_word"), "left")
-    there = met.filter("k_word is not null or word = ''").select("row", "at", "ids")
-    rare = met.filter("k_word is null and word <> ''").select("row", "at", "word").join(codes.select("word", "ids"), "word")
-    parts = there.unionByName(rare.select("row", "at", "ids")).filter("at > 0 and ids is not null or at = 0").groupBy("row")
-    none = F.array().cast("array<int>")
-    return parts.agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("ids", none).alias("ids")))).alias("parts")).select(
-        "row", F.flatten("parts.ids").alias("ids")
-    )
+def piece_tree(pieces: DataFrame) -> dict:
+    """The pieces as a prefix tree in arrays: ``keys`` has a node's number and a character, ``to`` the node they lead to, ``ids`` each
+    node's piece or -1.  Its size is the vocabulary's."""
+    edges, ids, longest, first_byte = {}, [-1], 1, None
+    for row in pieces.select("piece", "id", "byte").collect():
+        if row.byte:
+            first_byte = row.id if first_byte is None else min(first_byte, row.id)
+            continue
+        node = 0
+        for c in row.piece:
+            key = node << 21 | ord(c)
+            if key not in edges:
+                edges[key] = len(ids)
+                ids.append(-1)
+            node = edges[key]
+        ids[node], longest = row.id, max(longest, len(row.piece))
+    keys = np.array([*sorted(edges), np.iinfo(np.int64).max], np.int64)
+    to = np.array([edges.get(k, 0) for k in keys.tolist()], np.int64)
+    return {"keys": keys, "to": to, "ids": np.array(ids, np.int32), "longest": longest, "first_byte": first_byte}
+
+
+def lattices(chars: np.ndarray, tree: dict) -> np.ndarray:
+    """The pieces of many words: [length - 1, start, word] has a piece's id or -1.  ``chars`` has a column for each word, filled with PAD."""
+    n, many = chars.shape
+    found = np.full((min(tree["longest"], n), n, many), -1, np.int32)
+    flat, plain = found.reshape(len(found), -1), chars.ravel()
+    at = np.flatnonzero(plain != PAD)
+    node = np.zeros(len(at), np.int64)
+    for length in range(len(found)):
+        key = node << 21 | plain[at + length * many]
+        place = np.searchsorted(tree["keys"], key)
+        there = tree["keys"][place] == key
+        at, node = at[there], tree["to"][place[there]]
+        flat[length, at] = tree["ids"][node]
+        more = at < (n - length - 1) * many
+        at, node = at[more], node[more]
+    return found
+
+
+def best_ways(chars: np.ndarray, sizes: np.ndarray, tree: dict) -> tuple[np.ndarray, np.ndarray]:
+    """What ``best_way`` gives for many words of at most ``SHORT`` characters: (ids of all words in order, how many each word has)."""
+    found = lattices(chars, tree)
+    n, many = chars.shape
+    cost, back = np.zeros((n + 1, many), np.int64), np.zeros((n + 1, many), np.int8)
+    for end in range(1, n + 1):
+        best = cost[end - 1] + SHORT_UNKNOWN
+        for length in range(1, min(end, len(found)) + 1):
+            piece = found[length - 1, end - length]
+            this = cost[end - length] + SHORT_PIECE + piece
+            better = (piece >= 0) & (this <= best)
+            best = np.where(better, this, best)
+            back[end][better] = length
+        cost[end] = best
+    at, steps = sizes.astype(np.int64), []
+    live = np.flatnonzero(at)
+    while len(live):
+        end = at[live]
+        length = back[end, live].astype(np.int64)
+        # A character that no piece covers is written as its negative.
+        token = np.where(length > 0, found[length - 1, end - length, live], -1 - chars[end - 1, live])
+        steps.append((live, token))
+        at[live] = end - np.maximum(length, 1)
+        live = live[at[live] > 0]
+    word, token = (np.concatenate([s[k] for s in reversed(steps)]) for k in (0, 1))
+    order = np.argsort(word, kind="stable")
+    word, token = word[order], token[order]
+    bare = token < 0
+    if bare.any():
+        letters = [chr(-1 - t).encode() for t in token[bare].tolist()]
+        times = np.ones(len(token), np.int64)
+        times[bare] = [len(x) for x in letters]
+        word, token, spelt = np.repeat(word, times), np.repeat(token, times), np.repeat(bare, times)
+        token[spelt] = tree["first_byte"] + np.frombuffer(b"".join(letters), np.uint8).astype(np.int64)
+    return token.astype(np.int32), np.bincount(word, minlength=many)
+
+
+def encode_batch(words: pa.Array, tree: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, start, count): the ids of many distinct words; a word's are ``count`` from ``start`` on."""
+    sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    order = np.argsort(sizes, kind="stable")
+    words, size = words.take(pa.array(order)).to_pylist(), sizes[order]
+    count, parts, k = np.zeros(len(order), np.int64), [], 0
+    while k < len(order):
+        upto = k + 1 if size[k] > SHORT else min(k + max(1, AT_ONCE // max(1, int(size[k]))), int(np.searchsorted(size, SHORT, "right")))
+        code = np.frombuffer("".join(words[k:upto]).encode("utf-32-le"), np.uint32).astype(np.int64)
+        here = size[k:upto]
+        column = np.repeat(np.arange(upto - k), here)
+        chars = np.full((int(here[-1]), upto - k), PAD, np.int64)
+        chars[np.arange(len(code)) - np.repeat(np.cumsum(here) - here, here), column] = code
+        if size[k] > SHORT:
+            found = lattices(chars, tree)[:, :, 0]
+            length, start = np.nonzero(found >= 0)
+            edges = ((start + length + 1) << LENGTH_BITS | length + 1) << ID_BITS | found[length, start]
+            ids = np.array(best_way(words[k], edges.tolist(), tree["first_byte"]), np.int32)
+            count[k] = len(ids)
+        else:
+            ids, count[k:upto] = best_ways(chars, here, tree)
+        parts.append(ids)
+        k = upto
+    start, back = np.cumsum(count) - count, np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    return np.concatenate(parts) if parts else np.empty(0, np.int32), start[back], count[back]
+
+
+def _frequent(texts: DataFrame, pieces: DataFrame, frequent: int, sent) -> DataFrame:
+    """(word, ids) of the frequent words of ``texts`` (text); ``sent`` has the cuts."""
+
+    def counts(batches):
+        cut = sent.value
+        for batch in batches:
+            for part in portions(batch):
+                found = words_of(part.column("text"), *cut)[0].value_counts()
+                yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
+
+    counted = texts.mapInArrow(counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = settled(counted, "lattice-words")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    known = counted.filter(F.col("n") * frequent >= total * F.greatest(F.lit(1.0), F.length("word") / SHORT))
+    return vocabulary(known.select(F.array("word").alias("words")), pieces).select("word", "ids")
 
 
 def encode(docs: DataFrame, model: str = MODEL, frequent: int = FREQUENT) -> DataFrame:
-    """(row, doc_id, print, n_words, ids) of every row of ``docs``; null and empty texts have no ids.
+    """(doc_id, print, n_words, ids) of every row of ``docs``; null and empty texts have no ids.  ``print`` is the text's SHA-256.
 
-    Rows are told apart by a number fixed in a written table, so repeated rows and null ids stay apart.
+    Rows stay in their tasks, so repeated rows and null ids stay apart.
     """
+    context = docs.sparkSession.sparkContext
     pieces = piece_table(docs.sparkSession, model)
-    rows = numbered(docs, pieces)
-    named = rows.select("row", "doc_id", "print", F.size("words").cast("long").alias("n_words"))
-    return named.join(_coded(rows, pieces, frequent), "row")
+    text = F.make_valid_utf8("text").alias("text")
+    cut = context.broadcast(cuts(pieces))
+    known = _frequent(docs.select(text), pieces, frequent, cut).toArrow().combine_chunks()
+    sent = context.broadcast((piece_tree(pieces), [c.combine_chunks() for c in known.columns]))
+
+    def placed(batches):
+        tree, (known_words, known_ids) = sent.value
+        known_count = pc.list_value_length(known_ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        known_flat = known_ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+        known_start = np.cumsum(known_count) - known_count
+        for part in (part for batch in batches for part in portions(batch)):
+            words, n_words = words_of(part.column("text"), *cut.value)
+            coded = words.dictionary_encode()
+            distinct, index = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+            place = pc.index_in(distinct, value_set=known_words)
+            rare = place.is_null().to_numpy(zero_copy_only=False)
+            place = place.fill_null(0).to_numpy(zero_copy_only=False)[~rare]
+            start, count = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
+            own, own_start, count[rare] = encode_batch(distinct.filter(pa.array(rare)), tree)
+            start[rare] = own_start + len(known_flat)
+            start[~rare], count[~rare] = known_start[place], known_count[place]
+            every = np.concatenate((known_flat, own))
+            times = count[index]
+            ends = np.concatenate(([0], np.cumsum(times)))
+            ids = every[np.repeat(start[index] - ends[:-1], times) + np.arange(ends[-1])]
+            rows = ends[np.concatenate(([0], np.cumsum(n_words)))].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(rows), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("print"), pa.array(n_words, pa.int64()), lists], ["doc_id", "print", "n_words", "ids"])
+
+    print_ = F.sha2(F.coalesce("text", F.lit("")), 256).alias("print")
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), print_, text)
+    return whole.mapInArrow(placed, "doc_id long, print string, n_words long, ids array<int>")
 
 
 def decoded(ids, pieces: DataFrame) -> F.Column:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import sentencepiece
 
 from lifeloom.llm import decontaminate, lattice, licences, simhash, urls
@@ -77,6 +78,36 @@ def test_lattice_report_of_whole_texts(spark, monkeypatch):
     assert sorted(r.round_trip for r in lattice.report(docs.limit(4)).collect()) == [False] * 3 + [True]
 
 
+def test_lattice_of_rare_words_where_they_stand(spark, monkeypatch):
+    """Words that are not sent to all tasks get the same ids, and no occurrence leaves its row."""
+    texts = [*awkward_texts(), "caf\u00e9 \U0001f600" * 9, "\x00\ue000a\ufffd", "x" * 64, "y\u0e01" * 33]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    monkeypatch.setattr(lattice, "PORTION", 500)
+    got = {r.doc_id: list(r.ids) for r in lattice.encode(docs.coalesce(1), frequent=0).collect()}
+    assert {i for i, t in enumerate(texts) if got[i] != brute_ids(t)} == set()
+    plan = lattice.report(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_words_part_where_no_piece_joins_two_classes(spark):
+    pieces = lattice.piece_table(spark)
+    for kept in (pieces, pieces.filter("byte or piece in ('a', ' ', '1')"), pieces.filter("byte or piece in ('a1', '1 ', ' !', 'a')")):
+        crossed = {(lattice._class_of(a), lattice._class_of(b)) for r in kept.filter("not byte").collect() for a, b in zip(r.piece, r.piece[1:])}
+        texts = [*awkward_texts(), "a1 !a1 11  22", "1" * 5000]
+        words, sizes = lattice.words_of(pa.array([None, *texts, ""])[1:], *lattice.cuts(kept))
+        words = iter(words.to_pylist())
+        assert sizes[-1] == 0
+        for text, size in zip(texts, sizes):
+            want, whole = [], f" {text}"
+            for k, c in enumerate(whole):
+                if k and (lattice._class_of(whole[k - 1]), lattice._class_of(c)) in crossed:
+                    want[-1] += c
+                else:
+                    want.append(c)
+            assert [next(words) for _ in range(size)] == want
+        assert next(words, None) is None
+
+
 def test_lattice_rows_whose_short_hashes_collide(spark):
     """Different texts without an id stay apart, also if a 32-bit hash does not tell them apart."""
     many = spark.range(300_000).selectExpr("concat('a', repeat('b ', int(id % 7)), id) text")
