@@ -34,6 +34,8 @@ LISTS, LIST_BYTES, MIN_POSITIONS = 24, 5, 76
 ROUNDS = 3
 #: Shingles whose bits are unpacked at once.
 BLOCK = 1 << 17
+#: Texts whose shingle sets a task holds at once.
+SETS = 256
 
 
 def shingles(text: str | None, width: int) -> list[bytes]:
@@ -175,7 +177,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, node, shingles): the distinct hashes of a text's shingles."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (whole.slice(k, SETS) for whole in batches for k in range(0, whole.num_rows, SETS)):
             texts = [t.as_py() for t in batch.column("text")]
             sets = [[h - (1 << 63) for h in {xxhash.xxh64_intdigest(s, SEED) for s in shingles(t, width)}] for t in texts]
             columns = [batch.column("doc_id"), pa.array(map(_node, texts), pa.int64()), pa.array(sets, pa.list_(pa.int64()))]

@@ -116,6 +116,15 @@ def test_lattice_rows_whose_short_hashes_collide(spark):
     assert sorted((r.n_bytes, r.digest) for r in got) == sorted((len(t), digest_of(t)) for t in pair)
 
 
+def test_shingle_sets_in_parts_of_a_batch(spark, monkeypatch):
+    """A task holds the sets of a few texts, not of a whole Arrow batch."""
+    monkeypatch.setattr(simhash, "SETS", 2)
+    texts = [None, "", "a b c d e f", "a b", "a b c d e f", "g h i j k l m"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").coalesce(1)
+    got = sorted((r.doc_id, len(r.shingles)) for r in simhash.shingle_sets(docs, 5).collect())
+    assert got == [(0, 0), (1, 0), (2, 2), (3, 1), (4, 2), (5, 3)]
+
+
 def test_keep_one_tells_rows_of_one_id_apart(spark):
     """A row goes only if its own text has a copy that stays."""
     a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
