@@ -36,15 +36,15 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 FREQUENT = 200_000
 #: Classes of characters.
 CLASSES = ("blank", "letter", "digit", "other")
-#: Bytes of text that are cut at once; a longer text goes alone.
-PORTION = 1 << 22
+#: Bytes of text whose words are looked up at once, and that are cut at once; a longer text goes alone.
+PORTION, CUT = 1 << 22, 1 << 19
 #: Longest word whose edges carry the word itself.
 SHORT = 64
 #: Cost of a piece beside its rank, and of a character as bytes: so many that neither is outweighed in any text.
 PER_PIECE, PER_UNKNOWN = 1 << 50, 1 << 90
 #: An edge is one long: where it ends, then its length, then the piece's id.
 ID_BITS, LENGTH_BITS = 18, 6
-#: The same costs for words of at most ``SHORT`` characters, and how many characters of them are folded at once.
+#: The same costs for words of at most ``SHORT`` characters, and how many characters of them, with what fills them up, are folded at once.
 SHORT_PIECE, SHORT_UNKNOWN, AT_ONCE = 1 << 24, 1 << 32, 1 << 16
 #: A character has 21 bits; this one is in no text.
 PAD = (1 << 21) - 1
@@ -80,8 +80,32 @@ def cuts(pieces: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return kinds, parted
 
 
+def slices(texts: pa.Array, most: int):
+    """(first, length) of slices of about ``most`` bytes of text."""
+    size = np.cumsum(pc.binary_length(texts.fill_null("")).to_numpy(zero_copy_only=False).astype(np.int64))
+    k = 0
+    while k < len(size):
+        upto = max(k + 1, int(np.searchsorted(size, (size[k - 1] if k else 0) + most, "right")))
+        yield k, upto - k
+        k = upto
+
+
+def portions(batch: pa.RecordBatch):
+    """The rows of a batch in slices of about ``PORTION`` bytes of text."""
+    return (batch.slice(*part) for part in slices(batch.column("text"), PORTION))
+
+
 def words_of(texts: pa.Array, kinds: np.ndarray, parted: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """(the words of many texts in order, how many each has); a text's words make up the text behind one blank.  None for null or empty."""
+    """(the words of many texts in order, how many each has); a text's words make up the text behind one blank.  None for null or empty.
+
+    ``CUT`` bytes are cut at once: what is kept of a byte meanwhile is some twenty times its size.
+    """
+    found = [_words_of(texts.slice(*part), kinds, parted) for part in slices(texts, CUT)]
+    words = pa.concat_arrays([pa.array([], pa.string()), *(words for words, _ in found)])
+    return words, np.concatenate([np.zeros(0, np.int64), *(n for _, n in found)])
+
+
+def _words_of(texts: pa.Array, kinds: np.ndarray, parted: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     texts = texts.fill_null("")
     whole = pa.concat_arrays([pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))])
     bounds = np.concatenate(([0], np.cumsum(pc.binary_length(whole).to_numpy(zero_copy_only=False)))).astype(np.int64)
@@ -99,16 +123,6 @@ def words_of(texts: pa.Array, kinds: np.ndarray, parted: np.ndarray) -> tuple[pa
     return words, np.diff(np.searchsorted(begin, bounds))
 
 
-def portions(batch: pa.RecordBatch):
-    """The rows of a batch in slices of about ``PORTION`` bytes of text."""
-    size = np.cumsum(pc.binary_length(batch.column("text").fill_null("")).to_numpy(zero_copy_only=False).astype(np.int64))
-    k = 0
-    while k < len(size):
-        upto = max(k + 1, int(np.searchsorted(size, (size[k - 1] if k else 0) + PORTION, "right")))
-        yield batch.slice(k, upto - k)
-        k = upto
-
-
 def best_way(word: str, edges: list[int], first_byte: int) -> list[int]:
     """The ids of the cheapest way through a word.  Equal costs: the longest last piece."""
     n, at = len(word), 0
@@ -269,7 +283,11 @@ def encode_batch(words: pa.Array, tree: dict) -> tuple[np.ndarray, np.ndarray, n
     words, size = words.take(pa.array(order)).to_pylist(), sizes[order]
     count, parts, k = np.zeros(len(order), np.int64), [], 0
     while k < len(order):
-        upto = k + 1 if size[k] > SHORT else min(k + max(1, AT_ONCE // max(1, int(size[k]))), int(np.searchsorted(size, SHORT, "right")))
+        upto = k + 1
+        if size[k] <= SHORT:
+            # The words of a block are filled up to its longest.
+            here = size[k : min(k + AT_ONCE, int(np.searchsorted(size, SHORT, "right")))]
+            upto = k + max(1, int(np.searchsorted(here * np.arange(1, len(here) + 1), AT_ONCE, "right")))
         code = np.frombuffer("".join(words[k:upto]).encode("utf-32-le"), np.uint32).astype(np.int64)
         here = size[k:upto]
         column = np.repeat(np.arange(upto - k), here)
