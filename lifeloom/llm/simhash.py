@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, same, settled
+from .common import components, heavy_join, same, settled
 
 RADIUS = 2
 MIN_SHARED_BYTES = 8 - RADIUS
@@ -32,6 +32,10 @@ SEED = 42
 #: A pair of similarity 0.8 is expected to share 96 of the 120 with a standard deviation of 4.4.
 LISTS, LIST_BYTES, MIN_POSITIONS = 24, 5, 76
 ROUNDS = 3
+#: Bounds of exact filters are loosened by this much against rounding.
+SLACK = 1e-6
+#: Longs that hold the parities of a text's shingles, 64 slots each.
+PARITY = 4
 #: Shingles whose bits are unpacked at once.
 BLOCK = 1 << 17
 #: Texts whose shingle sets a task holds at once.
@@ -197,20 +201,68 @@ def _shared_bytes(a, b):
     return F.aggregate(F.zip_with(a, b, equal), F.lit(0), lambda total, x: total + x)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, similarity: float, label: str) -> DataFrame:
-    """Those of the pairs (u, v) of nodes whose shingle sets have the similarity: tallied first, then compared whole."""
+def _sets(asked: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, label: str) -> DataFrame:
+    """``asked`` (one row per node) with the shingles of each node's text."""
+    rows = asked.join(nodes.select("node", F.col("low").alias("doc_id")), "node")
+    return settled(shingle_sets(docs, width).join(rows, ["doc_id", "node"]).drop("doc_id").dropDuplicates(["node"]), f"{label}-sets")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, sets_of, similarity: float, label: str) -> DataFrame:
+    """Those of the pairs (u, v) of nodes whose shingle sets have the similarity: tallied first, then compared whole.
+
+    ``sets_of`` gives the shingle sets of at least the nodes that it is asked for.
+    """
     of = lambda side: nodes.select(F.col("node").alias(side), F.col("bytes").alias(f"{side}_bytes"))
     tallied = pairs.distinct().join(of("u"), "u").join(of("v"), "v").filter(_shared_bytes(F.col("u_bytes"), F.col("v_bytes")) >= MIN_POSITIONS)
     tallied = settled(tallied.select("u", "v"), f"{label}-tallied")
-    asked = tallied.select(F.col("u").alias("node")).unionByName(tallied.select(F.col("v").alias("node"))).distinct()
-    rows = nodes.join(asked, "node").select("node", F.col("low").alias("doc_id"))
-    sets = settled(shingle_sets(docs, width).join(rows, ["doc_id", "node"], "left_semi").dropDuplicates(["node"]), f"{label}-sets")
+    sets = sets_of(tallied.select(F.col("u").alias("node")).unionByName(tallied.select(F.col("v").alias("node"))).distinct())
     of = lambda side: sets.select(F.col("node").alias(side), F.col("shingles").alias(f"{side}_set"))
     both = tallied.join(of("u"), "u").join(of("v"), "v")
     common = F.size(F.array_intersect("u_set", "v_set"))
     return settled(both.filter(common >= (F.size("u_set") + F.size("v_set") - common) * similarity).select("u", "v"), f"{label}-links")
 
 
+def _between(sets: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): all pairs of nodes of different roots that can have the similarity, of ``sets`` (node, root, shingles).
+
+    A text's shingles are put in one order for all texts, those that only its own root holds first, then by the number of texts
+    that hold them.  A pair at the similarity shares one of the first ``size - similarity * size + 1`` of both, and from the first that
+    they share on, both have room for all that they share (the prefix and position filters of exact set joins).  So what very
+    many texts have in common makes no pairs.  What a pair does not share is bounded, too: the shingles of one root alone count, and
+    every odd slot of one text that is even in the other (PARITY x 64 slots of the other shingles).  No filter drops a pair at the similarity.
+
+    Texts of one root are not paired: under a shingle roots meet first, then the texts of the smaller one, then those of the larger.
+    """
+    rows = sets.select("node", "root", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    held = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("root").alias("a"), F.max("root").alias("b"))
+    held = settled(held.filter("a <> b").select("shingle", "n"), "near-shared")
+    slot = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("shingle").bitwiseAND(F.lit(63)).cast("int"))
+    word = F.shiftrightunsigned("shingle", 6) % PARITY
+    odd = [f"odd{k}" for k in range(PARITY)]
+    shared = heavy_join(rows, held, ["shingle"], "n").groupBy("node", "root", "size").agg(
+        F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("shared"),
+        *[F.coalesce(F.bit_xor(F.when(word == k, slot)), F.lit(0).cast("long")).alias(c) for k, c in enumerate(odd)],
+    )
+    alone = F.col("size") - F.size("shared")
+    first = F.greatest(F.floor(F.col("size") * (1 - similarity) + SLACK).cast("int") + 1 - alone, F.lit(0))
+    spare = F.col("size") * ((1 - similarity) / (1 + similarity)) - alone
+    prefix = shared.select("node", "root", "size", alone.alias("alone"), spare.alias("spare"), *odd, F.posexplode(F.slice("shared", F.lit(1), first)).alias("at", "key"))
+    prefix = prefix.select("key.shingle", "root", "node", "size", "spare", (F.col("size") - F.col("alone") - F.col("at")).alias("room"), *odd)
+    prefix = settled(prefix, "near-prefixes")
+
+    # Of a root's texts under a shingle the largest room and spare and the smallest size; the slots only of a single text.
+    single = [F.when(F.count("*") == 1, F.any_value(c)).alias(c) for c in odd]
+    ends = prefix.groupBy("shingle", "root").agg(F.count("*").alias("n"), F.min("size").alias("size"), F.max("spare").alias("spare"), F.max("room").alias("room"), *single)
+    room = F.least("u_room", "v_room") >= (F.col("u_size") + F.col("v_size")) * (similarity / (1 + similarity)) - SLACK
+    differing = sum(F.bit_count(F.col(f"u_{c}").bitwiseXOR(F.col(f"v_{c}"))) for c in odd)
+    fits = room & (F.col("u_spare") + F.col("v_spare") + SLACK >= F.coalesce(differing, F.lit(0)))
+    of = lambda df, side: df.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in df.columns if c != "shingle"])
+    smaller = F.struct("u_n", "u_root") < F.struct("v_n", "v_root")
+    roots = of(ends, "u").join(of(ends, "v"), "shingle").filter(smaller & fits).select("shingle", "u_root", "v_root")
+    pairs = roots.join(of(prefix, "u"), ["shingle", "u_root"]).join(of(prefix, "v"), ["shingle", "v_root"]).filter(fits)
+    return pairs.select(F.greatest("u_node", "v_node").alias("u"), F.least("u_node", "v_node").alias("v"))
+
+
 def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, component_id) of every row: groups of exact copies, of fingerprints within RADIUS bits, and of texts whose
     sets of ``width``-word shingles have at least ``similarity`` (intersection over union).
@@ -219,8 +271,8 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     LISTS x LIST_BYTES bytes of minimal shingle hashes, which agree at a position as often as the sets are similar.
     Pairs meet in one of LISTS posting lists of LIST_BYTES positions each (a pair at 0.8 misses all of them with probability below
     0.0001), are tallied over all positions (under MIN_POSITIONS they go) and verified on whole shingle sets.
-    Lists of more than LONG texts are not paired: their texts meet the list's centre, in ROUNDS rounds with another centre; only
-    between texts that are then still in different groups all pairs of the list are looked at.
+    Lists of more than LONG texts are not paired: their texts meet the list's centre, in ROUNDS rounds with another centre.  Texts
+    of lists that are then still of different groups meet under their rarest shingles instead (``_between``), which loses no pair.
 
     Nulls, ties and repeated rows as in ``groups``.
     """
@@ -245,19 +297,18 @@ def _near_members(docs: DataFrame, width: int, similarity: float) -> DataFrame:
     met = settled(postings.join(sizes, "list"), "near-lists")
     short, long = met.filter(F.col("size") <= LONG), settled(met.filter(F.col("size") > LONG).select("list", "node"), "near-long")
     pairs = short.select("list", F.col("node").alias("u")).join(short.select("list", F.col("node").alias("v")), "list").filter("u > v").select("u", "v")
-    found = edges
+    found, sets_of = edges, lambda asked: _sets(asked, nodes, docs, width, "near")
     if not long.isEmpty():
         for turn in range(ROUNDS):
             centres = long.groupBy("list").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("v"))
             pairs = pairs.unionByName(long.join(centres, "list").select(F.col("node").alias("u"), "v").filter("u <> v"))
-        found = settled(edges.unionByName(_verified(pairs, nodes, docs, width, similarity, "near-first")), "near-found")
+        found = settled(edges.unionByName(_verified(pairs, nodes, sets_of, similarity, "near-first")), "near-found")
         roots = components(found, "near-edges")
         placed = long.join(roots, F.col("node") == F.col("u"), "left").select("list", "node", F.coalesce("root", "node").alias("root"))
         open_ = placed.groupBy("list").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("list")
-        placed = settled(placed.join(open_, "list"), "near-open")
-        other = placed.select("list", F.col("node").alias("v"), F.col("root").alias("v_root"))
-        pairs = placed.join(other, "list").filter("node > v and root <> v_root").select(F.col("node").alias("u"), "v")
-    found = found.unionByName(_verified(pairs, nodes, docs, width, similarity, "near-last"))
+        sets = sets_of(settled(placed.join(open_, "list").select("node", "root").distinct(), "near-open"))
+        pairs, sets_of = _between(sets, similarity), lambda asked: sets
+    found = found.unionByName(_verified(pairs, nodes, sets_of, similarity, "near-last"))
     roots = settled(components(found, "near-edges"), "near-roots")
     member = nodes.join(roots, F.col("node") == F.col("u"), "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     first = member.groupBy("root").agg(F.min(F.when(F.col("low").isNotNull(), F.struct("low", "node"))).alias("first"))

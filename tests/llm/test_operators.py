@@ -300,6 +300,47 @@ def test_near_groups(spark, docs, none):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i in (1, 4, 7, 8, 9, None, 11, 11, 12, 13, 14))
 
 
+def test_texts_like_but_below_the_threshold_make_few_pairs(spark, monkeypatch):
+    """Copies with five edits each are at about 0.7: few of the 19,900 pairs are made, and no link is lost."""
+    r, base = random.Random(9), [f"w{k}" for k in range(280)]
+    rows = []
+    for i in range(200):
+        words = rows[i - 190][1].split() if i >= 190 else list(base)
+        for at in r.sample(range(280), 1 if i >= 190 else 5):
+            words[at] = f"edit{i}x{at}"
+        rows.append((i, " ".join(words)))
+    made, verified = [], simhash._verified
+    monkeypatch.setattr(simhash, "_verified", lambda pairs, *rest: made.append(pairs.distinct().count()) or verified(pairs, *rest))
+    got = {x.doc_id: x.component_id for x in simhash.near_groups(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()}
+
+    sets, prints = [set(simhash.shingles(t, 5)) for _, t in rows], brute_prints(rows, 5)
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) or (prints[a] ^ prints[b]).bit_count() <= 2:
+                x, y = sorted((root[a], root[b]))
+                root = [x if k == y else k for k in root]
+    assert got == dict(enumerate(root))
+    assert len(set(root)) > 100 and len(made) == 2 and made[1] < 5 * len(rows), made
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 0.9])
+def test_texts_of_open_lists_meet(spark, similarity):
+    """Every pair of different roots at the similarity is found, none of one root, also where all texts share most shingles."""
+    r, sets = random.Random(10), []
+    for g in range(12):
+        some = [r.getrandbits(64) - (1 << 63) for _ in range(r.choice([1, 2, 9, 10, 60, 700]))]
+        for _ in range(12):
+            own = {r.getrandbits(64) - (1 << 63) for _ in range(r.randint(0, 1 + len(some) // 4))}
+            sets.append(sorted(set(r.sample(some, r.randint(max(1, len(some) * 4 // 5), len(some)))) | own))
+    rows = [(i, r.choice([i, i // 3 * 3]), s) for i, s in enumerate(sets)]
+    pairs = simhash._between(spark.createDataFrame(rows, "node LONG, root LONG, shingles ARRAY<LONG>"), similarity)
+    got = {(p.u, p.v) for p in pairs.collect()}
+    near = {(a, b) for a, _, x in rows for b, _, y in rows if a > b and len(set(x) & set(y)) >= similarity * len(set(x) | set(y))}
+    across = {(a, b) for a, b in near if rows[a][1] != rows[b][1]}
+    assert across and across <= got and all(a > b and rows[a][1] != rows[b][1] for a, b in got)
+
+
 def test_lattice(docs, none):
     coded = lattice.encode(docs)
     back = {(r.doc_id, r.text or "") for r in lattice.decode(coded).collect()}
